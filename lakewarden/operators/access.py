@@ -28,7 +28,7 @@ def access_audit(grants: DataFrame, schemas: list[str]) -> DataFrame:
 def net_grants(log: DataFrame) -> DataFrame:
     """Grants in force: the last action per (securable, grantee, privilege), revoked ones gone."""
     keys = [*SECURABLE, "grantee", "privilege"]
-    last = F.max(F.struct("at", "seq", "action")).alias("last")
+    last = F.max(F.struct("changed_on", "seq", "action")).alias("last")
     return log.groupBy(*keys).agg(last).filter(F.col("last.action") == "GRANT").select(*keys)
 
 

@@ -7,6 +7,7 @@ from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from lakewarden.session import shared_path, stage
 
@@ -45,7 +46,7 @@ def closure(edges: DataFrame, roots: DataFrame, max_depth: int | None = None) ->
         reached.write.parquet(f"{base}/depth={depth}")
         if read(depth).isEmpty():
             break
-    result = spark.read.schema(first.schema.add("depth", "int")).option("basePath", base).parquet(base)
+    result = spark.read.schema(StructType([*first.schema.fields, StructField("depth", IntegerType())])).option("basePath", base).parquet(base)
     return result.drop("origin") if single else result
 
 

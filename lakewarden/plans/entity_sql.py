@@ -99,7 +99,7 @@ _CTES: dict[str, tuple[list[str], str]] = {
         union select principal, 'reg:' || r_name from members join nations on grp = 'nat:' || n_name"""),
     "grant_log": (["assets", "nations"], """
         select securable_type, catalog, case when securable_type <> 'CATALOG' then schema end as schema,
-          case when securable_type = 'TABLE' then object end as object, grantee, privilege, action, at, seq
+          case when securable_type = 'TABLE' then object end as object, grantee, privilege, action, changed_on, seq
         from (
           select case o_orderpriority when '1-URGENT' then 'CATALOG'
               when '2-HIGH' then case when o_orderstatus = 'P' then 'CATALOG' else 'SCHEMA' end
@@ -111,7 +111,7 @@ _CTES: dict[str, tuple[list[str], str]] = {
             case o_orderpriority when '1-URGENT' then 'USE CATALOG' when '2-HIGH' then 'USE SCHEMA'
               else 'SELECT' end as privilege,
             case when o_orderstatus = 'F' then 'REVOKE' else 'GRANT' end as action,
-            cast(o_orderdate as date) as at, o_orderkey as seq
+            cast(o_orderdate as date) as changed_on, o_orderkey as seq
           from orders join customer on o_custkey = c_custkey join nations on c_nationkey = n_nationkey
             join assets a on a.object = o_orderkey % (select count(*) from part))"""),
     "owners": (["assets"], """
@@ -139,12 +139,12 @@ _CTES: dict[str, tuple[list[str], str]] = {
     "tag_log": (["assets"], f"""
         select a.catalog, a.schema, a.object, {_column} as column_name, {_tag_name} as tag_name,
           {_tag_value} as tag_value, case when l_returnflag = 'R' then 'UNSET' else 'SET' end as action,
-          cast(l_shipdate as date) as at, l_orderkey as seq
+          cast(l_shipdate as date) as changed_on, l_orderkey as seq
         from lineitem join assets a on l_partkey = a.object"""),
     "tags": (["tag_log"], """
         select catalog, schema, object, column_name, tag_name, tag_value from (
           select *, row_number() over (partition by catalog, schema, object, column_name, tag_name
-            order by at desc, seq desc, action desc, tag_value desc) as rn from tag_log)
+            order by changed_on desc, seq desc, action desc, tag_value desc) as rn from tag_log)
         where rn = 1 and action = 'SET'"""),
     "edges": ([], """
         select source_table_full_name, target_table_full_name, entity_type, max(event_date) as event_date from (
@@ -169,6 +169,9 @@ _CTES: dict[str, tuple[list[str], str]] = {
           target_table_full_name || '.' || target_column_name as dst from col_edges"""),
 }
 
+# Inlined, this one makes DuckDB 2.0 fail with an internal error.
+_MATERIALIZED = {"grant_log"}
+
 
 def with_entities(names: str, body: str, extra: str = "") -> str:
     """``body`` behind the named expressions and those they need; ``extra`` adds expressions of its own."""
@@ -182,7 +185,7 @@ def with_entities(names: str, body: str, extra: str = "") -> str:
 
     for name in names.split():
         need(name)
-    head = ", ".join(f"{n} as ({_CTES[n][1]})" for n in order)
+    head = ", ".join(f"{n} as {'materialized ' if n in _MATERIALIZED else ''}({_CTES[n][1]})" for n in order)
     if extra:
         head = f"{head}, {extra}" if head else extra
     return f"with recursive {head} {body}"

@@ -167,7 +167,7 @@ def grant_log(spark: SparkSession, d: str) -> DataFrame:
             F.when(level == "TABLE", F.col("object")).alias("object"),
             grantee.alias("grantee"), privilege.alias("privilege"),
             F.when(status == "F", "REVOKE").otherwise("GRANT").alias("action"),
-            F.col("o_orderdate").cast("date").alias("at"), k.alias("seq"),
+            F.col("o_orderdate").cast("date").alias("changed_on"), k.alias("seq"),
         )
     )
 
@@ -202,7 +202,7 @@ def tag_log(spark: SparkSession, d: str) -> DataFrame:
         name.alias("tag_name"),
         value.alias("tag_value"),
         F.when(F.col("l_returnflag") == "R", "UNSET").otherwise("SET").alias("action"),
-        F.col("l_shipdate").cast("date").alias("at"),
+        F.col("l_shipdate").cast("date").alias("changed_on"),
         F.col("l_orderkey").alias("seq"),
     )
     return changes.join(assets(spark, d).select("catalog", "schema", "object"), "object")
