@@ -8,13 +8,11 @@ holds SELECT on it.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakewarden.operators.lineage import closure
-from lakewarden.session import stage
+from lakewarden.session import stage, stage_all
 
 SECURABLE = ["securable_type", "catalog", "schema", "object"]
 SCHEMA = ["catalog", "schema"]
@@ -41,44 +39,115 @@ def expand_members(members: DataFrame, group_edges: DataFrame) -> DataFrame:
     ).select("principal", F.col("node").alias("grp")).distinct()
 
 
-@dataclass
-class _Rights:
-    """Grants of each privilege, one row per (grantee, place)."""
+def _fingerprint(col: str) -> list[Column]:
+    """Identifies a set of distinct values by count and 128 hash bits, without collecting it."""
+    return [
+        F.count(F.lit(1)).alias("f0"),
+        F.bit_xor(F.xxhash64(col)).alias("f1"),
+        F.bit_xor(F.xxhash64(F.lit("second"), col)).alias("f2"),
+    ]
 
-    catalogs: DataFrame  # grantee, catalog: USE CATALOG
-    schemas: DataFrame  # grantee, catalog, schema: USE SCHEMA, cascaded
-    whole: DataFrame  # grantee, catalog, schema: SELECT on the schema or above
-    objects: DataFrame  # grantee, catalog, schema, object: SELECT on the object, and ownership
 
+class _Rights:
+    """Who holds which privilege where, kept apart for groups and for single principals.
 
-def _rights(grants: DataFrame, objects: DataFrame, owners: DataFrame | None) -> _Rights:
-    schema_list = objects.select(*SCHEMA).distinct()
+    Principals in the same set of groups form one class, and so do objects of a schema that are
+    granted to the same set of groups. What groups give is held per class, never per member.
+    """
 
-    def per_schema(privilege: str) -> DataFrame:
+    def __init__(self, grants: DataFrame, memberships: DataFrame, objects: DataFrame, owners: DataFrame | None):
+        finger = ["f0", "f1", "f2"]
+        base = stage_all({
+            "members": memberships.select("principal", "grp").distinct(),
+            "grants": grants.select(*SECURABLE, "grantee", "privilege").distinct(),
+        })
+        memberships, grants = base["members"], base["grants"]
+        self.sizes = objects.groupBy(*SCHEMA).agg(F.count(F.lit(1)).alias("n_objects"))
+        self.groups = memberships.select(F.col("grp").alias("grantee")).distinct()
+
+        marks = memberships.groupBy("principal").agg(*_fingerprint("grp"))
+        heads = marks.groupBy(*finger).agg(F.min("principal").alias("cls"), F.count(F.lit(1)).alias("n_principals"))
+        named = grants.filter((F.col("privilege") == "SELECT") & (F.col("securable_type") == "TABLE")).select(
+            "grantee", *OBJECT)
+        if owners is not None:
+            named = named.unionByName(owners.select(F.col("owner").alias("grantee"), *OBJECT))
+        base = stage_all({
+            "class_of": marks.join(heads, finger).select("principal", "cls", "n_principals"),
+            "named": named.distinct(),
+        })
+        self.class_of, named = base["class_of"], base["named"]
+        self.classes = self.class_of.filter(F.col("principal") == F.col("cls")).select("cls", "n_principals")
+        self.class_groups = memberships.join(self.classes, F.col("principal") == F.col("cls")).select(
+            "cls", F.col("grp").alias("grantee"))
+
+        schemas = objects.select(*SCHEMA).distinct()
+        use_catalog = grants.filter(F.col("privilege") == "USE CATALOG").select("grantee", "catalog").distinct()
+        use_schema = self._cascade(grants, "USE SCHEMA", schemas)
+        whole = self._cascade(grants, "SELECT", schemas)
+        group_objects = named.join(self.groups, "grantee", "left_semi")
+        object_marks = group_objects.groupBy(*OBJECT).agg(*_fingerprint("grantee"))
+        object_heads = object_marks.groupBy(*SCHEMA, *finger).agg(
+            F.min("object").alias("object_cls"), F.count(F.lit(1)).alias("n"))
+        staged = stage_all({
+            "class_catalogs": self._by_class(use_catalog),
+            "class_schemas": self._by_class(use_schema),
+            "class_whole": self._by_class(whole),
+            "own_catalogs": self._own(use_catalog),
+            "own_schemas": self._own(use_schema),
+            "own_whole": self._own(whole),
+            # object, the first object of its class, size of the class
+            "object_class_of": object_marks.join(object_heads, [*SCHEMA, *finger]).select(*OBJECT, "object_cls", "n"),
+        })
+        self.class_catalogs, self.own_catalogs = staged["class_catalogs"], staged["own_catalogs"]
+        self.class_schemas, self.own_schemas = staged["class_schemas"], staged["own_schemas"]
+        self.class_whole, self.own_whole = staged["class_whole"], staged["own_whole"]
+        self.own_objects = self._own(named)
+        self.object_class_of = staged["object_class_of"]
+        first = self.object_class_of.filter(F.col("object") == F.col("object_cls")).drop("object")
+        self.class_objects = stage(
+            self._by_class(group_objects.withColumnRenamed("object", "object_cls").join(first, [*SCHEMA, "object_cls"])),
+            "class_objects")
+
+    @staticmethod
+    def _cascade(grants: DataFrame, privilege: str, schemas: DataFrame) -> DataFrame:
+        """Holders per schema; a grant on the catalog reaches all its schemas."""
         held = grants.filter(F.col("privilege") == privilege)
         at_schema = held.filter(F.col("securable_type") == "SCHEMA").select("grantee", *SCHEMA)
         above = held.filter(F.col("securable_type") == "CATALOG").select("grantee", "catalog").distinct()
-        return at_schema.unionByName(above.join(schema_list, "catalog").select("grantee", *SCHEMA)).distinct()
-
-    named = grants.filter((F.col("privilege") == "SELECT") & (F.col("securable_type") == "TABLE"))
-    selected = named.select("grantee", *OBJECT)
-    if owners is not None:
-        selected = selected.unionByName(owners.select(F.col("owner").alias("grantee"), *OBJECT))
-    return _Rights(
-        catalogs=grants.filter(F.col("privilege") == "USE CATALOG").select("grantee", "catalog").distinct(),
-        schemas=per_schema("USE SCHEMA"),
-        whole=per_schema("SELECT"),
-        objects=selected.distinct(),
-    )
+        return at_schema.unionByName(above.join(schemas, "catalog").select("grantee", *SCHEMA)).distinct()
 
+    def _by_class(self, df: DataFrame) -> DataFrame:
+        return df.join(self.class_groups, "grantee").drop("grantee").distinct()
 
-def _fingerprint(col: str) -> list[Column]:
-    """Identifies a set of distinct values by count and 128 hash bits, without collecting it."""
-    return [
-        F.count(F.lit(1)).alias("f0"),
-        F.bit_xor(F.xxhash64(col)).alias("f1"),
-        F.bit_xor(F.xxhash64(F.lit("second"), col)).alias("f2"),
-    ]
+    def _own(self, df: DataFrame) -> DataFrame:
+        """Grants to principals themselves, with their class (NULL for one without groups)."""
+        return self.with_class(df.join(self.groups, "grantee", "left_anti").withColumnRenamed("grantee", "principal"))
+
+    def with_class(self, df: DataFrame) -> DataFrame:
+        return df.join(self.class_of.select("principal", "cls"), "principal", "left")
+
+    def flag(self, df: DataFrame, name: str, by_class: DataFrame, own: DataFrame, place: list[str]) -> DataFrame:
+        """Adds ``name``_cls and ``name``_own: NULL where the class, or the principal itself, has no such right."""
+        yes = F.lit(True)
+        return (
+            df.join(by_class.select("cls", *place, yes.alias(f"{name}_cls")), ["cls", *place], "left")
+            .join(own.select("principal", *place, yes.alias(f"{name}_own")), ["principal", *place], "left")
+        )
+
+    def flag_use(self, df: DataFrame) -> DataFrame:
+        df = self.flag(df, "catalog", self.class_catalogs, self.own_catalogs, ["catalog"])
+        return self.flag(df, "schema", self.class_schemas, self.own_schemas, SCHEMA)
+
+    def flag_objects(self, df: DataFrame) -> DataFrame:
+        """Adds ``whole_*`` and ``object_cls_held``: SELECT on the schema, and on the object through groups."""
+        df = self.flag(df, "whole", self.class_whole, self.own_whole, SCHEMA)
+        held = self.class_objects.select("cls", *SCHEMA, "object_cls", F.lit(True).alias("object_cls_held"))
+        return df.join(self.object_class_of.select(*OBJECT, "object_cls"), OBJECT, "left").join(
+            held, ["cls", *SCHEMA, "object_cls"], "left")
+
+
+def _either(name: str) -> Column:
+    return F.col(f"{name}_cls").isNotNull() | F.col(f"{name}_own").isNotNull()
 
 
 def effective_access(
@@ -86,85 +155,44 @@ def effective_access(
 ) -> DataFrame:
     """Number of (principal, object) pairs that can be read, per catalog.
 
-    The pairs themselves are never listed. Principals in the same set of groups form one class, and
-    so do objects of a schema that are granted to the same set of groups; what groups give is
-    counted between classes. Direct grants are handled one by one as additions to that.
+    The pairs themselves are never listed: what groups give is counted between classes, and the
+    grants of single principals are counted as additions to what their class has.
     """
-    memberships = stage(memberships.select("principal", "grp").distinct(), "members")
-    rights = _rights(stage(grants.select(*SECURABLE, "grantee", "privilege").distinct(), "grants"), objects, owners)
-    sizes = objects.groupBy(*SCHEMA).agg(F.count(F.lit(1)).alias("n_objects"))
-    finger = ["f0", "f1", "f2"]
-
-    # Classes of principals.
-    marks = memberships.groupBy("principal").agg(*_fingerprint("grp"))
-    classes = marks.groupBy(*finger).agg(F.min("principal").alias("cls"), F.count(F.lit(1)).alias("n_principals"))
-    class_of = stage(marks.join(classes, finger).select("principal", "cls", "n_principals"), "class_of")
-    classes = class_of.filter(F.col("principal") == F.col("cls")).select("cls", "n_principals")
-    class_groups = memberships.join(classes, F.col("principal") == F.col("cls")).select(
-        "cls", F.col("grp").alias("grantee"))
-    groups = memberships.select(F.col("grp").alias("grantee")).distinct()
-
-    def by_class(df: DataFrame) -> DataFrame:
-        return df.join(class_groups, "grantee").drop("grantee").distinct()
-
-    def direct(df: DataFrame) -> DataFrame:
-        own = df.join(groups, "grantee", "left_anti").withColumnRenamed("grantee", "principal")
-        return own.join(class_of.select("principal", "cls"), "principal", "left")
-
-    # What groups give to each class.
-    class_catalogs = by_class(rights.catalogs)
-    class_schemas = by_class(rights.schemas)
-    usable = stage(class_schemas.join(class_catalogs, ["cls", "catalog"], "left_semi"), "usable")
-    class_whole = stage(by_class(rights.whole), "whole")
-
-    # Classes of objects.
-    group_objects = rights.objects.join(groups, "grantee", "left_semi")
-    object_marks = group_objects.groupBy(*OBJECT).agg(*_fingerprint("grantee"))
-    object_classes = object_marks.groupBy(*SCHEMA, *finger).agg(
-        F.min("object").alias("object_cls"), F.count(F.lit(1)).alias("n"))
-    object_class_of = object_marks.join(object_classes, [*SCHEMA, *finger]).select(*OBJECT, "object_cls", "n")
-    object_class_of = stage(object_class_of, "object_class_of")
-    heads = object_class_of.filter(F.col("object") == F.col("object_cls")).drop("object_cls")
-    class_objects = stage(by_class(group_objects.join(heads, OBJECT)), "class_objects")
+    r = _Rights(grants, memberships, objects, owners)
+    # Objects a class may select in a schema.
     selected = stage(
-        class_whole.join(sizes, SCHEMA).select("cls", *SCHEMA, F.col("n_objects").alias("n"))
-        .unionByName(class_objects.groupBy("cls", *SCHEMA).agg(F.sum("n").alias("n")))
+        r.class_whole.join(r.sizes, SCHEMA).select("cls", *SCHEMA, F.col("n_objects").alias("n"))
+        .unionByName(r.class_objects.groupBy("cls", *SCHEMA).agg(F.sum("n").alias("n")))
         .groupBy("cls", *SCHEMA).agg(F.max("n").alias("n")),
         "selected",
     )
+    # The same, summed over the schemas of a catalog that the class may use.
+    selected_usable = selected.join(r.class_schemas, ["cls", *SCHEMA], "left_semi").groupBy("cls", "catalog").agg(
+        F.sum("n").alias("n"))
 
-    # Principals whose own grants make a schema usable that their class cannot use.
-    own_catalogs, own_schemas = direct(rights.catalogs), direct(rights.schemas)
-    own_whole, own_objects = direct(rights.whole), direct(rights.objects)
-    at_schema = ["principal", "cls", *SCHEMA]
-    opened = (
-        own_schemas.join(own_catalogs.select("principal", "catalog"), ["principal", "catalog"], "left_semi")
-        .unionByName(own_schemas.join(class_catalogs, ["cls", "catalog"], "left_semi"))
-        .unionByName(own_catalogs.join(class_schemas, ["cls", "catalog"]).select(*at_schema))
-        .select(*at_schema).distinct()
-    )
-    extra = stage(opened.join(usable, ["cls", *SCHEMA], "left_anti"), "extra")
-
-    def readable(df: DataFrame) -> DataFrame:
-        return df.join(usable, ["cls", *SCHEMA], "left_semi").select(*df.columns).unionByName(
-            df.join(extra, ["principal", *SCHEMA], "left_semi").select(*df.columns))
-
-    by_groups = usable.join(selected, ["cls", *SCHEMA]).join(classes, "cls").select(
+    # 1. The class holds everything needed.
+    by_class = selected_usable.join(r.class_catalogs, ["cls", "catalog"], "left_semi").join(r.classes, "cls").select(
         "catalog", (F.col("n") * F.col("n_principals")).alias("pairs"))
-    by_extra = extra.join(selected, ["cls", *SCHEMA]).select("catalog", F.col("n").alias("pairs"))
+    # 2. The principal adds the catalog, the class has the rest.
+    by_catalog = (
+        r.own_catalogs.join(r.class_catalogs, ["cls", "catalog"], "left_anti")
+        .join(selected_usable, ["cls", "catalog"]).select("catalog", F.col("n").alias("pairs"))
+    )
+    # 3. The principal adds the schema, the class selects.
+    usable_schemas = r.flag_use(r.own_schemas).filter(F.col("schema_cls").isNull() & _either("catalog"))
+    by_schema = usable_schemas.join(selected, ["cls", *SCHEMA]).select("catalog", F.col("n").alias("pairs"))
+    # 4. The principal selects the whole schema: what its class does not select yet.
+    whole = r.flag_use(r.own_whole).filter(_either("catalog") & _either("schema"))
     by_whole = (
-        readable(own_whole).join(sizes, SCHEMA).join(selected, ["cls", *SCHEMA], "left")
+        whole.join(r.sizes, SCHEMA).join(selected, ["cls", *SCHEMA], "left")
         .select("catalog", (F.col("n_objects") - F.coalesce("n", F.lit(0))).alias("pairs"))
     )
-    by_objects = (
-        readable(own_objects.join(own_whole.select("principal", *SCHEMA), ["principal", *SCHEMA], "left_anti"))
-        .join(class_whole, ["cls", *SCHEMA], "left_anti")
-        .join(object_class_of.select(*OBJECT, "object_cls"), OBJECT, "left")
-        .join(class_objects.select("cls", *SCHEMA, F.col("object").alias("object_cls")),
-              ["cls", *SCHEMA, "object_cls"], "left_anti")
-        .select("catalog", F.lit(1).cast("bigint").alias("pairs"))
-    )
-    parts = by_groups.unionByName(by_extra).unionByName(by_whole).unionByName(by_objects)
+    # 5. The principal selects an object that neither of the above covers.
+    single = r.flag_objects(r.flag_use(r.own_objects).filter(_either("catalog") & _either("schema")))
+    by_object = single.filter(~_either("whole") & F.col("object_cls_held").isNull()).select(
+        "catalog", F.lit(1).cast("bigint").alias("pairs"))
+
+    parts = by_class.unionByName(by_catalog).unionByName(by_schema).unionByName(by_whole).unionByName(by_object)
     return parts.groupBy("catalog").agg(F.sum("pairs").alias("readable_pairs")).filter(F.col("readable_pairs") > 0)
 
 
@@ -174,38 +202,22 @@ def access_gaps(
 ) -> DataFrame:
     """Of the required (principal, object) pairs, those that cannot be read, with what is missing.
 
-    Each privilege is asked once per distinct (principal, place), not once per pair.
+    Each pair is looked up once per kind of right, through its class, so groups do not multiply it.
     """
-    rights = _rights(stage(grants.select(*SECURABLE, "grantee", "privilege").distinct(), "grants"), objects, owners)
-    required = stage(required.select("principal", *OBJECT).distinct(), "required")
-    people = required.select("principal").distinct()
-    grantees = stage(
-        people.select("principal", F.col("principal").alias("grantee")).unionByName(
-            memberships.join(people, "principal", "left_semi").select("principal", F.col("grp").alias("grantee"))
-        ).distinct(), "grantees")
-
-    def held(place: list[str], right: DataFrame, flag: str) -> DataFrame:
-        asked = required.select("principal", *place).distinct().join(grantees, "principal")
-        return asked.join(right, ["grantee", *place], "left_semi").select("principal", *place).distinct().withColumn(
-            flag, F.lit(True))
-
-    return (
-        required
-        .join(held(["catalog"], rights.catalogs, "has_catalog"), ["principal", "catalog"], "left")
-        .join(held(SCHEMA, rights.schemas, "has_schema"), ["principal", *SCHEMA], "left")
-        .join(held(SCHEMA, rights.whole, "has_whole"), ["principal", *SCHEMA], "left")
-        .join(held(OBJECT, rights.objects, "has_object"), ["principal", *OBJECT], "left")
-        .select(
-            "principal", *OBJECT,
-            F.concat_ws(
-                ",",
-                F.when(F.col("has_catalog").isNull(), "USE CATALOG"),
-                F.when(F.col("has_schema").isNull(), "USE SCHEMA"),
-                F.when(F.coalesce("has_whole", "has_object").isNull(), "SELECT"),
-            ).alias("missing"),
-        )
-        .filter(F.col("missing") != "")
-    )
+    r = _Rights(grants, memberships, objects, owners)
+    asked = r.with_class(required.select("principal", *OBJECT).distinct())
+    own_objects = r.own_objects.select("principal", *OBJECT, F.lit(True).alias("object_own"))
+    looked_up = r.flag_objects(r.flag_use(asked)).join(own_objects, ["principal", *OBJECT], "left")
+    may_select = _either("whole") | F.col("object_cls_held").isNotNull() | F.col("object_own").isNotNull()
+    return looked_up.select(
+        "principal", *OBJECT,
+        F.concat_ws(
+            ",",
+            F.when(~_either("catalog"), "USE CATALOG"),
+            F.when(~_either("schema"), "USE SCHEMA"),
+            F.when(~may_select, "SELECT"),
+        ).alias("missing"),
+    ).filter(F.col("missing") != "")
 
 
 def audit_rollup(events: DataFrame) -> DataFrame:

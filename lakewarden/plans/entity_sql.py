@@ -122,16 +122,23 @@ _CTES: dict[str, tuple[list[str], str]] = {
     "uc": (["grant_log", "who"], """
         select distinct principal, catalog from grant_log join who using (grantee) where privilege = 'USE CATALOG'"""),
     "us": (["grant_log", "who", "assets"], """
-        select distinct principal, a.catalog, a.schema
-        from (select distinct catalog, schema from assets) a
-        join grant_log g on g.catalog = a.catalog and (g.securable_type = 'CATALOG' or g.schema = a.schema)
-        join who using (grantee) where privilege = 'USE SCHEMA'"""),
+        select principal, catalog, schema from grant_log join who using (grantee)
+        where privilege = 'USE SCHEMA' and securable_type = 'SCHEMA'
+        union select principal, c.catalog, a.schema
+        from (select distinct principal, catalog from grant_log join who using (grantee)
+          where privilege = 'USE SCHEMA' and securable_type = 'CATALOG') c
+        join (select distinct catalog, schema from assets) a on a.catalog = c.catalog"""),
     "sel": (["grant_log", "who", "assets", "owners"], """
-        select distinct principal, a.catalog, a.schema, a.object
-        from assets a join grant_log g on g.catalog = a.catalog and (g.securable_type = 'CATALOG'
-          or (g.securable_type = 'SCHEMA' and g.schema = a.schema)
-          or (g.securable_type = 'TABLE' and g.object = a.object))
-        join who using (grantee) where privilege = 'SELECT'
+        select principal, catalog, schema, object from grant_log join who using (grantee)
+        where privilege = 'SELECT' and securable_type = 'TABLE'
+        union select principal, a.catalog, a.schema, a.object
+        from (select distinct principal, catalog, schema from grant_log join who using (grantee)
+          where privilege = 'SELECT' and securable_type = 'SCHEMA') s
+        join assets a on a.catalog = s.catalog and a.schema = s.schema
+        union select principal, a.catalog, a.schema, a.object
+        from (select distinct principal, catalog from grant_log join who using (grantee)
+          where privilege = 'SELECT' and securable_type = 'CATALOG') c
+        join assets a on a.catalog = c.catalog
         union select owner, catalog, schema, object from owners"""),
     "usage": ([], """
         select event_type as sku_name, case when event_type = 'purchase' then 'DBU' else 'GB' end as usage_unit,
