@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,5 +56,10 @@ def pick(index: Column, values: list[str]) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (index % len(values) + 1).cast("int"))
 
 
+def all_present(*cols: str) -> Column:
+    """None of the columns is NULL; unlike dropna this reaches the scan."""
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in cols])
+
+
 def _col(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col

@@ -7,13 +7,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakewarden.functions.scalars import all_present
+
 
 def fk_orphan_keys(child: DataFrame, parent: DataFrame, keys: dict[str, str]) -> DataFrame:
     """Child keys without a parent and their row counts. A NULL key is no violation.
 
     Keys are counted before the join, so a key that holds a third of the rows is one row here.
     """
-    found = child.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    found = child.filter(all_present(*keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
     return found.join(_as_child_keys(parent, keys), list(keys), "left_anti")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakewarden.functions.scalars import MONEY, exact_avg, exact_sum, health_score, month_of
+from lakewarden.functions.scalars import MONEY, all_present, exact_avg, exact_sum, health_score, month_of
 
 CUSTOMER_COLUMNS = ["customer_id", "first_name", "last_name", "email", "phone", "street_address", "city",
                     "state", "country", "region"]
@@ -13,7 +13,7 @@ CUSTOMER_COLUMNS = ["customer_id", "first_name", "last_name", "email", "phone",
 
 def clean_customers(df: DataFrame, strict: bool = True) -> DataFrame:
     """Rows with an id; the strict form also asks for an e-mail address."""
-    kept = df.dropna(subset=["customer_id", "email"] if strict else ["customer_id"])
+    kept = df.filter(all_present("customer_id", "email") if strict else all_present("customer_id"))
     return kept.select(*CUSTOMER_COLUMNS, F.col("created_date").cast("date").alias("created_date"))
 
 
@@ -26,14 +26,14 @@ def clean_transactions(df: DataFrame, strict: bool = True) -> DataFrame:
     if dict(df.dtypes)["amount"] == "string":
         amount = amount.try_cast("double")
     typed = df.withColumns({"amount": amount, "transaction_date": F.col("transaction_date").cast("date")})
-    kept = typed.dropna(subset=["transaction_id", "customer_id", "amount"])
+    kept = typed.filter(all_present("transaction_id", "customer_id", "amount"))
     return kept.filter(F.col("amount") >= 0) if strict else kept
 
 
 def clean_interactions(df: DataFrame, strict: bool = True) -> DataFrame:
     """Rows with ids; the strict form also asks for an interaction type."""
     keys = ["interaction_id", "customer_id"] + (["interaction_type"] if strict else [])
-    return df.dropna(subset=keys).select(
+    return df.filter(all_present(*keys)).select(
         "interaction_id", "customer_id", "channel", "interaction_type",
         F.col("sentiment_score").cast("double").alias("sentiment_score"),
         F.col("interaction_date").cast("date").alias("interaction_date"),
@@ -53,7 +53,7 @@ def totals_by_parent(t: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """
     per_parent = t.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("amount").cast(MONEY)).alias("amount"))
     return (
-        per_parent.join(parents.select(key, "customer_id").dropna(subset=["customer_id"]), key)
+        per_parent.join(parents.select(key, "customer_id").filter(all_present("customer_id")), key)
         .groupBy("customer_id")
         .agg(F.sum("n").alias("total_transactions"), F.sum("amount").cast("double").alias("total_amount"))
     )
@@ -87,21 +87,21 @@ def customer_health_v2(c: DataFrame, totals: DataFrame, i: DataFrame) -> DataFra
     )
 
 
-def revenue_summary(t: DataFrame, c: DataFrame, only_purchases: bool = True) -> DataFrame:
+def revenue_summary(t: DataFrame, c: DataFrame | None = None, only_purchases: bool = True) -> DataFrame:
     """Count, sum and mean by region, category and month.
 
     The setup variant counts purchases only; the later one counts all types and names the mean
-    avg_transaction_value.
+    avg_transaction_value. Without ``c`` the transactions carry their region already.
     """
     if only_purchases:
         t = t.filter(F.col("transaction_type") == "purchase")
+    if c is not None:
+        t = t.join(c.select("customer_id", "region"), "customer_id")
     mean = "avg_revenue" if only_purchases else "avg_transaction_value"
-    return (
-        t.join(c.select("customer_id", "region"), "customer_id")
-        .groupBy("region", "product_category", month_of("transaction_date").alias("month"))
-        .agg(F.count(F.lit(1)).alias("transaction_count"),
-             exact_sum("amount").alias("total_revenue"),
-             exact_avg("amount").alias(mean))
+    return t.groupBy("region", "product_category", month_of("transaction_date").alias("month")).agg(
+        F.count(F.lit(1)).alias("transaction_count"),
+        exact_sum("amount").alias("total_revenue"),
+        exact_avg("amount").alias(mean),
     )
 
 

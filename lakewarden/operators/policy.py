@@ -12,6 +12,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakewarden.session import stage
+
 
 @dataclass(frozen=True)
 class MaskPolicy:
@@ -118,14 +120,13 @@ def policy_visibility(
     ``rules`` maps a group to an allowed value of ``col``. Rows are counted per value first, so the
     job joins principals with values and never with rows.
     """
-    per_value = df.groupBy(F.col(col).alias("allowed")).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("total"))
+    per_value = stage(df.groupBy(F.col(col).alias("allowed")).agg(F.count(F.lit(1)).alias("n")), "per_value")
+    n_total = per_value.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     is_admin = members.filter(F.col("grp") == admins).select("principal").distinct().withColumn("is_admin", F.lit(True))
     seen = (
         members.join(rules, "grp").select("principal", "allowed").distinct()
         .join(per_value, "allowed").groupBy("principal").agg(F.sum("n").alias("n"))
     )
-    n_total = total.first()["total"]
     return (
         principals.select("principal").distinct().join(seen, "principal", "left").join(is_admin, "principal", "left")
         .select(

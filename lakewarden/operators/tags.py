@@ -10,25 +10,25 @@ from lakewarden.operators.lineage import closure
 KEYS = ["catalog", "schema", "object", "column_name"]
 
 
-def current_tags(log: DataFrame, order: list[str]) -> DataFrame:
+def current_tags(log: DataFrame, order: list[str], keys: list[str] = KEYS) -> DataFrame:
     """Net tags of a change log: the last change per (column, tag) wins, unset ones are gone.
 
-    The newest change is kept by an aggregate, so it is already reduced before the shuffle.
-    ``order`` must be total up to equal changes; later columns break ties.
+    The newest change is kept by an aggregate, so an object with very many changes is already
+    reduced before the shuffle. ``order`` must be total up to equal changes.
     """
     newest = F.max(F.struct(*order, "action", "tag_value")).alias("last")
     return (
-        log.groupBy(*KEYS, "tag_name").agg(newest)
+        log.groupBy(*keys, "tag_name").agg(newest)
         .filter(F.col("last.action") == "SET")
-        .select(*KEYS, "tag_name", F.col("last.tag_value").alias("tag_value"))
+        .select(*keys, "tag_name", F.col("last.tag_value").alias("tag_value"))
     )
 
 
-def apply_tags(tags: DataFrame, changes: DataFrame, order: list[str]) -> DataFrame:
+def apply_tags(tags: DataFrame, changes: DataFrame, order: list[str], keys: list[str] = KEYS) -> DataFrame:
     """Current tags after a batch of SET / UNSET changes; every change is newer than the tags."""
     kinds = dict(changes.dtypes)
     old = tags.withColumn("action", F.lit("SET")).withColumns({c: F.lit(None).cast(kinds[c]) for c in order})
-    return current_tags(old.unionByName(changes.select(*old.columns)), order)
+    return current_tags(old.unionByName(changes.select(*old.columns)), order, keys)
 
 
 def find_tagged(tags: DataFrame, name: str, value: str | None = None) -> DataFrame:

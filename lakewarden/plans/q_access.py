@@ -6,13 +6,12 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from lakewarden.operators import access, lineage, tags
-from lakewarden.plans.entity_sql import sql_list, with_entities
+from lakewarden.operators import access, classify, lineage, tags
+from lakewarden.plans.entity_sql import with_entities
 from lakewarden.plans.q_governance import _FAILED_SQL, _line_rules, _tags
 from lakewarden.plans.q_medallion import silver_c, silver_i, silver_t
 from lakewarden.plans.registry import query
-from lakewarden.operators import classify
-from lakewarden.session import shared_path, stage
+from lakewarden.session import shared_path
 from lakewarden.sources import entities as E
 from lakewarden.sources.tables import load
 from lakewarden.streaming import jobs

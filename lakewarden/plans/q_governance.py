@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lakewarden.functions.scalars import exact_avg, exact_sum
 from lakewarden.operators import classify, integrity, monitor, policy, shares, tags, versions
-from lakewarden.plans.entity_sql import sql_list, with_entities
+from lakewarden.plans.entity_sql import with_entities
 from lakewarden.plans.q_medallion import (
     PRIMARY_KEYS, TABLES, health, revenue, silver_c, silver_i, silver_t, table_columns, union,
 )
@@ -356,7 +356,8 @@ _VOCAB_SQL = "(values " + ", ".join(f"('{t}', '{v}')" for t, vs in E.GOVERNED_VA
 
 
 def _tags(spark, d):
-    return tags.current_tags(E.tag_log(spark, d), ["changed_on", "seq"])
+    net = tags.current_tags(E.tag_log(spark, d), ["changed_on", "seq"], ["object", "column_name"])
+    return E.named_tags(net, spark, d).select("catalog", "schema", "object", "column_name", "tag_name", "tag_value")
 
 
 @query("tags_current", with_entities("tags", f"select {_KEY}, tag_name, tag_value from tags"))

@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakewarden.functions.scalars import exact_avg, exact_sum, health_score
+from lakewarden.functions.scalars import all_present, exact_avg, exact_sum, health_score
 from lakewarden.operators import churn, classify, medallion
-from lakewarden.plans.entity_sql import sql_list, sql_pick, with_entities
+from lakewarden.plans.entity_sql import sql_pick, with_entities
 from lakewarden.plans.metrics import MetricSpec
 from lakewarden.plans.registry import query
 from lakewarden.session import shared_path
@@ -65,7 +65,7 @@ def silver_i(spark, d):
 
 
 def totals(spark, d):
-    valid = E.lines(spark, d).dropna(subset=["transaction_id", "amount"]).filter("amount >= 0")
+    valid = E.lines(spark, d).filter(all_present("transaction_id", "amount")).filter("amount >= 0")
     orders = tables.load(spark, d, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer_id"))
     return medallion.totals_by_parent(valid, orders, "l_orderkey")
@@ -76,7 +76,8 @@ def health(spark, d):
 
 
 def revenue(spark, d, only_purchases=True):
-    return medallion.revenue_summary(silver_t(spark, d), silver_c(spark, d), only_purchases)
+    region = silver_c(spark, d).select("customer_id", "region")
+    return medallion.revenue_summary(silver_t(spark, d, by_customer=region), only_purchases=only_purchases)
 
 
 def all_column_counts(spark, d):

@@ -71,7 +71,7 @@ def lines(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "lineitem").select(
         "l_orderkey",
         "l_partkey",
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+        F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
         .alias("transaction_id"),
         _amount().alias("amount"),
         pick(F.col("l_suppkey"), CURRENCIES).alias("currency"),
@@ -80,16 +80,23 @@ def lines(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def transactions(spark: SparkSession, d: str, category: bool = True, customer: bool = True) -> DataFrame:
+def transactions(spark: SparkSession, d: str, category: bool = True, customer: bool = True,
+                 by_customer: DataFrame | None = None) -> DataFrame:
+    """``by_customer`` adds its columns and keeps its customers only. It is joined to the orders, so
+    the far larger line items are not shuffled once more for it."""
     df = lines(spark, d)
+    names = ["transaction_id", "customer_id", "amount", "currency", "transaction_type",
+             "product_category", "transaction_date"]
     if customer:
         orders = load(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("customer_id"))
-        df = df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left").drop("o_orderkey")
+        if by_customer is not None:
+            orders = orders.join(by_customer, "customer_id")
+            names += [c for c in by_customer.columns if c != "customer_id"]
+        how = "left" if by_customer is None else "inner"
+        df = df.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), how).drop("o_orderkey")
     if category:
         part = load(spark, d, "part").select("p_partkey", F.col("p_type").alias("product_category"))
         df = df.join(part, F.col("l_partkey") == F.col("p_partkey"), "left").drop("p_partkey")
-    names = ["transaction_id", "customer_id", "amount", "currency", "transaction_type",
-             "product_category", "transaction_date"]
     return df.select(*[n for n in names if n in df.columns])
 
 
@@ -196,7 +203,7 @@ def tag_log(spark: SparkSession, d: str) -> DataFrame:
     value = F.lit(None).cast("string")
     for n in names:
         value = F.when(name == n, pick(F.col("l_suppkey"), TAG_VALUES[n])).otherwise(value)
-    changes = load(spark, d, "lineitem").select(
+    return load(spark, d, "lineitem").select(
         F.col("l_partkey").alias("object"),
         pick(F.col("l_linenumber") - 1, COLUMN_NAMES).alias("column_name"),
         name.alias("tag_name"),
@@ -205,7 +212,11 @@ def tag_log(spark: SparkSession, d: str) -> DataFrame:
         F.col("l_shipdate").cast("date").alias("changed_on"),
         F.col("l_orderkey").alias("seq"),
     )
-    return changes.join(assets(spark, d).select("catalog", "schema", "object"), "object")
+
+
+def named_tags(tags: DataFrame, spark: SparkSession, d: str) -> DataFrame:
+    """Tags with the full name of their object, attached after the log is reduced."""
+    return tags.join(assets(spark, d).select("catalog", "schema", "object"), "object")
 
 
 def table_edges(spark: SparkSession, d: str) -> DataFrame:
