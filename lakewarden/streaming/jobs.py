@@ -34,20 +34,28 @@ def window_profile(df: DataFrame, ts: str, by: str, value: str, every: str = "1
 
 
 def stream_profile(spark: SparkSession, path: str, schema: T.StructType, ts: str, by: str, value: str,
-                   out: str, checkpoint: str) -> DataFrame:
-    """Continuous profile. Each trigger replaces the published profile, so late rows are counted too.
+                   out: str, checkpoint: str, late: str | None = None) -> DataFrame:
+    """Continuous profile; the state is one row per window and key, not the rows of the stream.
 
-    The state is one row per window and key, not the rows of the stream.
+    Without ``late`` each trigger replaces the published profile, so rows of any age are counted.
+    With it ("2 days") a window is published once, when the newest row is that much past its end;
+    its state is then dropped and rows that come even later are not counted.
     """
     events = open_stream(spark, path, schema).withColumn(ts, F.col(ts).cast("timestamp"))
+    if late is not None:
+        profiled = window_profile(events.withWatermark(ts, late), ts, by, value)
+        target = f"{out}/closed"
+        _run(profiled.writeStream.outputMode("append").format("parquet").option("path", target), checkpoint)
+        return spark.read.schema(profiled.schema).parquet(target)
+
     profiled = window_profile(events, ts, by, value)
-    target = profiled.schema
+    target = f"{out}/profile"
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/profile")
+        batch.write.mode("overwrite").parquet(target)
 
     _run(profiled.writeStream.outputMode("complete").foreachBatch(replace), checkpoint)
-    return spark.read.schema(target).parquet(f"{out}/profile")
+    return spark.read.schema(profiled.schema).parquet(target)
 
 
 def stream_quarantine(spark: SparkSession, path: str, schema: T.StructType, rules: dict[str, Column],

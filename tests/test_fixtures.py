@@ -6,6 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from lakewarden.functions import sql
 from lakewarden.functions.scalars import health_score, uuid_text
 from lakewarden.operators import (
     access, classify, integrity, lineage, medallion, monitor, policy, shares, tags, versions,
@@ -338,6 +339,22 @@ def test_federated_options():
         tables.federated_options("jdbc:x", "t", partition_col="id")
 
 
+def test_sql_functions(spark, rows):
+    sql.register_sql_functions(spark, is_admin=False, allowed="NORTH")
+    assert spark.sql("SELECT score_customer_health('test-customer-001')").first()[0] == 89.1
+    spark.createDataFrame([("ann@x", "NORTH"), (None, "NORTH"), ("bob@x", None)], "email string, region string"
+                          ).createOrReplaceTempView("people")
+    text = "SELECT mask_pii(email) FROM people WHERE filter_by_region(region)"
+    assert rows(spark.sql(text)) == [("an****",), (None,)]
+    sql.register_sql_functions(spark, is_admin=True, allowed="NORTH")
+    assert spark.sql(text).count() == 3
+
+
+def test_columns_table(spark, rows):
+    got = tables.columns_table(spark, {"t": spark.createDataFrame([], "a int, b array<string>")})
+    assert rows(got) == [("t", "a", "int", 1), ("t", "b", "array<string>", 2)]
+
+
 def test_request_queue_and_audit(spark, rows):
     r = spark.createDataFrame([("o", "approved", date(2024, 1, 1), date(2024, 1, 4)), ("o", "pending", date(2024, 1, 1), None)],
                               "owner string, status string, asked_on date, decided_on date")

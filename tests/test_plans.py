@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from lakewarden.functions.sql import register_sql_functions
 from lakewarden.operators import integrity, medallion, policy
 from lakewarden.plans import QUERIES
 from lakewarden.sources import entities as E
@@ -37,6 +38,12 @@ def test_row_filter_and_mask_reach_the_scan(spark):
     assert "Filter" not in plan(policy.secure(table, "r", registry, "root", members))
 
 
+def test_sql_row_filter_reaches_the_scan(spark):
+    register_sql_functions(spark, is_admin=False, allowed="EUROPE")
+    load(spark, SF, "region").createOrReplaceTempView("region_view")
+    assert "EqualTo(r_name,EUROPE)" in plan(spark.sql("SELECT * FROM region_view WHERE filter_by_region(r_name)"))
+
+
 def test_columns_are_pruned(spark):
     text = plan(QUERIES["transaction_totals"](spark, SF))
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_extendedprice:double,l_discount:double>" in text

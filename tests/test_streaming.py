@@ -27,6 +27,17 @@ def test_profile_continues_with_late_files(spark, rows):
     assert rows(jobs.stream_profile(*args)) == rows(batch)
 
 
+def test_profile_with_watermark_publishes_closed_windows(spark, rows):
+    base = shared_path(spark, "stream-test")
+    source = f"{base}/in"
+    _events(spark, 0, 400).write.parquet(source)
+    streamed = jobs.stream_profile(spark, source, _events(spark, 0, 1).schema, "ts", "kind", "value",
+                                   f"{base}/out", f"{base}/checkpoint", late="12 hours")
+    batch = jobs.window_profile(spark.read.parquet(source), "ts", "kind", "value")
+    # The newest row is of the third day, 23:00: only the first two days are 12 hours past their end.
+    assert rows(streamed) == rows(batch.filter("window_start < '2024-01-03'"))
+
+
 def test_quarantine_is_complete_and_disjoint(spark, rows):
     base = shared_path(spark, "stream-test")
     source = f"{base}/in"
