@@ -17,6 +17,7 @@ from lakewarden.session import stage, stage_all
 SECURABLE = ["securable_type", "catalog", "schema", "object"]
 SCHEMA = ["catalog", "schema"]
 OBJECT = ["catalog", "schema", "object"]
+RIGHTS = ["catalog", "schema", "whole"]
 
 
 def access_audit(grants: DataFrame, schemas: list[str]) -> DataFrame:
@@ -48,15 +49,21 @@ def _fingerprint(col: str) -> list[Column]:
     ]
 
 
+def _held(right: str, who: str) -> Column:
+    return F.max(F.when(F.col("right") == right, F.lit(True))).alias(f"{right}_{who}")
+
+
 class _Rights:
     """Who holds which privilege where, kept apart for groups and for single principals.
 
     Principals in the same set of groups form one class, and so do objects of a schema that are
     granted to the same set of groups. What groups give is held per class, never per member.
+    A place is a schema; ``catalog_*``, ``schema_*`` and ``whole_*`` say whether USE CATALOG,
+    USE SCHEMA and SELECT on all its objects are held there, by the class or by the principal
+    itself (TRUE, else NULL).
     """
 
     def __init__(self, grants: DataFrame, memberships: DataFrame, objects: DataFrame, owners: DataFrame | None):
-        finger = ["f0", "f1", "f2"]
         base = stage_all({
             "members": memberships.select("principal", "grp").distinct(),
             "grants": grants.select(*SECURABLE, "grantee", "privilege").distinct(),
@@ -64,6 +71,7 @@ class _Rights:
         memberships, grants = base["members"], base["grants"]
         self.sizes = objects.groupBy(*SCHEMA).agg(F.count(F.lit(1)).alias("n_objects"))
         self.groups = memberships.select(F.col("grp").alias("grantee")).distinct()
+        finger = ["f0", "f1", "f2"]
 
         marks = memberships.groupBy("principal").agg(*_fingerprint("grp"))
         heads = marks.groupBy(*finger).agg(F.min("principal").alias("cls"), F.count(F.lit(1)).alias("n_principals"))
@@ -74,80 +82,68 @@ class _Rights:
         base = stage_all({
             "class_of": marks.join(heads, finger).select("principal", "cls", "n_principals"),
             "named": named.distinct(),
+            "placed": self._placed(grants, objects.select(*SCHEMA).distinct()),
         })
-        self.class_of, named = base["class_of"], base["named"]
+        self.class_of, named, placed = base["class_of"], base["named"], base["placed"]
         self.classes = self.class_of.filter(F.col("principal") == F.col("cls")).select("cls", "n_principals")
-        self.class_groups = memberships.join(self.classes, F.col("principal") == F.col("cls")).select(
+        class_groups = memberships.join(self.classes, F.col("principal") == F.col("cls")).select(
             "cls", F.col("grp").alias("grantee"))
 
-        schemas = objects.select(*SCHEMA).distinct()
-        use_catalog = grants.filter(F.col("privilege") == "USE CATALOG").select("grantee", "catalog").distinct()
-        use_schema = self._cascade(grants, "USE SCHEMA", schemas)
-        whole = self._cascade(grants, "SELECT", schemas)
         group_objects = named.join(self.groups, "grantee", "left_semi")
         object_marks = group_objects.groupBy(*OBJECT).agg(*_fingerprint("grantee"))
         object_heads = object_marks.groupBy(*SCHEMA, *finger).agg(
             F.min("object").alias("object_cls"), F.count(F.lit(1)).alias("n"))
         staged = stage_all({
-            "class_catalogs": self._by_class(use_catalog),
-            "class_schemas": self._by_class(use_schema),
-            "class_whole": self._by_class(whole),
-            "own_catalogs": self._own(use_catalog),
-            "own_schemas": self._own(use_schema),
-            "own_whole": self._own(whole),
+            "class_places": placed.join(class_groups, "grantee").groupBy("cls", *SCHEMA).agg(
+                *[_held(r, "cls") for r in RIGHTS]),
+            "own_places": self._own(placed).groupBy("principal", *SCHEMA).agg(*[_held(r, "own") for r in RIGHTS]),
             # object, the first object of its class, size of the class
             "object_class_of": object_marks.join(object_heads, [*SCHEMA, *finger]).select(*OBJECT, "object_cls", "n"),
         })
-        self.class_catalogs, self.own_catalogs = staged["class_catalogs"], staged["own_catalogs"]
-        self.class_schemas, self.own_schemas = staged["class_schemas"], staged["own_schemas"]
-        self.class_whole, self.own_whole = staged["class_whole"], staged["own_whole"]
-        self.own_objects = self._own(named)
+        self.class_places, self.own_places = staged["class_places"], staged["own_places"]
         self.object_class_of = staged["object_class_of"]
+        self.own_objects = self._own(named)
         first = self.object_class_of.filter(F.col("object") == F.col("object_cls")).drop("object")
         self.class_objects = stage(
-            self._by_class(group_objects.withColumnRenamed("object", "object_cls").join(first, [*SCHEMA, "object_cls"])),
+            group_objects.withColumnRenamed("object", "object_cls").join(first, [*SCHEMA, "object_cls"])
+            .join(class_groups, "grantee").drop("grantee").distinct(),
             "class_objects")
 
     @staticmethod
-    def _cascade(grants: DataFrame, privilege: str, schemas: DataFrame) -> DataFrame:
-        """Holders per schema; a grant on the catalog reaches all its schemas."""
-        held = grants.filter(F.col("privilege") == privilege)
-        at_schema = held.filter(F.col("securable_type") == "SCHEMA").select("grantee", *SCHEMA)
-        above = held.filter(F.col("securable_type") == "CATALOG").select("grantee", "catalog").distinct()
-        return at_schema.unionByName(above.join(schemas, "catalog").select("grantee", *SCHEMA)).distinct()
-
-    def _by_class(self, df: DataFrame) -> DataFrame:
-        return df.join(self.class_groups, "grantee").drop("grantee").distinct()
+    def _placed(grants: DataFrame, schemas: DataFrame) -> DataFrame:
+        """(grantee, place, right); a right on the catalog reaches all its schemas."""
+        privilege = F.col("privilege")
+        right = (
+            F.when(privilege == "USE CATALOG", "catalog").when(privilege == "USE SCHEMA", "schema")
+            .when((privilege == "SELECT") & (F.col("securable_type") != "TABLE"), "whole"))
+        held = grants.withColumn("right", right).filter(F.col("right").isNotNull()).select(
+            "grantee", *SCHEMA, "right").distinct()
+        above = held.filter(F.col("schema").isNull()).drop("schema").join(schemas, "catalog")
+        return held.filter(F.col("schema").isNotNull()).unionByName(above).distinct()
 
     def _own(self, df: DataFrame) -> DataFrame:
-        """Grants to principals themselves, with their class (NULL for one without groups)."""
-        return self.with_class(df.join(self.groups, "grantee", "left_anti").withColumnRenamed("grantee", "principal"))
+        """Grants to principals themselves."""
+        return df.join(self.groups, "grantee", "left_anti").withColumnRenamed("grantee", "principal")
 
     def with_class(self, df: DataFrame) -> DataFrame:
+        """Adds the class of the principal: NULL for one without groups."""
         return df.join(self.class_of.select("principal", "cls"), "principal", "left")
 
-    def flag(self, df: DataFrame, name: str, by_class: DataFrame, own: DataFrame, place: list[str]) -> DataFrame:
-        """Adds ``name``_cls and ``name``_own: NULL where the class, or the principal itself, has no such right."""
-        yes = F.lit(True)
-        return (
-            df.join(by_class.select("cls", *place, yes.alias(f"{name}_cls")), ["cls", *place], "left")
-            .join(own.select("principal", *place, yes.alias(f"{name}_own")), ["principal", *place], "left")
-        )
-
-    def flag_use(self, df: DataFrame) -> DataFrame:
-        df = self.flag(df, "catalog", self.class_catalogs, self.own_catalogs, ["catalog"])
-        return self.flag(df, "schema", self.class_schemas, self.own_schemas, SCHEMA)
-
-    def flag_objects(self, df: DataFrame) -> DataFrame:
-        """Adds ``whole_*`` and ``object_cls_held``: SELECT on the schema, and on the object through groups."""
-        df = self.flag(df, "whole", self.class_whole, self.own_whole, SCHEMA)
+    def with_class_rights(self, df: DataFrame) -> DataFrame:
+        return df.join(self.class_places, ["cls", *SCHEMA], "left")
+
+    def with_own_rights(self, df: DataFrame) -> DataFrame:
+        return df.join(self.own_places, ["principal", *SCHEMA], "left")
+
+    def with_class_objects(self, df: DataFrame) -> DataFrame:
+        """Adds ``object_cls_held``: SELECT on the object through groups."""
         held = self.class_objects.select("cls", *SCHEMA, "object_cls", F.lit(True).alias("object_cls_held"))
         return df.join(self.object_class_of.select(*OBJECT, "object_cls"), OBJECT, "left").join(
             held, ["cls", *SCHEMA, "object_cls"], "left")
 
 
-def _either(name: str) -> Column:
-    return F.col(f"{name}_cls").isNotNull() | F.col(f"{name}_own").isNotNull()
+def _either(right: str) -> Column:
+    return F.coalesce(f"{right}_cls", f"{right}_own", F.lit(False))
 
 
 def effective_access(
@@ -161,38 +157,32 @@ def effective_access(
     r = _Rights(grants, memberships, objects, owners)
     # Objects a class may select in a schema.
     selected = stage(
-        r.class_whole.join(r.sizes, SCHEMA).select("cls", *SCHEMA, F.col("n_objects").alias("n"))
+        r.class_places.filter("whole_cls").join(r.sizes, SCHEMA).select("cls", *SCHEMA, F.col("n_objects").alias("n"))
         .unionByName(r.class_objects.groupBy("cls", *SCHEMA).agg(F.sum("n").alias("n")))
         .groupBy("cls", *SCHEMA).agg(F.max("n").alias("n")),
         "selected",
     )
-    # The same, summed over the schemas of a catalog that the class may use.
-    selected_usable = selected.join(r.class_schemas, ["cls", *SCHEMA], "left_semi").groupBy("cls", "catalog").agg(
-        F.sum("n").alias("n"))
-
-    # 1. The class holds everything needed.
-    by_class = selected_usable.join(r.class_catalogs, ["cls", "catalog"], "left_semi").join(r.classes, "cls").select(
-        "catalog", (F.col("n") * F.col("n_principals")).alias("pairs"))
-    # 2. The principal adds the catalog, the class has the rest.
-    by_catalog = (
-        r.own_catalogs.join(r.class_catalogs, ["cls", "catalog"], "left_anti")
-        .join(selected_usable, ["cls", "catalog"]).select("catalog", F.col("n").alias("pairs"))
+    by_class = (
+        r.class_places.filter("catalog_cls and schema_cls").join(selected, ["cls", *SCHEMA]).join(r.classes, "cls")
+        .select("catalog", (F.col("n") * F.col("n_principals")).alias("pairs"))
     )
-    # 3. The principal adds the schema, the class selects.
-    usable_schemas = r.flag_use(r.own_schemas).filter(F.col("schema_cls").isNull() & _either("catalog"))
-    by_schema = usable_schemas.join(selected, ["cls", *SCHEMA]).select("catalog", F.col("n").alias("pairs"))
-    # 4. The principal selects the whole schema: what its class does not select yet.
-    whole = r.flag_use(r.own_whole).filter(_either("catalog") & _either("schema"))
-    by_whole = (
-        whole.join(r.sizes, SCHEMA).join(selected, ["cls", *SCHEMA], "left")
-        .select("catalog", (F.col("n_objects") - F.coalesce("n", F.lit(0))).alias("pairs"))
+    usable = _either("catalog") & _either("schema")
+    # Where a principal holds something itself: what it sees less what its class was counted with.
+    n = F.coalesce("n", F.lit(0))
+    sees = F.when(F.col("whole_own"), F.col("n_objects")).otherwise(n)
+    counted = F.when(F.col("catalog_cls") & F.col("schema_cls"), n).otherwise(0)
+    by_place = (
+        r.with_class_rights(r.with_class(r.own_places)).filter(usable)
+        .join(selected, ["cls", *SCHEMA], "left").join(r.sizes, SCHEMA)
+        .select("catalog", (sees - counted).alias("pairs"))
     )
-    # 5. The principal selects an object that neither of the above covers.
-    single = r.flag_objects(r.flag_use(r.own_objects).filter(_either("catalog") & _either("schema")))
-    by_object = single.filter(~_either("whole") & F.col("object_cls_held").isNull()).select(
-        "catalog", F.lit(1).cast("bigint").alias("pairs"))
-
-    parts = by_class.unionByName(by_catalog).unionByName(by_schema).unionByName(by_whole).unionByName(by_object)
+    # Single objects that none of the above covers.
+    by_object = (
+        r.with_class_objects(r.with_own_rights(r.with_class_rights(r.with_class(r.own_objects))).filter(usable))
+        .filter(~_either("whole") & F.col("object_cls_held").isNull())
+        .select("catalog", F.lit(1).cast("bigint").alias("pairs"))
+    )
+    parts = by_class.unionByName(by_place).unionByName(by_object)
     return parts.groupBy("catalog").agg(F.sum("pairs").alias("readable_pairs")).filter(F.col("readable_pairs") > 0)
 
 
@@ -207,8 +197,9 @@ def access_gaps(
     r = _Rights(grants, memberships, objects, owners)
     asked = r.with_class(required.select("principal", *OBJECT).distinct())
     own_objects = r.own_objects.select("principal", *OBJECT, F.lit(True).alias("object_own"))
-    looked_up = r.flag_objects(r.flag_use(asked)).join(own_objects, ["principal", *OBJECT], "left")
-    may_select = _either("whole") | F.col("object_cls_held").isNotNull() | F.col("object_own").isNotNull()
+    looked_up = r.with_class_objects(r.with_own_rights(r.with_class_rights(asked))).join(
+        own_objects, ["principal", *OBJECT], "left")
+    may_select = _either("whole") | F.coalesce("object_cls_held", "object_own", F.lit(False))
     return looked_up.select(
         "principal", *OBJECT,
         F.concat_ws(
