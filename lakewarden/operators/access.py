@@ -17,7 +17,6 @@ from lakewarden.session import stage, stage_all
 SECURABLE = ["securable_type", "catalog", "schema", "object"]
 SCHEMA = ["catalog", "schema"]
 OBJECT = ["catalog", "schema", "object"]
-RIGHTS = ["catalog", "schema", "whole"]
 
 
 def access_audit(grants: DataFrame, schemas: list[str]) -> DataFrame:
@@ -49,18 +48,29 @@ def _fingerprint(col: str) -> list[Column]:
     ]
 
 
-def _held(right: str, who: str) -> Column:
-    return F.max(F.when(F.col("right") == right, F.lit(True))).alias(f"{right}_{who}")
+def _flags(rights: list[str], suffix: str) -> list[Column]:
+    """One TRUE-or-NULL column per right."""
+    return [F.max(F.when(F.col("right") == r, F.lit(True))).alias(f"{r}_{suffix}") for r in rights]
+
+
+def _has(right: str, *suffixes: str) -> Column:
+    return F.coalesce(*[F.col(f"{right}_{s}") for s in suffixes], F.lit(False))
+
+
+# Rights are flagged per holder: by the class on the catalog and on the schema, by the principal
+# itself on the catalog and on the schema.
+BY_CLASS = ["class_catalog", "class_schema"]
+OWN = ["own_catalog", "own_schema"]
+NO_CLASS = "none"
 
 
 class _Rights:
     """Who holds which privilege where, kept apart for groups and for single principals.
 
     Principals in the same set of groups form one class, and so do objects of a schema that are
-    granted to the same set of groups. What groups give is held per class, never per member.
-    A place is a schema; ``catalog_*``, ``schema_*`` and ``whole_*`` say whether USE CATALOG,
-    USE SCHEMA and SELECT on all its objects are held there, by the class or by the principal
-    itself (TRUE, else NULL).
+    granted to the same set of groups. What groups give is held per class, never per member, and
+    a grant on a catalog stays one row, however many schemas it reaches. The rights are "catalog"
+    (USE CATALOG), "schema" (USE SCHEMA) and "whole" (SELECT on a schema or catalog).
     """
 
     def __init__(self, grants: DataFrame, memberships: DataFrame, objects: DataFrame, owners: DataFrame | None):
@@ -74,66 +84,70 @@ class _Rights:
         finger = ["f0", "f1", "f2"]
 
         marks = memberships.groupBy("principal").agg(*_fingerprint("grp"))
-        heads = marks.groupBy(*finger).agg(F.min("principal").alias("cls"), F.count(F.lit(1)).alias("n_principals"))
+        heads = marks.groupBy(*finger).agg(F.min("principal").alias("head"), F.count(F.lit(1)).alias("n_principals"))
         named = grants.filter((F.col("privilege") == "SELECT") & (F.col("securable_type") == "TABLE")).select(
             "grantee", *OBJECT)
         if owners is not None:
             named = named.unionByName(owners.select(F.col("owner").alias("grantee"), *OBJECT))
         base = stage_all({
-            "class_of": marks.join(heads, finger).select("principal", "cls", "n_principals"),
+            "class_of": marks.join(heads, finger).select(
+                "principal", "head", F.concat(F.lit("like "), "head").alias("cls"), "n_principals"),
             "named": named.distinct(),
-            "placed": self._placed(grants, objects.select(*SCHEMA).distinct()),
         })
-        self.class_of, named, placed = base["class_of"], base["named"], base["placed"]
-        self.classes = self.class_of.filter(F.col("principal") == F.col("cls")).select("cls", "n_principals")
-        class_groups = memberships.join(self.classes, F.col("principal") == F.col("cls")).select(
-            "cls", F.col("grp").alias("grantee"))
+        self.class_of, named = base["class_of"], base["named"]
+        first = self.class_of.filter(F.col("principal") == F.col("head"))
+        self.classes = first.select("cls", "n_principals")
+        self.class_groups = memberships.join(first, "principal").select("cls", F.col("grp").alias("grantee"))
+
+        privilege = F.col("privilege")
+        right = (
+            F.when(privilege == "USE CATALOG", "catalog").when(privilege == "USE SCHEMA", "schema")
+            .when((privilege == "SELECT") & (F.col("securable_type") != "TABLE"), "whole"))
+        held = grants.withColumn("right", right).filter(F.col("right").isNotNull())
+        on_catalog = held.filter(F.col("securable_type") == "CATALOG").select("grantee", "catalog", "right")
+        on_schema = held.filter(F.col("securable_type") == "SCHEMA").select("grantee", *SCHEMA, "right")
 
         group_objects = named.join(self.groups, "grantee", "left_semi")
         object_marks = group_objects.groupBy(*OBJECT).agg(*_fingerprint("grantee"))
         object_heads = object_marks.groupBy(*SCHEMA, *finger).agg(
             F.min("object").alias("object_cls"), F.count(F.lit(1)).alias("n"))
         staged = stage_all({
-            "class_places": placed.join(class_groups, "grantee").groupBy("cls", *SCHEMA).agg(
-                *[_held(r, "cls") for r in RIGHTS]),
-            "own_places": self._own(placed).groupBy("principal", *SCHEMA).agg(*[_held(r, "own") for r in RIGHTS]),
+            "class_catalogs": self._by_class(on_catalog, ["catalog"], ["catalog", "schema", "whole"]),
+            "class_schemas": self._by_class(on_schema, SCHEMA, ["schema", "whole"]),
+            "own_catalogs": self._by_principal(on_catalog, ["catalog"], ["catalog", "schema", "whole"]),
+            "own_schemas": self._by_principal(on_schema, SCHEMA, ["schema", "whole"]),
             # object, the first object of its class, size of the class
             "object_class_of": object_marks.join(object_heads, [*SCHEMA, *finger]).select(*OBJECT, "object_cls", "n"),
         })
-        self.class_places, self.own_places = staged["class_places"], staged["own_places"]
+        self.class_catalogs, self.class_schemas = staged["class_catalogs"], staged["class_schemas"]
+        self.own_catalogs, self.own_schemas = staged["own_catalogs"], staged["own_schemas"]
         self.object_class_of = staged["object_class_of"]
         self.own_objects = self._own(named)
-        first = self.object_class_of.filter(F.col("object") == F.col("object_cls")).drop("object")
+        head = self.object_class_of.filter(F.col("object") == F.col("object_cls")).drop("object")
         self.class_objects = stage(
-            group_objects.withColumnRenamed("object", "object_cls").join(first, [*SCHEMA, "object_cls"])
-            .join(class_groups, "grantee").drop("grantee").distinct(),
+            group_objects.withColumnRenamed("object", "object_cls").join(head, [*SCHEMA, "object_cls"])
+            .join(self.class_groups, "grantee").drop("grantee").distinct(),
             "class_objects")
 
-    @staticmethod
-    def _placed(grants: DataFrame, schemas: DataFrame) -> DataFrame:
-        """(grantee, place, right); a right on the catalog reaches all its schemas."""
-        privilege = F.col("privilege")
-        right = (
-            F.when(privilege == "USE CATALOG", "catalog").when(privilege == "USE SCHEMA", "schema")
-            .when((privilege == "SELECT") & (F.col("securable_type") != "TABLE"), "whole"))
-        held = grants.withColumn("right", right).filter(F.col("right").isNotNull()).select(
-            "grantee", *SCHEMA, "right").distinct()
-        above = held.filter(F.col("schema").isNull()).drop("schema").join(schemas, "catalog")
-        return held.filter(F.col("schema").isNotNull()).unionByName(above).distinct()
-
     def _own(self, df: DataFrame) -> DataFrame:
         """Grants to principals themselves."""
         return df.join(self.groups, "grantee", "left_anti").withColumnRenamed("grantee", "principal")
 
+    def _by_class(self, df: DataFrame, place: list[str], rights: list[str]) -> DataFrame:
+        return df.join(self.class_groups, "grantee").groupBy("cls", *place).agg(
+            *_flags(rights, "class_catalog" if place == ["catalog"] else "class_schema"))
+
+    def _by_principal(self, df: DataFrame, place: list[str], rights: list[str]) -> DataFrame:
+        return self._own(df).groupBy("principal", *place).agg(
+            *_flags(rights, "own_catalog" if place == ["catalog"] else "own_schema"))
+
     def with_class(self, df: DataFrame) -> DataFrame:
-        """Adds the class of the principal: NULL for one without groups."""
-        return df.join(self.class_of.select("principal", "cls"), "principal", "left")
+        joined = df.join(self.class_of.select("principal", "cls"), "principal", "left")
+        return joined.fillna(NO_CLASS, subset=["cls"])
 
     def with_class_rights(self, df: DataFrame) -> DataFrame:
-        return df.join(self.class_places, ["cls", *SCHEMA], "left")
-
-    def with_own_rights(self, df: DataFrame) -> DataFrame:
-        return df.join(self.own_places, ["principal", *SCHEMA], "left")
+        return df.join(self.class_catalogs, ["cls", "catalog"], "left").join(
+            self.class_schemas, ["cls", *SCHEMA], "left")
 
     def with_class_objects(self, df: DataFrame) -> DataFrame:
         """Adds ``object_cls_held``: SELECT on the object through groups."""
@@ -141,9 +155,26 @@ class _Rights:
         return df.join(self.object_class_of.select(*OBJECT, "object_cls"), OBJECT, "left").join(
             held, ["cls", *SCHEMA, "object_cls"], "left")
 
+    def with_rights(self, df: DataFrame) -> DataFrame:
+        """Adds the class of the principal and every right on the place of the row."""
+        own = df.join(self.own_catalogs, ["principal", "catalog"], "left").join(
+            self.own_schemas, ["principal", *SCHEMA], "left")
+        return self.with_class_rights(self.with_class(own))
+
+
+def _usable(*holders: str) -> Column:
+    on_catalog = [h for h in holders if h.endswith("catalog")]
+    return _has("catalog", *on_catalog) & _has("schema", *holders)
+
+
+def _added(*own: str) -> Column:
+    """Objects of a place that a principal reads beyond what its class was counted with.
 
-def _either(right: str) -> Column:
-    return F.coalesce(f"{right}_cls", f"{right}_own", F.lit(False))
+    ``n`` is what the class may select there, ``own`` the principal's rights to take into account.
+    """
+    n = F.coalesce("n", F.lit(0))
+    sees = F.when(_has("whole", *own), F.col("n_objects")).otherwise(n)
+    return F.when(_usable(*BY_CLASS, *own), sees).otherwise(0) - F.when(_usable(*BY_CLASS), n).otherwise(0)
 
 
 def effective_access(
@@ -155,34 +186,41 @@ def effective_access(
     grants of single principals are counted as additions to what their class has.
     """
     r = _Rights(grants, memberships, objects, owners)
-    # Objects a class may select in a schema.
+    # n: objects a class may select in a schema.
+    whole = (
+        r.class_schemas.filter("whole_class_schema").select("cls", *SCHEMA).join(r.sizes, SCHEMA)
+        .unionByName(r.class_catalogs.filter("whole_class_catalog").select("cls", "catalog").join(r.sizes, "catalog"))
+        .select("cls", *SCHEMA, F.col("n_objects").alias("n"))
+    )
     selected = stage(
-        r.class_places.filter("whole_cls").join(r.sizes, SCHEMA).select("cls", *SCHEMA, F.col("n_objects").alias("n"))
-        .unionByName(r.class_objects.groupBy("cls", *SCHEMA).agg(F.sum("n").alias("n")))
+        whole.unionByName(r.class_objects.groupBy("cls", *SCHEMA).agg(F.sum("n").alias("n")))
         .groupBy("cls", *SCHEMA).agg(F.max("n").alias("n")),
         "selected",
     )
     by_class = (
-        r.class_places.filter("catalog_cls and schema_cls").join(selected, ["cls", *SCHEMA]).join(r.classes, "cls")
+        r.with_class_rights(selected).filter(_usable(*BY_CLASS)).join(r.classes, "cls")
         .select("catalog", (F.col("n") * F.col("n_principals")).alias("pairs"))
     )
-    usable = _either("catalog") & _either("schema")
-    # Where a principal holds something itself: what it sees less what its class was counted with.
-    n = F.coalesce("n", F.lit(0))
-    sees = F.when(F.col("whole_own"), F.col("n_objects")).otherwise(n)
-    counted = F.when(F.col("catalog_cls") & F.col("schema_cls"), n).otherwise(0)
-    by_place = (
-        r.with_class_rights(r.with_class(r.own_places)).filter(usable)
-        .join(selected, ["cls", *SCHEMA], "left").join(r.sizes, SCHEMA)
-        .select("catalog", (sees - counted).alias("pairs"))
+    # Principals of one class with the same rights of their own on a catalog add the same there.
+    alike = [f"{right}_own_catalog" for right in ("catalog", "schema", "whole")]
+    own_catalogs = r.with_class(r.own_catalogs).groupBy("cls", "catalog", *alike).agg(
+        F.count(F.lit(1)).alias("n_principals"))
+    by_catalog = (
+        r.with_class_rights(own_catalogs.join(r.sizes, "catalog")).join(selected, ["cls", *SCHEMA], "left")
+        .select("catalog", (_added("own_catalog") * F.col("n_principals")).alias("pairs"))
     )
-    # Single objects that none of the above covers.
-    by_object = (
-        r.with_class_objects(r.with_own_rights(r.with_class_rights(r.with_class(r.own_objects))).filter(usable))
-        .filter(~_either("whole") & F.col("object_cls_held").isNull())
-        .select("catalog", F.lit(1).cast("bigint").alias("pairs"))
+    # Where a principal has rights on a schema itself, the difference these make.
+    own_schemas = r.own_schemas.join(r.own_catalogs, ["principal", "catalog"], "left")
+    by_schema = (
+        r.with_class_rights(r.with_class(own_schemas)).join(selected, ["cls", *SCHEMA], "left").join(r.sizes, SCHEMA)
+        .select("catalog", (_added(*OWN) - _added("own_catalog")).alias("pairs"))
     )
-    parts = by_class.unionByName(by_place).unionByName(by_object)
+    # Single objects that none of the above covers.
+    single = r.with_rights(r.own_objects).filter(_usable(*BY_CLASS, *OWN) & ~_has("whole", *BY_CLASS, *OWN))
+    by_object = r.with_class_objects(single).filter(F.col("object_cls_held").isNull()).select(
+        "catalog", F.lit(1).cast("bigint").alias("pairs"))
+
+    parts = by_class.unionByName(by_catalog).unionByName(by_schema).unionByName(by_object)
     return parts.groupBy("catalog").agg(F.sum("pairs").alias("readable_pairs")).filter(F.col("readable_pairs") > 0)
 
 
@@ -195,17 +233,17 @@ def access_gaps(
     Each pair is looked up once per kind of right, through its class, so groups do not multiply it.
     """
     r = _Rights(grants, memberships, objects, owners)
-    asked = r.with_class(required.select("principal", *OBJECT).distinct())
+    asked = required.select("principal", *OBJECT).distinct()
     own_objects = r.own_objects.select("principal", *OBJECT, F.lit(True).alias("object_own"))
-    looked_up = r.with_class_objects(r.with_own_rights(r.with_class_rights(asked))).join(
-        own_objects, ["principal", *OBJECT], "left")
-    may_select = _either("whole") | F.coalesce("object_cls_held", "object_own", F.lit(False))
+    looked_up = r.with_class_objects(r.with_rights(asked)).join(own_objects, ["principal", *OBJECT], "left")
+    holders = [*BY_CLASS, *OWN]
+    may_select = _has("whole", *holders) | F.coalesce("object_cls_held", "object_own", F.lit(False))
     return looked_up.select(
         "principal", *OBJECT,
         F.concat_ws(
             ",",
-            F.when(~_either("catalog"), "USE CATALOG"),
-            F.when(~_either("schema"), "USE SCHEMA"),
+            F.when(~_has("catalog", "class_catalog", "own_catalog"), "USE CATALOG"),
+            F.when(~_has("schema", *holders), "USE SCHEMA"),
             F.when(~may_select, "SELECT"),
         ).alias("missing"),
     ).filter(F.col("missing") != "")

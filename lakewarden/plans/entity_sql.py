@@ -141,7 +141,7 @@ _CTES: dict[str, tuple[list[str], str]] = {
         join assets a on a.catalog = c.catalog
         union select owner, catalog, schema, object from owners"""),
     "usage": ([], """
-        select event_type as sku_name, case when event_type = 'purchase' then 'DBU' else 'GB' end as usage_unit,
+        select event_type as sku_name, case when event_type = 'purchase' then 'HOURS' else 'GB' end as usage_unit,
           value as usage_quantity, cast(ts as date) as usage_date, user_id as principal from events"""),
     "tag_log": (["assets"], f"""
         select a.catalog, a.schema, a.object, {_column} as column_name, {_tag_name} as tag_name,

@@ -188,7 +188,7 @@ def owners(spark: SparkSession, d: str) -> DataFrame:
 def usage(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "events").select(
         F.col("event_type").alias("sku_name"),
-        F.when(F.col("event_type") == "purchase", "DBU").otherwise("GB").alias("usage_unit"),
+        F.when(F.col("event_type") == "purchase", "HOURS").otherwise("GB").alias("usage_unit"),
         F.col("value").alias("usage_quantity"),
         F.col("ts").cast("date").alias("usage_date"),
         F.col("user_id").alias("principal"),
