@@ -12,22 +12,26 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from lakewarden.session import shared_path, stage
 
 
-def closure(edges: DataFrame, roots: DataFrame, max_depth: int | None = None) -> DataFrame:
+def closure(edges: DataFrame, roots: DataFrame, max_depth: int | None = None, stored: bool = False) -> DataFrame:
     """Every node that can be reached from the roots, with its smallest depth.
 
     ``edges`` has (src, dst), ``roots`` has (node) or (origin, node) to keep one result per origin.
+    ``stored`` says that the edges are a plain stored table, which need not be written first.
     Works hop by hop: new nodes are written to the shared folder and become the next frontier, so a
     lost executor costs no more than its task and the plan stays short. A small frontier is
     broadcast by the planner from its file size and the edges are then not shuffled; a large one
     is joined by shuffle, where AQE splits a source that holds too many edges. Visited nodes drop
-    out, so cycles end.
+    out, so cycles end. Edges may repeat: reached nodes are made distinct, which costs less than
+    a shuffle of all edges beforehand.
     """
     spark = edges.sparkSession
     single = "origin" not in roots.columns
     if single:
         roots = roots.withColumn("origin", F.lit(0))
     base = shared_path(spark, "closure")
-    arcs = stage(edges.select("src", "dst").filter("src is not null and dst is not null and src <> dst"), "edges")
+    arcs = edges.select("src", "dst").filter("src is not null and dst is not null and src <> dst")
+    if not stored:
+        arcs = stage(arcs, "edges")
     first = roots.select("origin", "node").dropna().distinct()
     first.write.parquet(f"{base}/depth=0")
 
@@ -92,10 +96,10 @@ def column_arcs(column_edges: DataFrame) -> DataFrame:
 def pii_flow_closure(column_edges: DataFrame, cols: list[str], source_prefix: str,
                      max_depth: int | None = None) -> DataFrame:
     """Columns reached, over any number of hops and renames, from the named columns of source tables."""
-    roots = column_edges.filter(
-        F.col("source_column_name").isin(*cols) & F.startswith("source_table_full_name", F.lit(source_prefix))
-    ).select(column_node("source").alias("node"))
-    return closure(column_arcs(column_edges), roots, max_depth)
+    is_root = F.col("source_column_name").isin(*cols) & F.startswith("source_table_full_name", F.lit(source_prefix))
+    arcs = stage(column_edges.select(
+        column_node("source").alias("src"), column_node("target").alias("dst"), is_root.alias("is_root")), "arcs")
+    return closure(arcs, arcs.filter("is_root").select(F.col("src").alias("node")), max_depth, stored=True)
 
 
 def pii_leaks(reached: DataFrame, forbidden_prefix: str, masked_columns: list[str]) -> DataFrame:

@@ -126,7 +126,7 @@ def _(spark, d):
 def _(spark, d):
     root = load(spark, d, "supplier").filter("s_suppkey = 1").select(
         F.concat(F.lit("supplier:"), "s_suppkey").alias("node"))
-    return lineage.impact(E.table_edges(spark, d), root)
+    return lineage.impact(E.table_events(spark, d), root)
 
 
 @query("pii_flow", with_entities("col_edges", f"""
@@ -143,7 +143,7 @@ _REACH = """
 
 
 def _reached(spark, d):
-    return lineage.pii_flow_closure(E.column_edges(spark, d), E.PII_COLUMNS, "part:")
+    return lineage.pii_flow_closure(E.column_events(spark, d), E.PII_COLUMNS, "part:")
 
 
 @query("pii_flow_closure", with_entities("col_arcs", "select node, min(depth) as depth from reach group by node",
@@ -167,7 +167,7 @@ def _(spark, d):
 def _(spark, d):
     pii = _tags(spark, d).filter("tag_name = 'pii' and tag_value = 'true'").select(
         F.concat(F.lit("part:"), F.col("object"), F.lit("."), F.col("column_name")).alias("node"))
-    return tags.propagate_tags(pii, lineage.column_arcs(E.column_edges(spark, d)))
+    return tags.propagate_tags(pii, lineage.column_arcs(E.column_events(spark, d)))
 
 
 @query("lineage_with_external", with_entities("edges", """
@@ -177,7 +177,7 @@ def _(spark, d):
       union all select 'order:' || o_orderkey, 'customer:' || o_custkey, 'external' from orders
         where o_orderstatus = 'F') group by all"""))
 def _(spark, d):
-    automatic = E.table_edges(spark, d).select("source_table_full_name", "target_table_full_name")
+    automatic = E.table_events(spark, d).select("source_table_full_name", "target_table_full_name")
     reports = load(spark, d, "customer").select(
         F.concat(F.lit("customer:"), "c_custkey").alias("source_table_full_name"),
         F.concat(F.lit("dashboard:"), "c_mktsegment").alias("target_table_full_name"))

@@ -219,8 +219,8 @@ def named_tags(tags: DataFrame, spark: SparkSession, d: str) -> DataFrame:
     return tags.join(assets(spark, d).select("catalog", "schema", "object"), "object")
 
 
-def table_edges(spark: SparkSession, d: str) -> DataFrame:
-    """Table lineage: supplier -> part -> order -> customer, newest event per edge."""
+def table_events(spark: SparkSession, d: str) -> DataFrame:
+    """Table lineage as it was observed: supplier -> part -> order -> customer, one row per event."""
     line = load(spark, d, "lineitem").select(
         F.concat(F.lit("supplier:"), "l_suppkey").alias("s"),
         F.concat(F.lit("part:"), "l_partkey").alias("p"),
@@ -240,15 +240,17 @@ def table_edges(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit("customer:"), "o_custkey").alias("target_table_full_name"),
         F.lit("TABLE").alias("entity_type"),
     )
-    return (
-        from_lines.unionByName(from_orders)
-        .groupBy("source_table_full_name", "target_table_full_name", "entity_type")
-        .agg(F.max("event_date").alias("event_date"))
-    )
+    return from_lines.unionByName(from_orders)
 
 
-def column_edges(spark: SparkSession, d: str) -> DataFrame:
-    """Column lineage: part columns feed order columns (every other one renamed), which feed customer columns."""
+def table_edges(spark: SparkSession, d: str) -> DataFrame:
+    """One row per edge with its newest event."""
+    return table_events(spark, d).groupBy("source_table_full_name", "target_table_full_name", "entity_type").agg(
+        F.max("event_date").alias("event_date"))
+
+
+def column_events(spark: SparkSession, d: str) -> DataFrame:
+    """Column lineage as it was observed: part columns feed order columns (every other one renamed), which feed customer columns."""
     line = load(spark, d, "lineitem")
     name = pick(F.col("l_linenumber") - 1, COLUMN_NAMES)
     renamed = F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("contact_"), name)).otherwise(name)
@@ -270,5 +272,9 @@ def column_edges(spark: SparkSession, d: str) -> DataFrame:
             F.col("l_shipdate").cast("date").alias("event_date"),
         )
     )
+    return part_to_order.unionByName(order_to_customer)
+
+
+def column_edges(spark: SparkSession, d: str) -> DataFrame:
     keys = ["source_table_full_name", "source_column_name", "target_table_full_name", "target_column_name"]
-    return part_to_order.unionByName(order_to_customer).groupBy(*keys).agg(F.max("event_date").alias("event_date"))
+    return column_events(spark, d).groupBy(*keys).agg(F.max("event_date").alias("event_date"))
