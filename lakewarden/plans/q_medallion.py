@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakewarden.functions.scalars import all_present, exact_avg, exact_sum, health_score
-from lakewarden.operators import churn, classify, medallion
+from lakewarden.operators import churn, classify, medallion, policy
 from lakewarden.plans.entity_sql import sql_pick, with_entities
 from lakewarden.plans.metrics import MetricSpec
 from lakewarden.plans.registry import query
-from lakewarden.session import shared_path
+from lakewarden.session import shared_path, stage
 from lakewarden.sources import entities as E
 from lakewarden.sources import sinks, synth, tables
 
@@ -200,9 +200,8 @@ def _(spark, d):
     select customer_id, left(email, 2) || '****' as email, region, 'segment_a' as segment
     from clean_c where region = 'EUROPE' order by customer_id limit 100"""))
 def _(spark, d):
-    from lakewarden.operators.policy import mask_columns, row_filter
-
-    secured = mask_columns(row_filter(silver_c(spark, d), "region", ["EUROPE"], False), ["email"], False)
+    visible = policy.row_filter(silver_c(spark, d), "region", ["EUROPE"], False)
+    secured = policy.mask_columns(visible, ["email"], False)
     return medallion.segment(secured, "segment_a", 100)
 
 
@@ -306,7 +305,7 @@ def _(spark, d):
 @query("cluster_layout")
 def _(spark, d):
     path = shared_path(spark, "cluster")
-    laid = sinks.cluster_layout(revenue(spark, d, False), ["region", "product_category"], path, 8)
+    laid = sinks.cluster_layout(revenue(spark, d, False), ["region", "product_category"], path, rows_per_file=400)
     return laid.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("region").alias("first_region"), F.max("region").alias("last_region"))
 
@@ -416,7 +415,5 @@ def _(spark, d):
 
 @query("churn_scores")
 def _(spark, d):
-    from lakewarden.session import stage
-
     features = stage(medallion.churn_features(health(spark, d)), "features")
     return churn.score_churn(churn.train_churn(features), features)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakewarden.operators.integrity import fk_orphan_keys
+from lakewarden.session import stage
 
 
 def publish(df: DataFrame, path: str) -> DataFrame:
@@ -30,13 +33,15 @@ def append_checked(batch: DataFrame, path: str, parent: DataFrame, keys: dict[st
     return rejected
 
 
-def cluster_layout(df: DataFrame, cols: list[str], path: str, files: int) -> DataFrame:
-    """Lay a table out by ``cols`` so that readers skip files and row groups.
+def cluster_layout(df: DataFrame, cols: list[str], path: str, rows_per_file: int = 5_000_000) -> DataFrame:
+    """Lay a table out by ``cols`` so that readers skip files and row groups; on small files it compacts them.
 
-    Range partitioning samples the keys. The row hash behind them lets one frequent value spread
-    over several neighbouring files instead of filling a single one.
+    The number of files follows from the number of rows. Range partitioning samples its input, so
+    a computed table is written once before. The row hash behind the keys lets one frequent value
+    spread over several neighbouring files instead of filling a single one.
     """
-    tail = F.xxhash64(*df.columns)
-    laid = df.repartitionByRange(files, *cols, tail).sortWithinPartitions(*cols)
+    stored = stage(df, "unclustered")
+    files = max(1, math.ceil(stored.count() / rows_per_file))
+    laid = stored.repartitionByRange(files, *cols, F.xxhash64(*df.columns)).sortWithinPartitions(*cols)
     laid.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -238,6 +238,25 @@ def test_metrics(spark, rows):
     assert rows(spec.cube(df, ["g"], ["total"])) == [("A", 0, 30.0), ("B", 0, 6.0), (None, 1, 36.0)]
 
 
+def test_grand_total_is_the_sum_over_any_dimensions(spark):
+    from lakewarden.plans.q_medallion import METRICS, revenue
+    from tests.conftest import SF
+
+    table = revenue(spark, SF, only_purchases=False)
+    total = METRICS.query(table, [], ["transaction_count"]).first()[0]
+    for dims in (["region"], ["product_category", "month"]):
+        parts = METRICS.query(table, dims, ["transaction_count"])
+        assert parts.agg(F.sum("transaction_count")).first()[0] == total == 60_000
+
+
+def test_clustered_layout_spreads_a_frequent_value(spark):
+    df = spark.range(3_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    laid = sinks.cluster_layout(df, ["k"], shared_path(spark, "cluster"), rows_per_file=200)
+    sizes = [r["count"] for r in laid.groupBy(F.col("_metadata.file_name")).count().collect()]
+    assert sum(sizes) == 3_000 and len(sizes) > 10 and max(sizes) < 800
+    assert laid.exceptAll(df).count() == 0
+
+
 def test_classification(spark, rows):
     cols = spark.createDataFrame([("email",), ("Region",), ("amount",)], "column_name string")
     assert rows(classify.classify_names(cols)) == [
