@@ -1,9 +1,10 @@
 """Privileges: net grants, effective access, gaps, audit and request reports.
 
 Grants have (securable_type, catalog, schema, object, grantee, privilege); memberships have
-(principal, grp). Reading an object needs USE CATALOG, USE SCHEMA and SELECT. USE SCHEMA and SELECT
-may be granted higher up and cascade; a group's grants hold for its members; the owner of an object
-holds SELECT on it.
+(principal, grp). Reading an object needs USE CATALOG, USE SCHEMA and SELECT (running a function:
+EXECUTE). USE SCHEMA and SELECT may be granted higher up and cascade; a group's grants hold for its
+members; the owner of an object holds SELECT on it. Everything below a schema is an object, be it a
+table, a function or a model.
 """
 
 from __future__ import annotations
@@ -70,10 +71,11 @@ class _Rights:
     Principals in the same set of groups form one class, and so do objects of a schema that are
     granted to the same set of groups. What groups give is held per class, never per member, and
     a grant on a catalog stays one row, however many schemas it reaches. The rights are "catalog"
-    (USE CATALOG), "schema" (USE SCHEMA) and "whole" (SELECT on a schema or catalog).
+    (USE CATALOG), "schema" (USE SCHEMA) and "whole" (the wanted privilege on a schema or catalog).
     """
 
-    def __init__(self, grants: DataFrame, memberships: DataFrame, objects: DataFrame, owners: DataFrame | None):
+    def __init__(self, grants: DataFrame, memberships: DataFrame, objects: DataFrame, owners: DataFrame | None,
+                 wanted: str):
         base = stage_all({
             "members": memberships.select("principal", "grp").distinct(),
             "grants": grants.select(*SECURABLE, "grantee", "privilege").distinct(),
@@ -85,8 +87,8 @@ class _Rights:
 
         marks = memberships.groupBy("principal").agg(*_fingerprint("grp"))
         heads = marks.groupBy(*finger).agg(F.min("principal").alias("head"), F.count(F.lit(1)).alias("n_principals"))
-        named = grants.filter((F.col("privilege") == "SELECT") & (F.col("securable_type") == "TABLE")).select(
-            "grantee", *OBJECT)
+        above = F.col("securable_type").isin("CATALOG", "SCHEMA")
+        named = grants.filter((F.col("privilege") == wanted) & ~above).select("grantee", *OBJECT)
         if owners is not None:
             named = named.unionByName(owners.select(F.col("owner").alias("grantee"), *OBJECT))
         base = stage_all({
@@ -102,7 +104,7 @@ class _Rights:
         privilege = F.col("privilege")
         right = (
             F.when(privilege == "USE CATALOG", "catalog").when(privilege == "USE SCHEMA", "schema")
-            .when((privilege == "SELECT") & (F.col("securable_type") != "TABLE"), "whole"))
+            .when((privilege == wanted) & above, "whole"))
         held = grants.withColumn("right", right).filter(F.col("right").isNotNull())
         on_catalog = held.filter(F.col("securable_type") == "CATALOG").select("grantee", "catalog", "right")
         on_schema = held.filter(F.col("securable_type") == "SCHEMA").select("grantee", *SCHEMA, "right")
@@ -179,13 +181,14 @@ def _added(*own: str) -> Column:
 
 def effective_access(
     grants: DataFrame, memberships: DataFrame, objects: DataFrame, owners: DataFrame | None = None,
+    privilege: str = "SELECT",
 ) -> DataFrame:
     """Number of (principal, object) pairs that can be read, per catalog.
 
     The pairs themselves are never listed: what groups give is counted between classes, and the
     grants of single principals are counted as additions to what their class has.
     """
-    r = _Rights(grants, memberships, objects, owners)
+    r = _Rights(grants, memberships, objects, owners, privilege)
     # n: objects a class may select in a schema.
     whole = (
         r.class_schemas.filter("whole_class_schema").select("cls", *SCHEMA).join(r.sizes, SCHEMA)
@@ -226,13 +229,13 @@ def effective_access(
 
 def access_gaps(
     required: DataFrame, grants: DataFrame, memberships: DataFrame, objects: DataFrame,
-    owners: DataFrame | None = None,
+    owners: DataFrame | None = None, privilege: str = "SELECT",
 ) -> DataFrame:
     """Of the required (principal, object) pairs, those that cannot be read, with what is missing.
 
     Each pair is looked up once per kind of right, through its class, so groups do not multiply it.
     """
-    r = _Rights(grants, memberships, objects, owners)
+    r = _Rights(grants, memberships, objects, owners, privilege)
     asked = required.select("principal", *OBJECT).distinct()
     own_objects = r.own_objects.select("principal", *OBJECT, F.lit(True).alias("object_own"))
     looked_up = r.with_class_objects(r.with_rights(asked)).join(own_objects, ["principal", *OBJECT], "left")
@@ -244,7 +247,7 @@ def access_gaps(
             ",",
             F.when(~_has("catalog", "class_catalog", "own_catalog"), "USE CATALOG"),
             F.when(~_has("schema", *holders), "USE SCHEMA"),
-            F.when(~may_select, "SELECT"),
+            F.when(~may_select, privilege),
         ).alias("missing"),
     ).filter(F.col("missing") != "")
 

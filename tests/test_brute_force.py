@@ -141,6 +141,20 @@ def test_effective_access_and_gaps(spark, seed):
     assert got == {k: v for k, v in missing.items() if v}
 
 
+def test_execute_on_functions(spark, rows):
+    world = _world(4)
+    people, members, nested, objects, grants, owners = world
+    as_functions = [("FUNCTION" if kind == "TABLE" else kind, c, s, o, who, "EXECUTE" if what == "SELECT" else what)
+                    for kind, c, s, o, who, what in grants]
+    frames = _frames(spark, (people, members, nested, objects, as_functions, owners))
+    reads = rows(access.effective_access(*_frames(spark, world)))
+    assert reads and rows(access.effective_access(*frames, privilege="EXECUTE")) == reads
+    required = spark.createDataFrame([("p0", *objects[3])], "principal string, catalog string, schema string, object int")
+    lacks = [k.replace("SELECT", "EXECUTE") for k in PRIVILEGES if not _may("p0", objects[3], k, world)]
+    got = access.access_gaps(required, *frames, privilege="EXECUTE").collect()
+    assert [r.missing for r in got] == ([",".join(lacks)] if lacks else [])
+
+
 def test_net_grants(spark, rows):
     log = spark.createDataFrame([
         ("TABLE", "c", "s", 1, "g", "SELECT", "GRANT", 1, 1), ("TABLE", "c", "s", 1, "g", "SELECT", "REVOKE", 2, 2),
