@@ -1,7 +1,7 @@
 """Quality rules by weak supervision.
 
 Each rule looks at one measure of a text and votes good, bad, or abstains. Expectation-maximisation over the
-counts of vote patterns estimates how often each rule is right on good and on bad texts, without labels, and a
+counts of vote patterns estimates how each rule votes on good and on bad texts, without labels, and a
 text's posterior probability of being good replaces the test that every rule must pass. Only built-in
 expressions are used; the measures are array functions within a row, so nothing but counts is shuffled.
 """
@@ -49,6 +49,7 @@ def measured(df: DataFrame, text_col: str, carry: list[str] | None = None) -> Da
         F.size(F.coalesce(words, F.array().cast("array<string>"))).cast("bigint").alias("n_words"),
         F.coalesce(F.length(F.array_join(words, "")), F.lit(0)).cast("bigint").alias("word_chars"),
         count(SYMBOLS).alias("n_symbols"),
+        count(SYMBOLS + "+").alias("_runs"),
         count("[A-Z]").alias("_upper"),
         count("!").alias("_shouts"),
         count(r"[.?!](?=[\x20\x09-\x0D]|$)").alias("_ends"),
@@ -58,7 +59,7 @@ def measured(df: DataFrame, text_col: str, carry: list[str] | None = None) -> Da
     n_lines = F.coalesce(F.size("_lines"), F.lit(0)).cast("bigint")
     n_windows = F.greatest(F.size("_hashes") - (WINDOW - 1), F.lit(0))
     rows = rows.select(
-        "_row", "n_words", "word_chars", "n_symbols", "_upper", "_shouts", "_ends",
+        "_row", "n_words", "word_chars", "n_symbols", "_runs", "_upper", "_shouts", "_ends",
         F.greatest(n_lines, F.lit(0)).alias("_n_lines"),
         F.greatest(F.coalesce(F.size("_lines") - F.size(F.array_distinct("_lines")), F.lit(0)), F.lit(0)).cast("bigint").alias("n_dup_lines"),
         F.slice("_hashes", F.lit(1), n_windows).alias("_windows"),
@@ -78,7 +79,7 @@ def measured(df: DataFrame, text_col: str, carry: list[str] | None = None) -> Da
     return rows.select(
         "_row", *[c for c in MEASURES if c != "n_repeat_words"],
         F.coalesce(covered, F.lit(0)).cast("bigint").alias("n_repeat_words"),
-        "_upper", "_shouts", "_ends", "_n_lines")
+        "_runs", "_upper", "_shouts", "_ends", "_n_lines")
 
 
 def base_failed() -> Column:
@@ -102,6 +103,7 @@ def votes() -> dict[str, Column]:
         "v_length": _vote(F.col("n_words") < MIN_WORDS, F.col("n_words") >= 40),
         "v_word_size": _vote((mean < 2) | (mean > 15), mean.between(3, 11)),
         "v_symbols": _vote(symbols > 0.1, symbols <= 0.02),
+        "v_symbol_runs": _vote(F.col("_runs") / words > 0.1, F.col("_runs") / words <= 0.02),
         "v_dup_lines": _vote(dup > 0.3, (F.col("n_dup_lines") == 0) & (F.col("_n_lines") > 1)),
         "v_repeats": _vote(repeats > 0.2, repeats <= 0.05),
         "v_capitals": _vote(upper > 0.4, upper <= 0.15),
@@ -110,57 +112,66 @@ def votes() -> dict[str, Column]:
     }
 
 
-RULES = ("v_length", "v_word_size", "v_symbols", "v_dup_lines", "v_repeats", "v_capitals", "v_shouting", "v_sentences")
+RULES = ("v_length", "v_word_size", "v_symbols", "v_symbol_runs", "v_dup_lines", "v_repeats", "v_capitals", "v_shouting",
+         "v_sentences")
+OUTCOMES = (-1, 0, 1)
+# Where the estimate starts, and what the pseudo votes say: outcomes bad, abstain, good.
+ON_GOOD, ON_BAD, GOOD_SHARE = (0.01, 0.19, 0.8), (0.3, 0.1, 0.6), 0.8
+# However the counts fall, no rule is taken to call more good texts bad than this.
+MOST_FALSE = 0.02
 
 
 @dataclass(frozen=True)
 class VoteModel:
-    """Share of good texts, and per rule how often its votes are right on good and on bad ones."""
+    """Share of good texts, and per rule the chances of its three outcomes on good and on bad ones."""
 
     good: float
-    on_good: tuple[float, ...]
-    on_bad: tuple[float, ...]
+    on_good: tuple[tuple[float, ...], ...]
+    on_bad: tuple[tuple[float, ...], ...]
 
     def posterior(self, rules: tuple[str, ...] = RULES) -> Column:
         odds = F.lit(math.log(self.good / (1 - self.good)))
-        for rule, s, t in zip(rules, self.on_good, self.on_bad):
-            odds = odds + F.when(F.col(rule) > 0, math.log(s / (1 - t))).when(
-                F.col(rule) < 0, math.log((1 - s) / t)).otherwise(0.0)
+        for rule, good, bad in zip(rules, self.on_good, self.on_bad):
+            against, none, for_ = (math.log(g / b) for g, b in zip(good, bad))
+            odds = odds + F.when(F.col(rule) < 0, against).when(F.col(rule) > 0, for_).otherwise(none)
         return 1 / (1 + F.exp(-odds))
 
 
 def fit_votes(voted: DataFrame, rules: tuple[str, ...] = RULES, rounds: int = 40, tolerance: float = 1e-4,
-              start: float = 0.8, pseudo: float = 10.0) -> VoteModel:
+              pseudo: float = 10.0) -> VoteModel:
     """Expectation-maximisation on the counts of vote patterns, of which there are at most 3^rules.
 
-    ``pseudo`` votes at the starting accuracy keep a rule that hardly votes near it, and no rule is taken
-    to be worse than chance, so good and bad cannot change places. Each round is one aggregate.
+    ``pseudo`` votes as at the start keep every chance above zero, and a rule's false alarms stay below
+    ``MOST_FALSE``, so good and bad cannot change places. Each round is one aggregate over the patterns.
     """
     patterns = stage(voted.groupBy(*rules).agg(F.count(F.lit(1)).alias("_n")).coalesce(1), "votes")
-    model = VoteModel(start, (start,) * len(rules), (start,) * len(rules))
-    n = F.col("_n").cast("double")
+    model = VoteModel(GOOD_SHARE, (ON_GOOD,) * len(rules), (ON_BAD,) * len(rules))
+    n, q = F.col("_n").cast("double"), F.col("_q")
     for _ in range(rounds):
-        weighed = patterns.withColumn("_q", model.posterior(rules))
-        q = F.col("_q")
         sums = [F.sum(n).alias("all"), F.sum(n * q).alias("good")]
         for i, r in enumerate(rules):
-            v = F.col(r)
-            sums += [F.sum(F.when(v > 0, n * q)).alias(f"gg{i}"), F.sum(F.when(v != 0, n * q)).alias(f"g{i}"),
-                     F.sum(F.when(v < 0, n * (1 - q))).alias(f"bb{i}"), F.sum(F.when(v != 0, n * (1 - q))).alias(f"b{i}")]
-        got = weighed.agg(*sums).first()
+            for v in OUTCOMES:
+                mine = F.col(r) == v
+                sums += [F.sum(F.when(mine, n * q).otherwise(0.0)).alias(f"g{i}_{v}"),
+                         F.sum(F.when(mine, n * (1 - q)).otherwise(0.0)).alias(f"b{i}_{v}")]
+        got = patterns.withColumn("_q", model.posterior(rules)).agg(*sums).first()
         if not got["all"]:
             return model
 
-        def share(right: str, voted_: str) -> float:
-            value = ((got[right] or 0.0) + pseudo * start) / ((got[voted_] or 0.0) + pseudo)
-            return min(max(value, 0.5), 0.999)
+        def chances(side: str, i: int, start: tuple[float, ...], whole: float) -> tuple[float, ...]:
+            return tuple((got[f"{side}{i}_{v}"] + pseudo * s) / (whole + pseudo) for v, s in zip(OUTCOMES, start))
+
+        def trusted(c: tuple[float, ...]) -> tuple[float, ...]:
+            against = min(c[0], MOST_FALSE)
+            total = against + c[1] + c[2]
+            return (against / total, c[1] / total, c[2] / total)
 
         new = VoteModel(
-            min(max((got["good"] + pseudo * start) / (got["all"] + pseudo), 0.01), 0.99),
-            tuple(share(f"gg{i}", f"g{i}") for i in range(len(rules))),
-            tuple(share(f"bb{i}", f"b{i}") for i in range(len(rules))))
-        moved = max(abs(a - b) for a, b in zip(
-            (new.good, *new.on_good, *new.on_bad), (model.good, *model.on_good, *model.on_bad)))
+            min(max(got["good"] / got["all"], 0.01), 0.99),
+            tuple(trusted(chances("g", i, ON_GOOD, got["good"])) for i in range(len(rules))),
+            tuple(chances("b", i, ON_BAD, got["all"] - got["good"]) for i in range(len(rules))))
+        moved = max(abs(a - b) for x, y in zip((*new.on_good, *new.on_bad), (*model.on_good, *model.on_bad)) for a, b in zip(x, y))
+        moved = max(moved, abs(new.good - model.good))
         model = new
         if moved < tolerance:
             break
