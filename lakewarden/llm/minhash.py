@@ -26,6 +26,9 @@ SIMILARITY = 0.8
 # A pair at the threshold shares none of 24 bands of 4 once in 300,000 times.
 BANDS, BAND_ROWS = 24, 4
 COORDINATES = BANDS * BAND_ROWS
+# One-bit coordinates by which the members of a bucket that is still open are compared.
+SHARP_BITS = 1024
+SHARP = [f"w{i}" for i in range(SHARP_BITS // 64)]
 # Bytes of text hashed together; arrays of that length bound a worker's memory.
 CHUNK_BYTES = 2_000_000
 # Height of the lowest rank strip; each next strip doubles the height reached.
@@ -248,13 +251,44 @@ def _verified(pairs: DataFrame, sets: DataFrame, weighted: bool, similarity: flo
     return met.withColumn("_c", both).filter(1000 * F.col("_c") >= share * (F.col("_na") + F.col("_nb") - F.col("_c"))).select("a", "b")
 
 
+def _sharp(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One bit of each of many more coordinates."""
+    for batch in batches:
+        texts = batch.column(1).to_pylist()
+        weighted = batch.column(2).to_pylist()
+        for lo, hi in _sliced(texts):
+            of, element, weight = shingles(texts[lo:hi])
+            weight = weight if weighted[lo] else np.ones(len(element))
+            words = []
+            for at in range(0, hi - lo, 64):
+                here = (of >= at) & (of < at + 64)
+                n = min(64, hi - lo - at)
+                found = signatures(of[here] - at, element[here], weight[here], n, SHARP_BITS)
+                words.append(np.packbits(((found >> _U(1)) & _U(1)).astype(np.uint8), axis=1).view(np.int64))
+            words = np.concatenate(words)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(lo, hi - lo), *[pa.array(words[:, k]) for k in range(SHARP_BITS // 64)]],
+                names=["node", *SHARP])
+
+
+def _sizes_allow(a: str, b: str, similarity: float) -> Column:
+    share = round(similarity * 1000)
+    return (1000 * F.col(f"{a}.size") >= share * F.col(f"{b}.size")) & (1000 * F.col(f"{b}.size") >= share * F.col(f"{a}.size"))
+
+
 def _may_match(a: str, b: str, similarity: float) -> Column:
     """Sizes allow the threshold, and the signatures agree in no fewer than four deviations below it."""
-    share = round(similarity * 1000)
-    sizes = (1000 * F.col(f"{a}.size") >= share * F.col(f"{b}.size")) & (1000 * F.col(f"{b}.size") >= share * F.col(f"{a}.size"))
     least = int(COORDINATES * similarity - 4 * (COORDINATES * similarity * (1 - similarity)) ** 0.5)
     agree = F.aggregate(F.zip_with(F.col(f"{a}.marks"), F.col(f"{b}.marks"), lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    return sizes & (agree >= least)
+    return _sizes_allow(a, b, similarity) & (agree >= least)
+
+
+def _sharply_alike(a: str, b: str, similarity: float) -> Column:
+    """The same on bits: those of unlike coordinates agree by chance in one of two cases."""
+    same = (1 + similarity) / 2
+    most = SHARP_BITS * (1 - same) + 4 * (SHARP_BITS * same * (1 - same)) ** 0.5
+    unlike = sum((F.bit_count(F.col(f"{a}.{w}").bitwiseXOR(F.col(f"{b}.{w}"))) for w in SHARP), F.lit(0))
+    return _sizes_allow(a, b, similarity) & (unlike <= int(most))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None,
@@ -283,10 +317,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     reps = stage(some.join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi").select(
         F.col("rid").alias("node"), "size", "bands", "marks"), "representatives")
     banded = reps.select("node", F.posexplode("bands").alias("band", "key"))
-    ends = stage(banded.groupBy("band", "key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter(
-        "first <> last"), "buckets")
-    shared = stage(banded.join(ends, ["band", "key"]), "members")
-    stars = shared.select("node", F.explode(F.array("first", "last")).alias("hub")).filter("node <> hub").select(
+    buckets = stage(banded.groupBy("band", "key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).filter(
+        "n > 1"), "buckets")
+    shared = stage(banded.join(buckets, ["band", "key"]), "members")
+    # The middle of a group meets more of it than its fringe does.
+    reach = stage(shared.groupBy("node").agg(F.sum("n").alias("reach")), "reach")
+    middle = stage(shared.select("band", "key", "node").join(reach, "node").groupBy("band", "key").agg(
+        F.max_by("node", "reach").alias("middle")), "middles")
+    stars = shared.select("band", "key", "node", "first").join(middle, ["band", "key"]).select(
+        "node", F.explode(F.array("first", "middle")).alias("hub")).filter("node <> hub").select(
         F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     facts = F.struct("node", "size", "marks")
     known = reps.select("node", facts.alias("s"))
@@ -311,10 +350,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     placed = stage(placed, "placed")
     split = placed.groupBy("band", "key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).filter(
         "_lo <> _hi").select("band", "key")
-    open_ = stage(placed.join(split, ["band", "key"], "left_semi").join(known, "node").select(
-        "band", "key", "component", "s"), "open")
+    unsettled = stage(placed.join(split, ["band", "key"], "left_semi"), "unsettled")
+    wanted = stage(unsettled.select(F.col("node").alias("rid")).distinct(), "wanted")
+    bits = texts.join(wanted, "rid", "left_semi").withColumn("weighted", F.lit(weighted)).mapInArrow(
+        _sharp, "node long, " + ", ".join(f"{w} long" for w in SHARP))
+    bits = stage(bits.join(reps.select("node", "size"), "node").select("node", F.struct("node", "size", *SHARP).alias("s")), "bits")
+    open_ = stage(unsettled.join(bits, "node").select("band", "key", "component", "s"), "open")
     across = open_.alias("x").join(open_.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key"))
-                                   & (F.col("x.component") < F.col("y.component")) & _may_match("x.s", "y.s", similarity))
+                                   & (F.col("x.component") < F.col("y.component")) & _sharply_alike("x.s", "y.s", similarity))
     pairs = across.select(F.least("x.s.node", "y.s.node").alias("a"), F.greatest("x.s.node", "y.s.node").alias("b")).distinct()
     second = stage(pairs.join(first, ["a", "b"], "left_anti"), "across")
     if not second.isEmpty():
