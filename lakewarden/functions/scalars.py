@@ -7,17 +7,23 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,4)"
+MONEY_SCALE = 4
+MONEY = f"decimal(18,{MONEY_SCALE})"
 
 
-def exact_sum(col: str | Column) -> Column:
-    """SUM as DOUBLE, added up in decimals so that the order of rows cannot change it."""
-    return F.sum(_col(col).cast(MONEY)).cast("double")
+def exact_sum(col: str | Column, scale: int | None = MONEY_SCALE) -> Column:
+    """SUM as DOUBLE, added up in decimals of that many places so that the order of rows cannot change it.
+
+    Values with more places are rounded to ``scale`` first; None adds them up as they are.
+    """
+    if scale is None:
+        return F.sum(_col(col).cast("double"))
+    return F.sum(_col(col).cast(f"decimal({14 + scale},{scale})")).cast("double")
 
 
-def exact_avg(col: str | Column) -> Column:
-    """AVG over the non-null values, with the same exact sum; NULL when there are none."""
-    return F.try_divide(exact_sum(col), F.count(_col(col)).cast("double"))
+def exact_avg(col: str | Column, scale: int | None = MONEY_SCALE) -> Column:
+    """AVG over the non-null values, from the same sum; NULL when there are none."""
+    return F.try_divide(exact_sum(col, scale), F.count(_col(col)).cast("double"))
 
 
 def health_score(col: str | Column) -> Column:
@@ -36,9 +42,9 @@ def health_score(col: str | Column) -> Column:
 
 
 def uuid_text(col: str | Column) -> Column:
-    """UUID text of a non-negative integer below 2^48."""
-    tail = F.lpad(F.lower(F.hex(_col(col))), 12, "0")
-    return F.concat(F.lit("00000000-0000-0000-0000-"), tail)
+    """UUID text of a non-negative BIGINT: its 16 hex digits end the 32 of the UUID."""
+    digits = F.lpad(F.lower(F.hex(_col(col))), 16, "0")
+    return F.concat(F.lit("00000000-0000-0000-"), F.substring(digits, 1, 4), F.lit("-"), F.substring(digits, 5, 12))
 
 
 def month_of(col: str | Column) -> Column:
@@ -46,9 +52,9 @@ def month_of(col: str | Column) -> Column:
 
 
 def draw(col: str | Column, salt: str) -> Column:
-    """A 32-bit number fixed by (value, salt): the generator's random draw."""
+    """A 60-bit number fixed by (value, salt): the generator's random draw."""
     digest = F.md5(F.concat(_col(col).cast("string"), F.lit(":" + salt)))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
 def pick(index: Column, values: list[str]) -> Column:

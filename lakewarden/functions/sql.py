@@ -16,15 +16,15 @@ def register_sql_functions(spark: SparkSession, is_admin: bool, allowed: str, ke
     admin = "TRUE" if is_admin else "FALSE"
     value = "'" + allowed.replace("\\", "\\\\").replace("'", "\\'") + "'"
     bucket = " + ".join(
-        f"CAST(conv(substr(md5(customer_id), {start}, {length}), 16, 10) AS BIGINT) % 1000 * {factor}"
+        f"CAST(conv(substr(md5(id), {start}, {length}), 16, 10) AS BIGINT) % 1000 * {factor}"
         for start, length, factor in ((1, 12, 176), (13, 10, 776), (23, 10, 1)))
     definitions = {
-        "score_customer_health(customer_id STRING) RETURNS DOUBLE":
+        "score_customer_health(id STRING) RETURNS DOUBLE":
             f"round(CAST(({bucket}) % 1000 AS DOUBLE) / 10, 1)",
-        "mask_pii(value STRING) RETURNS STRING":
-            f"CASE WHEN {admin} THEN value ELSE concat(left(value, {int(keep)}), '****') END",
-        "filter_by_region(region_val STRING) RETURNS BOOLEAN":
-            f"CASE WHEN {admin} THEN TRUE ELSE region_val = {value} END",
+        "mask_pii(plain STRING) RETURNS STRING":
+            f"CASE WHEN {admin} THEN plain ELSE concat(left(plain, {int(keep)}), '****') END",
+        "filter_by_region(found STRING) RETURNS BOOLEAN":
+            f"CASE WHEN {admin} THEN TRUE ELSE found = {value} END",
     }
     for signature, body in definitions.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {body}")

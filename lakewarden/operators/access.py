@@ -3,8 +3,9 @@
 Grants have (securable_type, catalog, schema, object, grantee, privilege); memberships have
 (principal, grp). Reading an object needs USE CATALOG, USE SCHEMA and SELECT (running a function:
 EXECUTE). USE SCHEMA and SELECT may be granted higher up and cascade; a group's grants hold for its
-members; the owner of an object holds SELECT on it. Everything below a schema is an object, be it a
-table, a function or a model.
+members; the owner of an object, of its schema or of its catalog holds SELECT on it, and the owner of a schema
+or catalog also the use of it. Everything below a schema is an object, be it a table, a function or a model.
+Grants are those in force: a log of grants and revokes goes through ``net_grants`` first.
 """
 
 from __future__ import annotations
@@ -20,15 +21,29 @@ SCHEMA = ["catalog", "schema"]
 OBJECT = ["catalog", "schema", "object"]
 
 
+def _in_force(grants: DataFrame) -> DataFrame:
+    if "action" in grants.columns:
+        raise ValueError("this is a log of grants and revokes; pass net_grants(log)")
+    return grants
+
+
 def access_audit(grants: DataFrame, schemas: list[str]) -> DataFrame:
-    return grants.filter(F.col("schema").isin(*schemas)).orderBy("catalog", "schema", "object", "grantee", "privilege")
+    return _in_force(grants).filter(F.col("schema").isin(*schemas)).orderBy("catalog", "schema", "object", "grantee", "privilege")
 
 
 def net_grants(log: DataFrame) -> DataFrame:
-    """Grants in force: the last action per (securable, grantee, privilege), revoked ones gone."""
+    """Grants in force: the last action per (securable, grantee, privilege), revoked ones gone.
+
+    Day, sequence number and action are one number, so the newest is kept by a hash aggregate; of a
+    grant and a revoke with equal day and number the revoke counts.
+    """
     keys = [*SECURABLE, "grantee", "privilege"]
-    last = F.max(F.struct("changed_on", "seq", "action")).alias("last")
-    return log.groupBy(*keys).agg(last).filter(F.col("last.action") == "GRANT").select(*keys)
+    day = F.col("changed_on")
+    if dict(log.dtypes)["changed_on"] == "date":
+        day = F.datediff(day, F.lit("1970-01-01").cast("date"))
+    place = day.cast("decimal(10,0)") * F.lit(str(10**19)).cast("decimal(20,0)") + F.col("seq").cast("decimal(19,0)")
+    newest = F.max((place * 2 + F.when(F.col("action") == "GRANT", 0).otherwise(1)).cast("decimal(38,0)")).alias("last")
+    return log.groupBy(*keys).agg(newest).filter(F.col("last") % 2 == 0).select(*keys)
 
 
 def expand_members(members: DataFrame, group_edges: DataFrame) -> DataFrame:
@@ -41,12 +56,12 @@ def expand_members(members: DataFrame, group_edges: DataFrame) -> DataFrame:
 
 
 def _fingerprint(col: str) -> list[Column]:
-    """Identifies a set of distinct values by count and 128 hash bits, without collecting it."""
-    return [
-        F.count(F.lit(1)).alias("f0"),
-        F.bit_xor(F.xxhash64(col)).alias("f1"),
-        F.bit_xor(F.xxhash64(F.lit("second"), col)).alias("f2"),
-    ]
+    """Identifies a set of distinct values by count and the sums of both halves of their MD5, without collecting it."""
+    def half(start: int) -> Column:
+        digits = F.substring(F.md5(F.col(col).cast("string")), start, 15)
+        return F.sum(F.conv(digits, 16, 10).cast("decimal(20,0)")).cast("decimal(38,0)")
+
+    return [F.count(F.lit(1)).alias("f0"), half(1).alias("f1"), half(17).alias("f2")]
 
 
 def _flags(rights: list[str], suffix: str) -> list[Column]:
@@ -58,6 +73,16 @@ def _has(right: str, *suffixes: str) -> Column:
     return F.coalesce(*[F.col(f"{right}_{s}") for s in suffixes], F.lit(False))
 
 
+def _owned_places(owners: DataFrame, wanted: str) -> DataFrame:
+    """What owners of schemas and catalogs hold there, as grants; such a row has no object, a catalog no schema."""
+    places = owners.filter(F.col("object").isNull())
+    kind = F.when(F.col("schema").isNull(), "CATALOG").otherwise("SCHEMA")
+    rights = F.when(F.col("schema").isNull(), F.array(*map(F.lit, ("USE CATALOG", "USE SCHEMA", wanted)))).otherwise(
+        F.array(*map(F.lit, ("USE SCHEMA", wanted))))
+    return places.select(kind.alias("securable_type"), *OBJECT, F.col("owner").alias("grantee"),
+                         F.explode(rights).alias("privilege"))
+
+
 # Rights are flagged per holder: by the class on the catalog and on the schema, by the principal
 # itself on the catalog and on the schema.
 BY_CLASS = ["class_catalog", "class_schema"]
@@ -76,12 +101,16 @@ class _Rights:
 
     def __init__(self, grants: DataFrame, memberships: DataFrame, objects: DataFrame, owners: DataFrame | None,
                  wanted: str):
+        held_now = _in_force(grants).select(*SECURABLE, "grantee", "privilege")
+        if owners is not None:
+            held_now = held_now.unionByName(_owned_places(owners, wanted))
+            owners = owners.filter(F.col("object").isNotNull())
         base = stage_all({
             "members": memberships.select("principal", "grp").distinct(),
-            "grants": grants.select(*SECURABLE, "grantee", "privilege").distinct(),
+            "grants": held_now.distinct(),
+            "sizes": objects.groupBy(*SCHEMA).agg(F.count(F.lit(1)).alias("n_objects")),
         })
-        memberships, grants = base["members"], base["grants"]
-        self.sizes = objects.groupBy(*SCHEMA).agg(F.count(F.lit(1)).alias("n_objects"))
+        memberships, grants, self.sizes = base["members"], base["grants"], base["sizes"]
         self.groups = memberships.select(F.col("grp").alias("grantee")).distinct()
         finger = ["f0", "f1", "f2"]
 
@@ -126,10 +155,12 @@ class _Rights:
         self.object_class_of = staged["object_class_of"]
         self.own_objects = self._own(named)
         head = self.object_class_of.filter(F.col("object") == F.col("object_cls")).drop("object")
-        self.class_objects = stage(
-            group_objects.withColumnRenamed("object", "object_cls").join(head, [*SCHEMA, "object_cls"])
-            .join(self.class_groups, "grantee").drop("grantee").distinct(),
-            "class_objects")
+        # (grantee, class of objects): one row per group and object class, whoever is in the group
+        self.group_objects = group_objects.withColumnRenamed("object", "object_cls").join(head, [*SCHEMA, "object_cls"])
+
+    def class_objects(self) -> DataFrame:
+        """Every (class, object class) that a group links; counting access needs them all."""
+        return stage(self.group_objects.join(self.class_groups, "grantee").drop("grantee").distinct(), "class_objects")
 
     def _own(self, df: DataFrame) -> DataFrame:
         """Grants to principals themselves."""
@@ -152,10 +183,18 @@ class _Rights:
             self.class_schemas, ["cls", *SCHEMA], "left")
 
     def with_class_objects(self, df: DataFrame) -> DataFrame:
-        """Adds ``object_cls_held``: SELECT on the object through groups."""
-        held = self.class_objects.select("cls", *SCHEMA, "object_cls", F.lit(True).alias("object_cls_held"))
-        return df.join(self.object_class_of.select(*OBJECT, "object_cls"), OBJECT, "left").join(
-            held, ["cls", *SCHEMA, "object_cls"], "left")
+        """Adds ``object_cls_held``: SELECT on the object through groups.
+
+        Only the pairs of classes that occur in ``df`` are looked up, each through the groups of its class,
+        so pairs that nobody asks for are never made.
+        """
+        df = df.join(self.object_class_of.select(*OBJECT, "object_cls"), OBJECT, "left")
+        pair = ["cls", *SCHEMA, "object_cls"]
+        asked = df.filter(F.col("object_cls").isNotNull()).select(*pair).distinct()
+        given = self.group_objects.select("grantee", *SCHEMA, "object_cls")
+        held = asked.join(self.class_groups, "cls").join(given, ["grantee", *SCHEMA, "object_cls"], "left_semi").select(
+            *pair).distinct().withColumn("object_cls_held", F.lit(True))
+        return df.join(held, pair, "left")
 
     def with_rights(self, df: DataFrame) -> DataFrame:
         """Adds the class of the principal and every right on the place of the row."""
@@ -196,7 +235,7 @@ def effective_access(
         .select("cls", *SCHEMA, F.col("n_objects").alias("n"))
     )
     selected = stage(
-        whole.unionByName(r.class_objects.groupBy("cls", *SCHEMA).agg(F.sum("n").alias("n")))
+        whole.unionByName(r.class_objects().groupBy("cls", *SCHEMA).agg(F.sum("n").alias("n")))
         .groupBy("cls", *SCHEMA).agg(F.max("n").alias("n")),
         "selected",
     )

@@ -9,13 +9,21 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FEATURES = ["transaction_count", "total_amount", "interaction_count", "avg_sentiment"]
+from lakewarden.operators.medallion import FEATURES
 
+# The model's iterations and the weight C of the data against the L2 penalty.
+MAX_ITER = 200
+C = 1.0
 
-def train_churn(features: DataFrame, max_iter: int = 200) -> PipelineModel:
-    """Logistic regression of ``churned``; each iteration is one distributed aggregate."""
+
+def train_churn(features: DataFrame, max_iter: int = MAX_ITER, c: float = C) -> PipelineModel:
+    """Logistic regression of ``churned``; each iteration is one distributed aggregate.
+
+    The penalty is that of a loss summed over rows and weighed by ``c``, on the features as they are.
+    """
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    model = LogisticRegression(featuresCol="features", labelCol="churned", maxIter=max_iter)
+    model = LogisticRegression(featuresCol="features", labelCol="churned", maxIter=max_iter,
+                               regParam=1.0 / (c * max(1, features.count())), standardization=False)
     return Pipeline(stages=[assembler, model]).fit(features)
 
 

@@ -55,19 +55,25 @@ def closure(edges: DataFrame, roots: DataFrame, max_depth: int | None = None, st
 
 
 def trailing(col: str, as_of: date, days: int = 7) -> Column:
-    return F.col(col) >= F.date_sub(F.lit(as_of), days)
+    """The days before ``as_of`` and that day itself; what comes later is outside."""
+    return F.col(col).between(F.date_sub(F.lit(as_of), days), F.lit(as_of))
 
 
-def upstream(edges: DataFrame, table: str, as_of: date, days: int = 7) -> DataFrame:
-    """Direct sources of a table in the trailing window, newest first."""
+def upstream(events: DataFrame, table: str, as_of: date, days: int = 7) -> DataFrame:
+    """Direct sources of a table in the trailing window, newest first.
+
+    ``events`` may hold an edge many times; it is filtered first and then reduced to the newest event, so an
+    edge that was used in the window and also later is found.
+    """
     hit = (F.col("target_table_full_name") == table) & trailing("event_date", as_of, days)
-    return edges.filter(hit).orderBy(F.col("event_date").desc(), "source_table_full_name")
+    return events.filter(hit).groupBy("source_table_full_name", "target_table_full_name", "entity_type").agg(
+        F.max("event_date").alias("event_date")).orderBy(F.col("event_date").desc(), "source_table_full_name")
 
 
-def downstream(edges: DataFrame, table: str, as_of: date, days: int = 7) -> DataFrame:
+def downstream(events: DataFrame, table: str, as_of: date, days: int = 7) -> DataFrame:
     """Direct consumers of a table in the trailing window."""
     hit = (F.col("source_table_full_name") == table) & trailing("event_date", as_of, days)
-    return edges.filter(hit).select("target_table_full_name").distinct()
+    return events.filter(hit).select("target_table_full_name").distinct()
 
 
 def impact(edges: DataFrame, roots: DataFrame, direction: str = "down", max_depth: int | None = None) -> DataFrame:
@@ -78,11 +84,11 @@ def impact(edges: DataFrame, roots: DataFrame, direction: str = "down", max_dept
 
 
 def pii_flow(column_edges: DataFrame, cols: list[str], as_of: date, days: int = 7) -> DataFrame:
-    """Where the named source columns end up, in the trailing window."""
+    """Where the named source columns end up, in the trailing window; events of one edge count once."""
     hit = F.col("source_column_name").isin(*cols) & trailing("event_date", as_of, days)
     return column_edges.filter(hit).select(
         "source_table_full_name", "source_column_name", "target_table_full_name", "target_column_name",
-    ).orderBy("source_column_name", "target_table_full_name", "source_table_full_name", "target_column_name")
+    ).distinct().orderBy("source_column_name", "target_table_full_name", "source_table_full_name", "target_column_name")
 
 
 def column_node(side: str) -> Column:

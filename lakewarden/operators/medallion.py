@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from lakewarden.functions.scalars import MONEY, all_present, exact_avg, exact_sum, health_score, month_of
 
+# The columns of a cleaned customer and the features of the churn model.
+FEATURES = ["transaction_count", "total_amount", "interaction_count", "avg_sentiment"]
 CUSTOMER_COLUMNS = ["customer_id", "first_name", "last_name", "email", "phone", "street_address", "city",
                     "state", "country", "region"]
 
@@ -59,14 +61,15 @@ def totals_by_parent(t: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     )
 
 
-def interaction_totals(i: DataFrame) -> DataFrame:
+def interaction_totals(i: DataFrame, scale: int | None = None) -> DataFrame:
+    """Count and mean sentiment per customer; ``scale`` rounds the scores to so many places, see ``exact_avg``."""
     return i.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("interaction_count"), exact_avg("sentiment_score").alias("avg_sentiment"))
+        F.count(F.lit(1)).alias("interaction_count"), exact_avg("sentiment_score", scale).alias("avg_sentiment"))
 
 
-def customer_health(c: DataFrame, totals: DataFrame, i: DataFrame) -> DataFrame:
+def customer_health(c: DataFrame, totals: DataFrame, i: DataFrame, scale: int | None = None) -> DataFrame:
     """Customers with their activity; both sides are aggregated before the join, so nothing fans out."""
-    joined = c.join(totals, "customer_id", "left").join(interaction_totals(i), "customer_id", "left")
+    joined = c.join(totals, "customer_id", "left").join(interaction_totals(i, scale), "customer_id", "left")
     return joined.select(
         "customer_id", "first_name", "last_name", "region", "created_date",
         F.coalesce("total_transactions", F.lit(0)).alias("transaction_count"),
@@ -77,9 +80,9 @@ def customer_health(c: DataFrame, totals: DataFrame, i: DataFrame) -> DataFrame:
     )
 
 
-def customer_health_v2(c: DataFrame, totals: DataFrame, i: DataFrame) -> DataFrame:
+def customer_health_v2(c: DataFrame, totals: DataFrame, i: DataFrame, scale: int | None = None) -> DataFrame:
     """The later definition: other names, no date, no interaction count."""
-    return customer_health(c, totals, i).select(
+    return customer_health(c, totals, i, scale).select(
         "customer_id", "first_name", "last_name", "region",
         F.col("transaction_count").alias("total_transactions"),
         F.col("total_amount").alias("total_spend"),
@@ -127,6 +130,5 @@ def distribution(df: DataFrame, col: str) -> DataFrame:
 
 def churn_features(health: DataFrame) -> DataFrame:
     """Four features with NULL as 0, and the label health_score < 50."""
-    names = ["transaction_count", "total_amount", "interaction_count", "avg_sentiment"]
-    return health.fillna(0, subset=names).select(
-        "customer_id", *names, (F.col("health_score") < 50).cast("int").alias("churned"))
+    return health.fillna(0, subset=FEATURES).select(
+        "customer_id", *FEATURES, (F.col("health_score") < 50).cast("int").alias("churned"))

@@ -9,14 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakewarden.functions.scalars import exact_sum
 from lakewarden.operators.lineage import trailing
 
 
 def profile(df: DataFrame, table: str, columns: list[str] | None = None, distinct: str = "approx") -> DataFrame:
     """One row per column from a single aggregate over the table.
 
-    Distinct values are approximate by default; "exact" multiplies the shuffled rows by the number
-    of columns, "none" leaves them out.
+    Distinct values are approximate by default; "exact" counts them in a second pass over (column, value)
+    pairs, each made distinct within its task before the shuffle; "none" leaves them out.
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     aggs: list[Column] = [F.count(F.lit(1)).alias("n_rows")]
@@ -25,9 +26,8 @@ def profile(df: DataFrame, table: str, columns: list[str] | None = None, distinc
         c = F.col(f"`{f.name}`")
         number = isinstance(f.dataType, T.NumericType)
         aggs += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
-        if distinct != "none":
-            count = F.count_distinct(c) if distinct == "exact" else F.approx_count_distinct(c)
-            aggs.append(count.alias(f"d{i}"))
+        if distinct == "approx":
+            aggs.append(F.approx_count_distinct(c).alias(f"d{i}"))
         if number:
             aggs += [F.avg(c.cast("double")).alias(f"m{i}"), F.stddev(c.cast("double")).alias(f"s{i}")]
         none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
@@ -40,7 +40,7 @@ def profile(df: DataFrame, table: str, columns: list[str] | None = None, distinc
             (F.col("n_rows") - filled).alias("nulls"),
             F.round(F.try_divide((F.col("n_rows") - filled).cast("double"), F.col("n_rows").cast("double")), 6)
             .alias("null_rate"),
-            (F.lit(None).cast("bigint") if distinct == "none" else F.col(f"d{i}")).alias("distinct_values"),
+            (F.col(f"d{i}") if distinct == "approx" else F.lit(None).cast("bigint")).alias("distinct_values"),
             (F.col(f"lo{i}").cast("double") if number else none).alias("min_number"),
             (F.col(f"hi{i}").cast("double") if number else none).alias("max_number"),
             (text if number else F.col(f"lo{i}").cast("string")).alias("min_text"),
@@ -48,7 +48,19 @@ def profile(df: DataFrame, table: str, columns: list[str] | None = None, distinc
             (F.round(F.col(f"m{i}"), 4) if number else none).alias("mean"),
             (F.round(F.col(f"s{i}"), 4) if number else none).alias("stddev"),
         ))
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    found = df.agg(*aggs).select(F.inline(F.array(*rows)))
+    if distinct != "exact" or not fields:
+        return found
+
+    def text_of(f: T.StructField) -> Column:
+        c = F.col(f"`{f.name}`")  # adding 0 makes the negative zero the same as the other
+        return (c + 0.0 if isinstance(f.dataType, (T.FloatType, T.DoubleType)) else c).cast("string")
+
+    pairs = F.array(*[F.struct(F.lit(f.name).alias("column_name"), text_of(f).alias("value")) for f in fields])
+    counts = df.select(F.inline(pairs)).filter(F.col("value").isNotNull()).distinct().groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("_distinct"))
+    return found.join(counts, "column_name", "left").withColumn(
+        "distinct_values", F.coalesce("_distinct", F.lit(0))).select(*found.columns)
 
 
 def drift(df: DataFrame, col: str, current: Column, edges: list[float], epsilon: float = 1e-6) -> DataFrame:
@@ -103,9 +115,9 @@ def evaluate(metrics: DataFrame, thresholds: list[tuple[str, float, float]]) ->
     )
 
 
-def usage_summary(usage: DataFrame, as_of: date, days: int = 7) -> DataFrame:
-    """Usage per sku and unit in the trailing window, largest first."""
-    quantity = F.sum(F.col("usage_quantity").cast("decimal(18,4)")).cast("double")
+def usage_summary(usage: DataFrame, as_of: date, days: int = 7, scale: int | None = None) -> DataFrame:
+    """Usage per sku and unit in the trailing window, largest first; ``scale`` as in ``exact_sum``."""
+    quantity = exact_sum("usage_quantity", scale)
     return (
         usage.filter(trailing("usage_date", as_of, days))
         .groupBy("sku_name", "usage_unit").agg(quantity.alias("total_usage"))

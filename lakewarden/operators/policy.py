@@ -90,7 +90,10 @@ def row_filter(df: DataFrame, col: str, allowed: list[str], is_admin: bool) -> D
 
 
 def secure(df: DataFrame, table: str, registry: PolicyRegistry, principal: str, members: DataFrame) -> DataFrame:
-    """The table as the principal sees it. Later predicates meet the masked values, not the raw ones."""
+    """The table as the principal sees it. Later predicates meet the masked values, not the raw ones.
+
+    ``members`` is every (principal, grp) that holds, also through nested groups: ``access.expand_members``.
+    """
     held = principal_groups(members, principal, registry.groups(table))
     if table in registry.filters:
         column, policy = registry.filters[table]
@@ -111,6 +114,15 @@ def secure_by_tags(df: DataFrame, tags: dict[str, dict[str, str]], keep: dict[st
     return df.withColumns(masks) if masks else df
 
 
+def tags_of_table(tags: DataFrame, catalog: str, schema: str, table: str) -> dict[str, dict[str, str]]:
+    """{column: {tag: value}} of one table from the table of current tags: as many rows as its columns carry tags."""
+    mine = tags.filter((F.col("catalog") == catalog) & (F.col("schema") == schema) & (F.col("object") == table))
+    found: dict[str, dict[str, str]] = {}
+    for r in mine.select("column_name", "tag_name", "tag_value").collect():
+        found.setdefault(r["column_name"], {})[r["tag_name"]] = r["tag_value"]
+    return found
+
+
 def policy_visibility(
     df: DataFrame, col: str, principals: DataFrame, members: DataFrame, rules: DataFrame,
     admins: str, masked_columns: int,

@@ -2,26 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakewarden.operators.lineage import closure
 
 KEYS = ["catalog", "schema", "object", "column_name"]
+OBJECT = ["catalog", "schema", "object"]
 
 
 def current_tags(log: DataFrame, order: list[str], keys: list[str] = KEYS) -> DataFrame:
     """Net tags of a change log: the last change per (column, tag) wins, unset ones are gone.
 
-    The newest change is kept by an aggregate, so an object with very many changes is already
-    reduced before the shuffle. ``order`` must be total up to equal changes.
+    Spark keeps one row per column and tag in each task before the shuffle, so an object with very many
+    changes is already reduced there. ``order`` must be total up to equal changes.
     """
-    newest = F.max(F.struct(*order, "action", "tag_value")).alias("last")
-    return (
-        log.groupBy(*keys, "tag_name").agg(newest)
-        .filter(F.col("last.action") == "SET")
-        .select(*keys, "tag_name", F.col("last.tag_value").alias("tag_value"))
-    )
+    newest = Window.partitionBy(*keys, "tag_name").orderBy(*[F.col(c).desc() for c in (*order, "action", "tag_value")])
+    rows = log.select(*keys, "tag_name", *order, "action", "tag_value").withColumn("_rank", F.row_number().over(newest))
+    return rows.filter((F.col("_rank") <= 1) & (F.col("action") == "SET")).select(*keys, "tag_name", "tag_value")
 
 
 def apply_tags(tags: DataFrame, changes: DataFrame, order: list[str], keys: list[str] = KEYS) -> DataFrame:
@@ -72,6 +72,14 @@ def tag_coverage(columns: DataFrame, tags: DataFrame, by: list[str]) -> DataFram
     )
 
 
+def tag_changes(classified: DataFrame, tag_name: str = "pii", value: str = "true", label: str = "PII",
+                changed_on: date | None = None) -> DataFrame:
+    """SET changes for the columns that a classification gave ``label``, in the form of the tag log."""
+    return classified.filter(F.col("classification") == label).select(
+        *KEYS, F.lit(tag_name).alias("tag_name"), F.lit(value).alias("tag_value"), F.lit("SET").alias("action"),
+        F.lit(changed_on).cast("date").alias("changed_on"), F.lit(0).cast("bigint").alias("seq"))
+
+
 def propagate_tags(tagged: DataFrame, column_edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Columns that inherit the tag along column lineage.
 
@@ -83,34 +91,77 @@ def propagate_tags(tagged: DataFrame, column_edges: DataFrame, max_depth: int |
 
 def certification(assets: DataFrame, tags: DataFrame, default: str = "uncertified") -> DataFrame:
     """State per asset: deprecated on any column wins over certified, no tag means ``default``."""
-    marks = tags.filter(F.col("tag_name") == "certification").groupBy("object").agg(
+    marks = tags.filter(F.col("tag_name") == "certification").groupBy(*OBJECT).agg(
         F.max(F.when(F.col("tag_value") == "deprecated", 2).when(F.col("tag_value") == "certified", 1).otherwise(0))
         .alias("mark"))
     state = F.when(F.col("mark") == 2, "deprecated").when(F.col("mark") == 1, "certified").otherwise(default)
-    return assets.join(marks, "object", "left").withColumn("certification", state).drop("mark")
+    return assets.join(marks, OBJECT, "left").withColumn("certification", state).drop("mark")
 
 
-def domain_contents(domain_assets: DataFrame, assets: DataFrame) -> DataFrame:
-    """Assets per domain and schema, and how many of them are claimed by more than one domain."""
-    claims = domain_assets.select("domain", "object").distinct()
-    n_domains = claims.groupBy("object").agg(F.count(F.lit(1)).alias("n_domains"))
-    return (
-        claims.join(n_domains, "object").join(assets.select("object", "catalog", "schema"), "object")
-        .groupBy("domain", "catalog", "schema")
-        .agg(F.count(F.lit(1)).alias("n_assets"), F.count_if(F.col("n_domains") > 1).alias("n_conflicts"))
-    )
+def _claims(domain_assets: DataFrame) -> DataFrame:
+    return domain_assets.select("domain", *OBJECT).distinct()
+
+
+def domain_contents(domain_assets: DataFrame, assets: DataFrame, roles: DataFrame | None = None) -> DataFrame:
+    """Known assets per domain and schema, and how many of them are claimed by more than one domain.
+
+    ``domain_assets`` and ``assets`` name an asset by catalog, schema and object. ``roles`` has (domain,
+    technical_owner, business_owner), one row per domain, and adds both.
+    """
+    claims = _claims(domain_assets).join(assets.select(*OBJECT).distinct(), OBJECT, "left_semi")
+    n_domains = claims.groupBy(*OBJECT).agg(F.count(F.lit(1)).alias("n_domains"))
+    found = claims.join(n_domains, OBJECT).groupBy("domain", "catalog", "schema").agg(
+        F.count(F.lit(1)).alias("n_assets"), F.count_if(F.col("n_domains") > 1).alias("n_conflicts"))
+    return found if roles is None else found.join(
+        roles.select("domain", "technical_owner", "business_owner"), "domain", "left")
+
+
+def domain_conflicts(domain_assets: DataFrame) -> DataFrame:
+    """Assets that several domains claim, with the number of domains and the first and last of them."""
+    return _claims(domain_assets).groupBy(*OBJECT).agg(
+        F.count(F.lit(1)).alias("n_domains"), F.min("domain").alias("first_domain"),
+        F.max("domain").alias("last_domain")).filter(F.col("n_domains") > 1)
+
+
+def with_facets(assets: DataFrame, tags: DataFrame | None = None, domain_assets: DataFrame | None = None,
+                owners: DataFrame | None = None) -> DataFrame:
+    """Assets with the sets of their ``tags`` (name=value), ``domains`` and ``owners``, empty where there are none.
+
+    Each set is as large as what one asset carries.
+    """
+    none = F.array().cast("array<string>")
+
+    def add(df: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+        sets = pairs.distinct().groupBy(*OBJECT).agg(F.array_sort(F.collect_list("value")).alias(name))
+        return df.join(sets, OBJECT, "left").withColumn(name, F.coalesce(name, none))
+
+    if tags is not None:
+        assets = add(assets, tags.select(*OBJECT, F.concat_ws("=", "tag_name", "tag_value").alias("value")), "tags")
+    if domain_assets is not None:
+        assets = add(assets, domain_assets.select(*OBJECT, F.col("domain").alias("value")), "domains")
+    if owners is not None:
+        assets = add(assets, owners.filter(F.col("object").isNotNull()).select(*OBJECT, F.col("owner").alias("value")), "owners")
+    return assets
 
 
 def asset_search(assets: DataFrame, keyword: str, facets: dict[str, str] | None = None) -> DataFrame:
-    """Keyword in name or comment, any case, narrowed by exact facet values."""
+    """Keyword in name or comment, any case, narrowed by facet values: equal, or held by a set."""
     text = F.lower(F.concat_ws(" ", "name", "comment"))
     found = assets.filter(F.contains(text, F.lit(keyword.lower())))
+    kinds = dict(assets.dtypes)
     for column, value in (facets or {}).items():
-        found = found.filter(F.col(column) == value)
+        held = F.array_contains(column, value) if kinds[column].startswith("array") else F.col(column) == value
+        found = found.filter(held)
     return found
 
 
 def facet_counts(assets: DataFrame, facets: list[str]) -> DataFrame:
-    """Number of assets per facet value, all facets in one pass."""
-    pairs = F.array(*[F.struct(F.lit(f).alias("facet"), F.col(f).cast("string").alias("value")) for f in facets])
+    """Number of assets per facet value, all facets in one pass; an asset counts once for each value of a set."""
+    kinds = dict(assets.dtypes)
+
+    def pairs_of(f: str) -> Column:
+        values = F.col(f) if kinds[f].startswith("array") else F.array(F.col(f).cast("string"))
+        return F.transform(values, lambda v: F.struct(F.lit(f).alias("facet"), v.alias("value")))
+
+    pairs = F.concat(*map(pairs_of, facets))
     return assets.select(F.inline(pairs)).groupBy("facet", "value").agg(F.count(F.lit(1)).alias("n_assets"))

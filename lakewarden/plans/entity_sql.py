@@ -114,32 +114,47 @@ _CTES: dict[str, tuple[list[str], str]] = {
             cast(o_orderdate as date) as changed_on, o_orderkey as seq
           from orders join customer on o_custkey = c_custkey join nations on c_nationkey = n_nationkey
             join assets a on a.object = o_orderkey % (select count(*) from part))"""),
-    "owners": (["assets"], """
+    "object_owners": (["assets"], """
         select catalog, schema, object, c_name as owner from assets join customer on object = c_custkey"""),
+    "owners": (["object_owners"], """
+        select catalog, schema, object, owner from object_owners
+        union all select catalog, schema, null, c_name
+          from (select catalog, schema, min(object) as k from object_owners group by all) join customer on k = c_custkey
+        union all select catalog, null, null, c_name
+          from (select catalog, max(object) as k from object_owners group by all) join customer on k = c_custkey"""),
+    "net": (["grant_log"], """
+        select securable_type, catalog, schema, object, grantee, privilege from (
+          select *, row_number() over (partition by securable_type, catalog, schema, object, grantee, privilege
+            order by changed_on desc, seq desc, action desc) as rn from grant_log) where rn = 1 and action = 'GRANT'"""),
+    "held": (["net", "owners"], """
+        select securable_type, catalog, schema, object, grantee, privilege from net
+        union all select case when schema is null then 'CATALOG' else 'SCHEMA' end, catalog, schema, object, owner,
+          unnest(case when schema is null then ['USE CATALOG', 'USE SCHEMA', 'SELECT'] else ['USE SCHEMA', 'SELECT'] end)
+          from owners where object is null"""),
     "who": (["memberships"], """
         select c_name as principal, c_name as grantee from customer
         union select principal, grp from memberships"""),
-    "uc": (["grant_log", "who"], """
-        select distinct principal, catalog from grant_log join who using (grantee) where privilege = 'USE CATALOG'"""),
-    "us": (["grant_log", "who", "assets"], """
-        select principal, catalog, schema from grant_log join who using (grantee)
+    "uc": (["held", "who"], """
+        select distinct principal, catalog from held join who using (grantee) where privilege = 'USE CATALOG'"""),
+    "us": (["held", "who", "assets"], """
+        select principal, catalog, schema from held join who using (grantee)
         where privilege = 'USE SCHEMA' and securable_type = 'SCHEMA'
         union select principal, c.catalog, a.schema
-        from (select distinct principal, catalog from grant_log join who using (grantee)
+        from (select distinct principal, catalog from held join who using (grantee)
           where privilege = 'USE SCHEMA' and securable_type = 'CATALOG') c
         join (select distinct catalog, schema from assets) a on a.catalog = c.catalog"""),
-    "sel": (["grant_log", "who", "assets", "owners"], """
-        select principal, catalog, schema, object from grant_log join who using (grantee)
+    "sel": (["held", "who", "assets", "owners"], """
+        select principal, catalog, schema, object from held join who using (grantee)
         where privilege = 'SELECT' and securable_type = 'TABLE'
         union select principal, a.catalog, a.schema, a.object
-        from (select distinct principal, catalog, schema from grant_log join who using (grantee)
+        from (select distinct principal, catalog, schema from held join who using (grantee)
           where privilege = 'SELECT' and securable_type = 'SCHEMA') s
         join assets a on a.catalog = s.catalog and a.schema = s.schema
         union select principal, a.catalog, a.schema, a.object
-        from (select distinct principal, catalog from grant_log join who using (grantee)
+        from (select distinct principal, catalog from held join who using (grantee)
           where privilege = 'SELECT' and securable_type = 'CATALOG') c
         join assets a on a.catalog = c.catalog
-        union select owner, catalog, schema, object from owners"""),
+        union select owner, catalog, schema, object from owners where object is not null"""),
     "usage": ([], """
         select event_type as sku_name, case when event_type = 'purchase' then 'HOURS' else 'GB' end as usage_unit,
           value as usage_quantity, cast(ts as date) as usage_date, user_id as principal from events"""),
@@ -153,24 +168,31 @@ _CTES: dict[str, tuple[list[str], str]] = {
           select *, row_number() over (partition by catalog, schema, object, column_name, tag_name
             order by changed_on desc, seq desc, action desc, tag_value desc) as rn from tag_log)
         where rn = 1 and action = 'SET'"""),
-    "edges": ([], """
-        select source_table_full_name, target_table_full_name, entity_type, max(event_date) as event_date from (
+    "edge_events": ([], """
           select 'supplier:' || l_suppkey as source_table_full_name, 'part:' || l_partkey as target_table_full_name,
             'TABLE' as entity_type, cast(l_shipdate as date) as event_date from lineitem
           union all select 'part:' || l_partkey, 'order:' || l_orderkey, 'VIEW', cast(l_shipdate as date) from lineitem
           union all select 'order:' || o_orderkey, 'customer:' || o_custkey, 'TABLE', cast(o_orderdate as date)
-            from orders)
-        group by all"""),
-    "col_edges": ([], f"""
-        select source_table_full_name, source_column_name, target_table_full_name, target_column_name,
-          max(event_date) as event_date from (
+            from orders"""),
+    "edges": (["edge_events"], """
+        select source_table_full_name, target_table_full_name, entity_type, max(event_date) as event_date
+        from edge_events group by all"""),
+    "recent_edges": (["edge_events"], """
+        select source_table_full_name, target_table_full_name, entity_type, max(event_date) as event_date
+        from edge_events where event_date between date '2001-01-01' - 7 and date '2001-01-01' group by all"""),
+    "col_events": ([], f"""
           select 'part:' || l_partkey as source_table_full_name, {_column} as source_column_name,
             'order:' || l_orderkey as target_table_full_name, {_renamed} as target_column_name,
             cast(l_shipdate as date) as event_date from lineitem
           union all select 'order:' || l_orderkey, {_renamed}, 'customer:' || o_custkey, {_renamed},
             cast(l_shipdate as date) from lineitem join orders on l_orderkey = o_orderkey
-            where l_linestatus = 'O')
-        group by all"""),
+            where l_linestatus = 'O'"""),
+    "col_edges": (["col_events"], """
+        select source_table_full_name, source_column_name, target_table_full_name, target_column_name,
+          max(event_date) as event_date from col_events group by all"""),
+    "claims": (["assets", "nations"], """
+        select distinct r_name as domain, catalog, schema, object from lineitem join supplier on l_suppkey = s_suppkey
+          join nations on s_nationkey = n_nationkey join assets on l_partkey = object"""),
     "col_arcs": (["col_edges"], """
         select distinct source_table_full_name || '.' || source_column_name as src,
           target_table_full_name || '.' || target_column_name as dst from col_edges"""),

@@ -40,5 +40,7 @@ class MetricSpec:
 
     def cube(self, df: DataFrame, dims: list[str], measures: list[str]) -> DataFrame:
         """All grains of the dimensions in one pass; ``grain`` has a bit set for every rolled-up one."""
-        projected = df.withColumns({d: F.expr(self.dims[d]) for d in dims})
-        return projected.cube(*dims).agg(F.grouping_id().cast("bigint").alias("grain"), *self._measures(measures))
+        own = {d: f"__dim_{i}" for i, d in enumerate(dims)}  # measures still see the source's columns
+        projected = df.withColumns({own[d]: F.expr(self.dims[d]) for d in dims})
+        cubed = projected.cube(*own.values()).agg(F.grouping_id().cast("bigint").alias("grain"), *self._measures(measures))
+        return cubed.withColumnsRenamed({n: d for d, n in own.items()})

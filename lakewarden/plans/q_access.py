@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
+from lakewarden.functions.scalars import MONEY_SCALE
 from lakewarden.operators import access, classify, lineage, tags
 from lakewarden.plans.entity_sql import with_entities
 from lakewarden.plans.q_governance import _FAILED_SQL, _line_rules, _tags
@@ -17,7 +18,8 @@ from lakewarden.sources.tables import load
 from lakewarden.streaming import jobs
 
 AS_OF = date(2001, 1, 1)
-_RECENT = "event_date >= date '2001-01-01' - 7"
+_RECENT = "event_date between date '2001-01-01' - 7 and date '2001-01-01'"
+WINDOW = (AS_OF - timedelta(7), AS_OF)
 
 # Access
 
@@ -26,12 +28,11 @@ def _memberships(spark, d):
     return access.expand_members(E.members(spark, d), E.group_edges(spark, d))
 
 
-@query("access_audit", with_entities("grant_log", """
-    select securable_type, catalog, schema, object, grantee, privilege from grant_log
+@query("access_audit", with_entities("net", """
+    select securable_type, catalog, schema, object, grantee, privilege from net
     where schema in ('Brand#1', 'Brand#2', 'Brand#3')"""))
 def _(spark, d):
-    grants = E.grant_log(spark, d).select("securable_type", "catalog", "schema", "object", "grantee", "privilege")
-    return access.access_audit(grants, ["Brand#1", "Brand#2", "Brand#3"])
+    return access.access_audit(access.net_grants(E.grant_log(spark, d)), ["Brand#1", "Brand#2", "Brand#3"])
 
 
 @query("net_grants", with_entities("grant_log", """
@@ -47,7 +48,7 @@ def _(spark, d):
       join uc using (principal, catalog) join us using (principal, catalog, schema) group by catalog"""))
 def _(spark, d):
     objects = E.assets(spark, d).select("catalog", "schema", "object")
-    return access.effective_access(E.grant_log(spark, d), _memberships(spark, d), objects, E.owners(spark, d))
+    return access.effective_access(access.net_grants(E.grant_log(spark, d)), _memberships(spark, d), objects, E.owners(spark, d))
 
 
 @query("access_gaps", with_entities("uc us sel", """
@@ -68,7 +69,7 @@ def _(spark, d):
     objects = E.assets(spark, d).select("catalog", "schema", "object")
     bought = load(spark, d, "lineitem").select("l_orderkey", F.col("l_partkey").alias("object")).join(
         buyers, "l_orderkey").join(objects, "object")
-    return access.access_gaps(bought, E.grant_log(spark, d), _memberships(spark, d), objects, E.owners(spark, d))
+    return access.access_gaps(bought, access.net_grants(E.grant_log(spark, d)), _memberships(spark, d), objects, E.owners(spark, d))
 
 
 @query("audit_rollup", """
@@ -106,17 +107,27 @@ def _(spark, d):
 # Lineage
 
 
-@query("direct_upstream", with_entities("edges", f"""
-    select source_table_full_name, target_table_full_name, entity_type, event_date from edges
-    where target_table_full_name = 'part:7' and {_RECENT}"""))
+@query("direct_upstream", with_entities("recent_edges", """
+    select source_table_full_name, target_table_full_name, entity_type, event_date from recent_edges
+    where target_table_full_name in (select target_table_full_name from recent_edges
+      where target_table_full_name like 'part:%' order by event_date desc, target_table_full_name limit 1)"""))
 def _(spark, d):
-    return lineage.upstream(E.table_edges(spark, d), "part:7", AS_OF)
+    events = E.table_events(spark, d, WINDOW)
+    # One table is asked for: the part with the newest event.
+    latest = events.filter("target_table_full_name like 'part:%'").orderBy(
+        F.col("event_date").desc(), "target_table_full_name").select("target_table_full_name").first()
+    return lineage.upstream(events, latest[0], AS_OF)
 
 
-@query("direct_downstream", with_entities("edges", f"""
-    select distinct target_table_full_name from edges where source_table_full_name = 'part:7' and {_RECENT}"""))
+@query("direct_downstream", with_entities("recent_edges", """
+    select distinct target_table_full_name from recent_edges
+    where source_table_full_name in (select source_table_full_name from recent_edges
+      where source_table_full_name like 'part:%' order by event_date desc, source_table_full_name limit 1)"""))
 def _(spark, d):
-    return lineage.downstream(E.table_edges(spark, d), "part:7", AS_OF)
+    events = E.table_events(spark, d, WINDOW)
+    latest = events.filter("source_table_full_name like 'part:%'").orderBy(
+        F.col("event_date").desc(), "source_table_full_name").select("source_table_full_name").first()
+    return lineage.downstream(events, latest[0], AS_OF)
 
 
 @query("impact_closure", with_entities("edges", """
@@ -129,11 +140,11 @@ def _(spark, d):
     return lineage.impact(E.table_events(spark, d), root)
 
 
-@query("pii_flow", with_entities("col_edges", f"""
-    select source_table_full_name, source_column_name, target_table_full_name, target_column_name from col_edges
-    where source_column_name in ('email', 'phone', 'street_address') and {_RECENT}"""))
+@query("pii_flow", with_entities("col_events", f"""
+    select distinct source_table_full_name, source_column_name, target_table_full_name, target_column_name
+    from col_events where source_column_name in ('email', 'phone', 'street_address') and {_RECENT}"""))
 def _(spark, d):
-    return lineage.pii_flow(E.column_edges(spark, d), E.PII_COLUMNS, AS_OF)
+    return lineage.pii_flow(E.column_events(spark, d, WINDOW), E.PII_COLUMNS, AS_OF)
 
 
 _REACH = """
@@ -230,7 +241,7 @@ def _stream_args(spark, d, table, label):
     from events group by all""")
 def _(spark, d):
     spark, path, schema, out, checkpoint = _stream_args(spark, d, "events", "stream-profile")
-    return jobs.stream_profile(spark, path, schema, "ts", "event_type", "value", out, checkpoint)
+    return jobs.stream_profile(spark, path, schema, "ts", "event_type", "value", out, checkpoint, scale=MONEY_SCALE)
 
 
 @query("stream_quarantine", f"""
@@ -245,7 +256,7 @@ def _(spark, d):
 
 @query("stream_pii_scan", f"select * from ({' union all '.join(
     f"select doc_id, '{label}' as label, cast(len(regexp_extract_all(text, '{p}')) as bigint) as matches from documents"
-    for label, p in classify.TEXT_PATTERNS.items())}) where matches > 0")
+    for label, p in classify.PLAIN_PATTERNS.items())}) where matches > 0")
 def _(spark, d):
     spark, path, schema, out, checkpoint = _stream_args(spark, d, "documents", "stream-pii")
     return jobs.stream_pii_scan(spark, path, schema, ["doc_id"], "text", out, checkpoint)

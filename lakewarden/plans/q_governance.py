@@ -6,8 +6,9 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from lakewarden.functions.scalars import exact_avg, exact_sum
-from lakewarden.operators import classify, integrity, monitor, policy, shares, tags, versions
+from lakewarden.functions.scalars import MONEY_SCALE, exact_avg, exact_sum
+from lakewarden.functions.sql import register_sql_functions
+from lakewarden.operators import access, classify, integrity, monitor, policy, shares, tags, versions
 from lakewarden.plans.entity_sql import with_entities
 from lakewarden.plans.q_medallion import (
     PRIMARY_KEYS, TABLES, health, revenue, silver_c, silver_i, silver_t, table_columns, union,
@@ -75,7 +76,7 @@ _FAILED_SQL = "concat_ws(',', " + ", ".join(f"case when not ({r}) then '{n}' end
     select * from (select l_orderkey, l_linenumber, l_partkey, l_suppkey, {_FAILED_SQL} as reasons from lineitem)
     where reasons <> ''""")
 def _(spark, d):
-    _, bad = integrity.expect(load(spark, d, "lineitem"), _line_rules())
+    _, bad = integrity.quarantine_write(load(spark, d, "lineitem"), _line_rules(), shared_path(spark, "quarantine"))
     return bad.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                       F.concat_ws(",", "failed").alias("reasons"))
 
@@ -206,11 +207,19 @@ def _(spark, d):
     return versions.version_diff(a, versions.update_rows(kept, cond, sets).unionByName(again), ["transaction_id"])
 
 
-# Policies. EUROPE is the allowed region; BUILDING customers are the exempt group.
+# Policies. EUROPE is the allowed region.
 
-ADMINS = "seg:BUILDING"
+# The exempt group is one that nobody is in directly: the customers of Asia's nations are, through their
+# nation's group.
+ADMINS = "reg:ASIA"
 PRINCIPAL = "Customer#000000001"
-_IS_ADMIN = f"exists (select 1 from members where grp = '{ADMINS}' and principal = '{PRINCIPAL}')"
+_IS_ADMIN = f"exists (select 1 from memberships where grp = '{ADMINS}' and principal = '{PRINCIPAL}')"
+# Shown as somebody who is exempt: the first customer of that region.
+_EXEMPT = f"(select min(principal) from memberships where grp = '{ADMINS}')"
+
+
+def _members(spark, d):
+    return access.expand_members(E.members(spark, d), E.group_edges(spark, d))
 
 
 def _registry() -> policy.PolicyRegistry:
@@ -237,59 +246,83 @@ def _(spark, d):
         F.count(F.lit(1)).alias("visible_rows"))
 
 
-@query("secure_preview", with_entities("clean_c members", f"""
+@query("secure_preview", with_entities("clean_c memberships", f"""
     select customer_id, first_name, last_name, region,
       case when {_IS_ADMIN} then email else left(email, 2) || '****' end as email,
       case when {_IS_ADMIN} then phone else left(phone, 2) || '****' end as phone
     from clean_c where region = 'EUROPE' or {_IS_ADMIN} order by customer_id limit 10"""))
 def _(spark, d):
-    seen = policy.secure(silver_c(spark, d), "cleaned_customers", _registry(), PRINCIPAL, E.members(spark, d))
+    seen = policy.secure(silver_c(spark, d), "cleaned_customers", _registry(), PRINCIPAL, _members(spark, d))
     return seen.select("customer_id", "first_name", "last_name", "region", "email", "phone").orderBy(
         "customer_id").limit(10)
 
 
-@query("mask_by_tag", with_entities("clean_c", """
-    select customer_id, '****' as email, left(phone, 2) || '****' as phone,
-      left(street_address, 4) || '****' as street_address, city from clean_c"""))
+# The part whose column tags stand for those of the customers: the first that has a column tagged pii = true.
+_TAGGED_PART = "(select min(object) from tags where tag_name = 'pii' and tag_value = 'true')"
+_KEEP = {"high": 0, "medium": 2, "low": 4}
+
+
+def _masked_sql(column: str) -> str:
+    mine = f"from tags where object = {_TAGGED_PART} and column_name = '{column}'"
+    keep = " ".join(f"when '{level}' then {n}" for level, n in _KEEP.items())
+    return (f"case when exists (select 1 {mine} and tag_name = 'pii' and tag_value = 'true') then left({column}, coalesce("
+            f"(select case tag_value {keep} else 0 end {mine} and tag_name = 'sensitivity_level'), 0)) || '****' "
+            f"else {column} end as {column}")
+
+
+@query("mask_by_tag", with_entities("clean_c tags", f"""
+    select customer_id, {', '.join(map(_masked_sql, E.COLUMN_NAMES))} from clean_c"""))
 def _(spark, d):
-    column_tags = {
-        "email": {"pii": "true", "sensitivity_level": "high"},
-        "phone": {"pii": "true", "sensitivity_level": "medium"},
-        "street_address": {"pii": "true", "sensitivity_level": "low"},
-        "city": {"pii": "false", "sensitivity_level": "low"},
-    }
-    seen = policy.secure_by_tags(silver_c(spark, d), column_tags, {"high": 0, "medium": 2, "low": 4}, False)
-    return seen.select("customer_id", "email", "phone", "street_address", "city")
+    net = stage(_tags(spark, d), "tags")
+    first = net.filter("tag_name = 'pii' and tag_value = 'true'").agg(F.min("object").alias("object"))
+    part = net.join(first, "object").select("catalog", "schema", "object").first()
+    own = policy.tags_of_table(net, *part) if part else {}
+    seen = policy.secure_by_tags(silver_c(spark, d), own, _KEEP, False)
+    return seen.select("customer_id", *E.COLUMN_NAMES)
+
+
+@query("sql_functions", with_entities("clean_c health", """
+    select c.customer_id, h.health_score, left(c.email, 2) || '****' as email, c.region
+    from clean_c c join health h using (customer_id) where c.region = 'EUROPE'"""))
+def _(spark, d):
+    register_sql_functions(spark, is_admin=False, allowed="EUROPE")
+    # A name of its own, so that another call's table is not replaced.
+    return spark.sql("""
+        SELECT customer_id, score_customer_health(CAST(customer_id AS STRING)) AS health_score,
+          mask_pii(email) AS email, region FROM {customers} WHERE filter_by_region(region)""", customers=silver_c(spark, d))
 
 
-@query("masked_union", with_entities("clean_c clean_i members", f"""
+@query("masked_union", with_entities("clean_c clean_i memberships", f"""
     select 'customers' as source, customer_id, case when {_IS_ADMIN} then email else left(email, 2) || '****' end
       as value from clean_c where region = 'EUROPE' or {_IS_ADMIN}
     union all select 'interactions', customer_id,
-      case when {_IS_ADMIN} then channel else left(channel, 2) || '****' end from clean_i"""))
+      case when {_IS_ADMIN} then channel else left(channel, 2) || '****' end from clean_i
+    union all select 'customers, exempt', customer_id, email from clean_c where {_EXEMPT} is not null"""))
 def _(spark, d):
-    registry, members = _registry(), E.members(spark, d)
+    registry, members = _registry(), stage(_members(spark, d), "members")
     c = policy.secure(silver_c(spark, d), "cleaned_customers", registry, PRINCIPAL, members)
     i = policy.secure(silver_i(spark, d), "cleaned_interactions", registry, PRINCIPAL, members)
-    return c.select(F.lit("customers").alias("source"), "customer_id", F.col("email").alias("value")).unionByName(
-        i.select(F.lit("interactions").alias("source"), "customer_id", F.col("channel").alias("value")))
+    exempt = members.filter(F.col("grp") == ADMINS).agg(F.min("principal")).first()[0]
+    all_of = policy.secure(silver_c(spark, d), "cleaned_customers", registry, exempt, members)
+    return union([t.select(F.lit(label).alias("source"), "customer_id", F.col(v).alias("value")) for label, t, v in (
+        ("customers", c, "email"), ("interactions", i, "channel"), ("customers, exempt", all_of, "email"))])
 
 
-@query("policy_visibility", with_entities("clean_c members nations", f"""
+@query("policy_visibility", with_entities("clean_c memberships nations", f"""
     select c_name as principal,
       case when adm then (select count(*) from clean_c) else coalesce(n, 0) end as visible_rows,
       cast(case when adm then 0 else 2 end as bigint) as masked_columns
-    from (select c_name, c_name in (select principal from members where grp = '{ADMINS}') as adm from customer)
+    from (select c_name, c_name in (select principal from memberships where grp = '{ADMINS}') as adm from customer)
     left join (
       select principal, cast(sum(n) as bigint) as n from (
-        select distinct principal, r_name from members join nations on grp = 'nat:' || n_name)
+        select distinct principal, r_name from memberships join nations on grp = 'nat:' || n_name)
       join (select region as r_name, count(*) as n from clean_c group by region) using (r_name) group by principal
     ) on c_name = principal"""))
 def _(spark, d):
     rules = E.nations(spark, d).select(F.concat(F.lit("nat:"), "n_name").alias("grp"), F.col("r_name").alias("allowed"))
     principals = load(spark, d, "customer").select(F.col("c_name").alias("principal"))
     return policy.policy_visibility(
-        silver_c(spark, d), "region", principals, E.members(spark, d), rules, ADMINS, masked_columns=2)
+        silver_c(spark, d), "region", principals, _members(spark, d), rules, ADMINS, masked_columns=2)
 
 
 # Classification
@@ -310,20 +343,24 @@ def _texts(spark, d):
                   part("pages", "page_id", F.lit(0), "html")])
 
 
+_CUSTOMER_TEXTS = ("first_name", "last_name", "email", "phone", "street_address", "city", "state", "country", "region",
+                   "name", "segment")
+
+
 @query("classify_values", with_entities("customers", " union all ".join(
     f"select * from (select '{c}' as column_name, '{label}' as label, "
     f"count(*) filter (regexp_matches({c}, '{p}'))::double / count({c}) as share from customers) where share >= 0.8"
-    for c in ("email", "phone", "first_name", "street_address", "region")
+    for c in _CUSTOMER_TEXTS
     for label, p in classify.VALUE_PATTERNS.items())))
 def _(spark, d):
-    return classify.classify_values(
-        E.customers(spark, d), ["email", "phone", "first_name", "street_address", "region"])
+    people = E.customers(spark, d)
+    return classify.classify_values(people, [c for c, t in people.dtypes if t == "string"])
 
 
 @query("pii_findings", f"select * from ({' union all '.join(
     f"select table_name, id, cast(part as bigint) as part, '{label}' as label, "
     f"cast(len(regexp_extract_all(text, '{p}')) as bigint) as matches from {_TEXTS}"
-    for label, p in classify.TEXT_PATTERNS.items())}) where matches > 0")
+    for label, p in classify.PLAIN_PATTERNS.items())}) where matches > 0")
 def _(spark, d):
     return classify.pii_findings(_texts(spark, d), ["table_name", "id", "part"], "text")
 
@@ -398,10 +435,10 @@ def _(spark, d):
 @query("certification_status", with_entities("tags assets edges", """
     select c.catalog, c.certification, count(distinct c.object) as n_assets,
       count(e.target_table_full_name) as n_consumers
-    from (select a.catalog, a.object, case max(case when t.tag_value = 'deprecated' then 2
+    from (select a.catalog, a.schema, a.object, case max(case when t.tag_value = 'deprecated' then 2
             when t.tag_value = 'certified' then 1 when t.tag_value is not null then 0 end)
           when 2 then 'deprecated' when 1 then 'certified' else 'uncertified' end as certification
-      from assets a left join tags t on a.object = t.object and t.tag_name = 'certification' group by all) c
+      from assets a left join tags t on a.catalog = t.catalog and a.schema = t.schema and a.object = t.object and t.tag_name = 'certification' group by all) c
     left join (select * from edges where source_table_full_name like 'part:%') e
       on 'part:' || c.object = e.source_table_full_name group by all"""))
 def _(spark, d):
@@ -414,34 +451,62 @@ def _(spark, d):
         .agg(F.count(F.lit(1)).alias("n_assets"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_consumers")))
 
 
-@query("domain_contents", with_entities("assets nations", """
-    select domain, catalog, schema, count(*) as n_assets, count(*) filter (n_domains > 1) as n_conflicts
-    from claims join (select object, count(*) as n_domains from claims group by object) using (object)
-      join assets using (object) group by all""", extra="""
-    claims as (select distinct r_name as domain, l_partkey as object from lineitem
-      join supplier on l_suppkey = s_suppkey join nations on s_nationkey = n_nationkey)"""))
+@query("domain_contents", with_entities("claims", """
+    select domain, catalog, schema, count(*) as n_assets, count(*) filter (n_domains > 1) as n_conflicts,
+      technical_owner, business_owner
+    from claims join (select catalog, schema, object, count(*) as n_domains from claims group by all)
+        using (catalog, schema, object)
+      join (select r_name as domain, min(s_name) as technical_owner, max(s_name) as business_owner
+        from supplier join nations on s_nationkey = n_nationkey group by all) using (domain)
+    group by all"""))
+def _(spark, d):
+    return tags.domain_contents(E.domain_claims(spark, d), E.assets(spark, d), E.domain_roles(spark, d))
+
+
+@query("domain_conflicts", with_entities("claims", """
+    select catalog, schema, object, count(*) as n_domains, min(domain) as first_domain, max(domain) as last_domain
+    from claims group by all having count(*) > 1"""))
 def _(spark, d):
-    domains = load(spark, d, "supplier").join(E.nations(spark, d), F.col("s_nationkey") == F.col("n_nationkey")).select(
-        F.col("s_suppkey").alias("l_suppkey"), F.col("r_name").alias("domain"))
-    claims = load(spark, d, "lineitem").join(domains, "l_suppkey").select(
-        "domain", F.col("l_partkey").alias("object"))
-    return tags.domain_contents(claims, E.assets(spark, d))
+    return tags.domain_conflicts(E.domain_claims(spark, d))
+
+
+@query("classification_tags", with_entities("tags asset_columns", f"""
+    select {_KEY}, tag_name, tag_value from tags
+    where not (tag_name = 'pii' and regexp_matches(column_name, '{classify.NAME_RULES[0][0]}'))
+    union all select {_KEY}, 'pii', 'true' from asset_columns
+    where regexp_matches(column_name, '{classify.NAME_RULES[0][0]}')"""))
+def _(spark, d):
+    found = classify.classify_names(E.asset_columns(spark, d))
+    return tags.apply_tags(_tags(spark, d), tags.tag_changes(found, changed_on=date(2024, 1, 1)), ["changed_on", "seq"])
+
+
+def _faceted(spark, d):
+    return tags.with_facets(E.assets(spark, d), _tags(spark, d), E.domain_claims(spark, d), E.owners(spark, d))
 
 
-@query("asset_search", with_entities("assets", """
-    select catalog, schema, object, name, object_type from assets
-    where contains(lower(name || ' ' || comment), 'widget') and catalog = 'PROMO'"""))
+@query("asset_search", with_entities("assets tags claims owners", """
+    select catalog, schema, object, name, object_type from assets a
+    where contains(lower(name || ' ' || comment), 'widget') and catalog = 'PROMO'
+      and exists (select 1 from tags t where (t.catalog, t.schema, t.object) = (a.catalog, a.schema, a.object)
+        and tag_name = 'pii' and tag_value = 'true')
+      and exists (select 1 from claims c where (c.catalog, c.schema, c.object) = (a.catalog, a.schema, a.object)
+        and domain = 'EUROPE')"""))
 def _(spark, d):
-    return tags.asset_search(E.assets(spark, d), "Widget", {"catalog": "PROMO"}).select(
+    facets = {"catalog": "PROMO", "tags": "pii=true", "domains": "EUROPE"}
+    return tags.asset_search(_faceted(spark, d), "Widget", facets).select(
         "catalog", "schema", "object", "name", "object_type")
 
 
-@query("facet_counts", with_entities("assets", """
+@query("facet_counts", with_entities("assets tags claims object_owners", """
     select 'catalog' as facet, catalog as value, count(*) as n_assets from assets group by all
     union all select 'schema', schema, count(*) from assets group by all
-    union all select 'object_type', object_type, count(*) from assets group by all"""))
+    union all select 'object_type', object_type, count(*) from assets group by all
+    union all select 'domains', domain, count(*) from claims group by all
+    union all select 'owners', owner, count(*) from object_owners group by all
+    union all select 'tags', tag_name || '=' || tag_value, count(*) from (
+      select distinct catalog, schema, object, tag_name, tag_value from tags) group by all"""))
 def _(spark, d):
-    return tags.facet_counts(E.assets(spark, d), ["catalog", "schema", "object_type"])
+    return tags.facet_counts(_faceted(spark, d), ["catalog", "schema", "object_type", "tags", "domains", "owners"])
 
 
 # Shares
@@ -466,11 +531,19 @@ def _(spark, d):
     return shares.share_contents(_SHARED, _share_tables(spark, d))
 
 
-@query("share_extract", with_entities("revenue", """
-    select product_category, month, total_revenue from revenue where region = 'EUROPE'"""))
+@query("share_extract", with_entities("revenue health", """
+    select 'europe_revenue' as shared_as, product_category || ' ' || strftime(month, '%Y-%m') as item,
+      total_revenue as value from revenue where region = 'EUROPE'
+    union all select 'customer_health', customer_id::varchar, health_score from health"""))
 def _(spark, d):
     paths = shares.share_extract(_SHARED, _share_tables(spark, d), shared_path(spark, "share"))
-    return spark.read.parquet(paths["europe_revenue"])
+    month = F.date_format("month", "yyyy-MM")
+    return spark.read.parquet(paths["europe_revenue"]).select(
+        F.lit("europe_revenue").alias("shared_as"), F.concat_ws(" ", "product_category", month).alias("item"),
+        F.col("total_revenue").alias("value")).unionByName(
+        spark.read.parquet(paths["customer_health"]).select(
+            F.lit("customer_health").alias("shared_as"), F.col("customer_id").cast("string").alias("item"),
+            F.col("health_score").alias("value")))
 
 
 # Monitoring
@@ -506,7 +579,7 @@ def _(spark, d):
     return monitor.drift(load(spark, d, "events"), "value", later, [50.0 * i for i in range(1, 10)])
 
 
-_QUALITY_COLUMNS = ["o_totalprice", "o_orderstatus", "o_custkey"]
+_QUALITY_COLUMNS = [*_NUMBERS, *_WORDS]
 
 
 @query("quality_status", f"""
@@ -514,18 +587,18 @@ _QUALITY_COLUMNS = ["o_totalprice", "o_orderstatus", "o_custkey"]
       case when value between lowest and highest then 'pass' else 'warn' end as status
     from ({' union all '.join(
         f"select 'orders' as table_name, '{c}' as column_name, unnest(['null_rate', 'max_number', 'n_rows']) as metric, "
-        f"unnest([(count(*) - count({c}))::double / count(*), {'null' if c == 'o_orderstatus' else f'max({c})'}::double, "
+        f"unnest([(count(*) - count({c}))::double / count(*), {f'max({c})' if c in _NUMBERS else 'null'}::double, "
         f"count(*)::double]) as value from orders" for c in _QUALITY_COLUMNS)})
     join (values ('null_rate', 0.0::double, 0.01::double), ('max_number', 0.0, 100000.0)) t(metric, lowest, highest)
       using (metric)""")
 def _(spark, d):
-    profiled = monitor.profile(load(spark, d, "orders"), "orders", _QUALITY_COLUMNS, distinct="none")
+    profiled = monitor.profile(load(spark, d, "orders"), "orders", distinct="none")
     metrics = monitor.unpivot_metrics(profiled, ["null_rate", "max_number", "n_rows"])
     return monitor.evaluate(metrics, [("null_rate", 0.0, 0.01), ("max_number", 0.0, 100000.0)])
 
 
 @query("usage_last_7d", with_entities("usage", """
     select sku_name, usage_unit, cast(sum(cast(usage_quantity as decimal(18,4))) as double) as total_usage
-    from usage where usage_date >= date '2024-01-30' - 7 group by all"""))
+    from usage where usage_date between date '2024-01-20' - 7 and date '2024-01-20' group by all"""))
 def _(spark, d):
-    return monitor.usage_summary(E.usage(spark, d), date(2024, 1, 30))
+    return monitor.usage_summary(E.usage(spark, d), date(2024, 1, 20), scale=MONEY_SCALE)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakewarden.functions.scalars import all_present, exact_avg, exact_sum, health_score
+from lakewarden.functions.scalars import MONEY_SCALE, all_present, exact_avg, exact_sum, health_score
 from lakewarden.operators import churn, classify, medallion, policy
 from lakewarden.plans.entity_sql import sql_pick, with_entities
 from lakewarden.plans.metrics import MetricSpec
@@ -72,7 +72,7 @@ def totals(spark, d):
 
 
 def health(spark, d):
-    return medallion.customer_health(silver_c(spark, d), totals(spark, d), silver_i(spark, d))
+    return medallion.customer_health(silver_c(spark, d), totals(spark, d), silver_i(spark, d), MONEY_SCALE)
 
 
 def revenue(spark, d, only_purchases=True):
@@ -114,7 +114,7 @@ def _(spark, d):
 
 @query("interaction_totals", with_entities("i_totals", "select * from i_totals"))
 def _(spark, d):
-    return medallion.interaction_totals(silver_i(spark, d))
+    return medallion.interaction_totals(silver_i(spark, d), MONEY_SCALE)
 
 
 @query("customer_health", with_entities("health", "select * from health"))
@@ -310,6 +310,25 @@ def _(spark, d):
         F.count(F.lit(1)).alias("n_rows"), F.min("region").alias("first_region"), F.max("region").alias("last_region"))
 
 
+@query("cluster_layout_facts", with_entities("revenue_all", """
+    select count(*) as n_rows, cast(0 as bigint) as unsorted_rows, cast(0 as bigint) as overlapping_files,
+      cast(ceil(count(*) / 400.0) as bigint) as most_files from revenue_all"""))
+def _(spark, d):
+    path, keys = shared_path(spark, "cluster"), ["region", "product_category"]
+    laid = sinks.cluster_layout(revenue(spark, d, False), keys, path, rows_per_file=400)
+    key = F.struct(*keys)
+    # Within a file by the place of the row; a file holds a bounded number of rows.
+    placed = laid.select(key.alias("key"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+    files = placed.withColumn("late", (before > F.col("key")).cast("int")).groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("late"), F.lit(0)).alias("late"), F.min("key").alias("low"), F.max("key").alias("high"))
+    files = files.withColumn("over", (F.lag("high").over(Window.orderBy("low", "high")) > F.col("low")).cast("int"))
+    return files.agg(
+        F.sum("n").alias("n_rows"), F.sum("late").cast("bigint").alias("unsorted_rows"),
+        F.coalesce(F.sum("over"), F.lit(0)).cast("bigint").alias("overlapping_files"),
+        F.greatest(F.count(F.lit(1)), F.ceil(F.sum("n") / 400.0)).cast("bigint").alias("most_files"))
+
+
 @query("meta_columns", _COLUMN_COUNTS_SQL)
 def _(spark, d):
     return all_column_counts(spark, d)
@@ -338,11 +357,12 @@ def _(spark, d):
 
 
 def _sql_draw(salt: str, key: str = "i") -> str:
-    return f"cast('0x' || substr(md5(cast({key} as varchar) || ':{salt}'), 1, 8) as bigint)"
+    return f"cast('0x' || substr(md5(cast({key} as varchar) || ':{salt}'), 1, 15) as bigint)"
 
 
 def _sql_uuid(n: str) -> str:
-    return f"'00000000-0000-0000-0000-' || lpad(lower(hex({n})), 12, '0')"
+    digits = f"lpad(lower(hex({n})), 16, '0')"
+    return f"'00000000-0000-0000-' || substr({digits}, 1, 4) || '-' || substr({digits}, 5, 12)"
 
 
 def _sql_date(salt: str) -> str:
@@ -417,3 +437,14 @@ def _(spark, d):
 def _(spark, d):
     features = stage(medallion.churn_features(health(spark, d)), "features")
     return churn.score_churn(churn.train_churn(features), features)
+
+
+@query("churn_facts", with_entities("health", """
+    select cast(health_score < 50 as int) as churned, count(*) as n_rows, cast(0 as bigint) as out_of_bounds,
+      cast(0 as bigint) as against_probability from health group by all"""))
+def _(spark, d):
+    features = stage(medallion.churn_features(health(spark, d)), "features")
+    p = F.col("churn_probability")
+    return churn.score_churn(churn.train_churn(features), features).groupBy("churned").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(~p.between(0, 1) | F.isnan(p)).alias("out_of_bounds"),
+        F.count_if((F.col("predicted") == 1) != (p > 0.5)).alias("against_probability"))

@@ -4,15 +4,21 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
+# Called with each table before it is staged and its label; tests look at the plans of those jobs.
+watchers: list[Callable[[DataFrame, str], None]] = []
 
 
-def build_session(app: str = "lakewarden", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the library expects; a cluster usually brings its own."""
+def build_session(app: str = "lakewarden", master: str | None = None, folder: str | None = None, **conf: str) -> SparkSession:
+    """A session with the settings the library expects; a cluster usually brings its own.
+
+    ``folder`` is where intermediate tables go, reachable by every executor; it becomes ``spark.checkpoint.dir``.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -21,6 +27,9 @@ def build_session(app: str = "lakewarden", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # Files are compressed and dictionary-coded; the planner's broadcast threshold is about memory.
+        "spark.sql.sources.fileCompressionFactor": "4.0",
+        **({"spark.checkpoint.dir": folder} if folder else {}),
         **conf,
     }
     for key, value in settings.items():
@@ -44,6 +53,13 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def release(spark: SparkSession) -> None:
+    """Delete what this application has staged. Results that still read it must have been written before."""
+    root = shared_path(spark, "x").rpartition("/")[0]
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -52,6 +68,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, label)
+    for look in watchers:
+        look(df, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -6,6 +6,8 @@ needs neither leaves the join out and gets the same rows.
 
 from __future__ import annotations
 
+from datetime import date, datetime, time, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -180,9 +182,35 @@ def grant_log(spark: SparkSession, d: str) -> DataFrame:
 
 
 def owners(spark: SparkSession, d: str) -> DataFrame:
-    """An object is owned by the customer with the same key, where there is one."""
+    """An object is owned by the customer with the same key, where there is one.
+
+    A schema (object NULL) is owned by the owner of its smallest object, a catalog (schema NULL too) by
+    the owner of its largest.
+    """
     customer = load(spark, d, "customer").select(F.col("c_custkey").alias("object"), F.col("c_name").alias("owner"))
-    return assets(spark, d).select("catalog", "schema", "object").join(customer, "object")
+    named = assets(spark, d).select("catalog", "schema", "object").join(customer, "object")
+    none = F.lit(None)
+    schemas = named.groupBy("catalog", "schema").agg(F.min("object").alias("object")).join(customer, "object").select(
+        none.cast("bigint").alias("object"), "catalog", "schema", "owner")
+    catalogs = named.groupBy("catalog").agg(F.max("object").alias("object")).join(customer, "object").select(
+        none.cast("bigint").alias("object"), "catalog", none.cast("string").alias("schema"), "owner")
+    return named.unionByName(schemas).unionByName(catalogs)
+
+
+def domain_claims(spark: SparkSession, d: str) -> DataFrame:
+    """A domain (region) claims the parts that its suppliers deliver; each claim once."""
+    suppliers = load(spark, d, "supplier").join(nations(spark, d), F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").alias("l_suppkey"), F.col("r_name").alias("domain"))
+    claimed = load(spark, d, "lineitem").join(suppliers, "l_suppkey").select(
+        "domain", F.col("l_partkey").alias("object")).distinct()
+    return claimed.join(assets(spark, d).select("catalog", "schema", "object"), "object")
+
+
+def domain_roles(spark: SparkSession, d: str) -> DataFrame:
+    """Technical and business owner of each domain: its first and last supplier by name."""
+    return load(spark, d, "supplier").join(nations(spark, d), F.col("s_nationkey") == F.col("n_nationkey")).groupBy(
+        F.col("r_name").alias("domain")).agg(
+        F.min("s_name").alias("technical_owner"), F.max("s_name").alias("business_owner"))
 
 
 def usage(spark: SparkSession, d: str) -> DataFrame:
@@ -219,9 +247,20 @@ def named_tags(tags: DataFrame, spark: SparkSession, d: str) -> DataFrame:
     return tags.join(assets(spark, d).select("catalog", "schema", "object"), "object")
 
 
-def table_events(spark: SparkSession, d: str) -> DataFrame:
-    """Table lineage as it was observed: supplier -> part -> order -> customer, one row per event."""
-    line = load(spark, d, "lineitem").select(
+def _days(df: DataFrame, col: str, window: tuple[date, date] | None) -> DataFrame:
+    """Rows of the days from first to last, as a range of the stored timestamp, which reaches the scan."""
+    if window is None:
+        return df
+    first, last = (F.lit(datetime.combine(x, time())).cast("timestamp_ntz") for x in (window[0], window[1] + timedelta(1)))
+    return df.filter((F.col(col) >= first) & (F.col(col) < last))
+
+
+def table_events(spark: SparkSession, d: str, window: tuple[date, date] | None = None) -> DataFrame:
+    """Table lineage as it was observed: supplier -> part -> order -> customer, one row per event.
+
+    ``window`` keeps the events of these days, both included.
+    """
+    line = _days(load(spark, d, "lineitem"), "l_shipdate", window).select(
         F.concat(F.lit("supplier:"), "l_suppkey").alias("s"),
         F.concat(F.lit("part:"), "l_partkey").alias("p"),
         F.concat(F.lit("order:"), "l_orderkey").alias("o"),
@@ -234,7 +273,7 @@ def table_events(spark: SparkSession, d: str) -> DataFrame:
                  F.lit("VIEW").alias("entity_type")),
     )
     from_lines = line.select("event_date", F.inline(pairs))
-    from_orders = load(spark, d, "orders").select(
+    from_orders = _days(load(spark, d, "orders"), "o_orderdate", window).select(
         F.col("o_orderdate").cast("date").alias("event_date"),
         F.concat(F.lit("order:"), "o_orderkey").alias("source_table_full_name"),
         F.concat(F.lit("customer:"), "o_custkey").alias("target_table_full_name"),
@@ -249,9 +288,9 @@ def table_edges(spark: SparkSession, d: str) -> DataFrame:
         F.max("event_date").alias("event_date"))
 
 
-def column_events(spark: SparkSession, d: str) -> DataFrame:
+def column_events(spark: SparkSession, d: str, window: tuple[date, date] | None = None) -> DataFrame:
     """Column lineage as it was observed: part columns feed order columns (every other one renamed), which feed customer columns."""
-    line = load(spark, d, "lineitem")
+    line = _days(load(spark, d, "lineitem"), "l_shipdate", window)
     name = pick(F.col("l_linenumber") - 1, COLUMN_NAMES)
     renamed = F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("contact_"), name)).otherwise(name)
     part_to_order = line.select(
@@ -273,8 +312,3 @@ def column_events(spark: SparkSession, d: str) -> DataFrame:
         )
     )
     return part_to_order.unionByName(order_to_customer)
-
-
-def column_edges(spark: SparkSession, d: str) -> DataFrame:
-    keys = ["source_table_full_name", "source_column_name", "target_table_full_name", "target_column_name"]
-    return column_events(spark, d).groupBy(*keys).agg(F.max("event_date").alias("event_date"))

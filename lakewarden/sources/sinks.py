@@ -24,8 +24,10 @@ def write_csv(df: DataFrame, path: str) -> None:
 def append_checked(batch: DataFrame, path: str, parent: DataFrame, keys: dict[str, str]) -> int:
     """Append the whole batch, or nothing if any row refers to a missing parent.
 
-    ``keys`` maps child columns to parent columns. Returns the number of rejected rows.
+    ``keys`` maps child columns to parent columns. Returns the number of rejected rows. The batch is written
+    aside first, so the rows appended are the rows checked.
     """
+    batch = stage(batch, "batch")
     orphans = fk_orphan_keys(batch, parent, keys)
     rejected = orphans.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
     if rejected == 0:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakewarden.functions.scalars import exact_sum
 from lakewarden.operators.classify import pii_findings
 from lakewarden.operators.integrity import tag_failures
 
@@ -23,18 +24,19 @@ def _run(writer, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def window_profile(df: DataFrame, ts: str, by: str, value: str, every: str = "1 day") -> DataFrame:
-    """Rows, nulls and sum per time window and key. Works on a batch and on a stream."""
+def window_profile(df: DataFrame, ts: str, by: str, value: str, every: str = "1 day",
+                   scale: int | None = None) -> DataFrame:
+    """Rows, nulls and sum per time window and key, ``scale`` as in ``exact_sum``. Works on a batch and on a stream."""
     return (
         df.groupBy(F.window(ts, every).alias("w"), F.col(by))
         .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(value).isNull()).alias("nulls"),
-             F.sum(F.col(value).cast("decimal(18,4)")).cast("double").alias("total"))
+             exact_sum(value, scale).alias("total"))
         .select(F.col("w.start").alias("window_start"), by, "n_rows", "nulls", "total")
     )
 
 
 def stream_profile(spark: SparkSession, path: str, schema: T.StructType, ts: str, by: str, value: str,
-                   out: str, checkpoint: str, late: str | None = None) -> DataFrame:
+                   out: str, checkpoint: str, late: str | None = None, scale: int | None = None) -> DataFrame:
     """Continuous profile; the state is one row per window and key, not the rows of the stream.
 
     Without ``late`` each trigger replaces the published profile, so rows of any age are counted.
@@ -43,12 +45,12 @@ def stream_profile(spark: SparkSession, path: str, schema: T.StructType, ts: str
     """
     events = open_stream(spark, path, schema).withColumn(ts, F.col(ts).cast("timestamp"))
     if late is not None:
-        profiled = window_profile(events.withWatermark(ts, late), ts, by, value)
+        profiled = window_profile(events.withWatermark(ts, late), ts, by, value, scale=scale)
         target = f"{out}/closed"
         _run(profiled.writeStream.outputMode("append").format("parquet").option("path", target), checkpoint)
         return spark.read.schema(profiled.schema).parquet(target)
 
-    profiled = window_profile(events, ts, by, value)
+    profiled = window_profile(events, ts, by, value, scale=scale)
     target = f"{out}/profile"
 
     def replace(batch: DataFrame, batch_id: int) -> None:

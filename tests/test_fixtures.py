@@ -302,15 +302,99 @@ def test_tag_variants(spark, rows):
 
 
 def test_certification_defaults(spark, rows):
-    assets = spark.createDataFrame([(1,), (2,), (3,)], "object int")
-    t = spark.createDataFrame([(1, "certification", "certified"), (1, "certification", "deprecated"),
-                               (2, "certification", "certified")], "object int, tag_name string, tag_value string")
-    assert rows(tags.certification(assets, t)) == [(1, "deprecated"), (2, "certified"), (3, "uncertified")]
-
-
-def test_trailing_window_includes_first_day(spark):
-    df = spark.createDataFrame([(date(2024, 1, 3),), (date(2024, 1, 2),)], "d date")
-    assert df.filter(lineage.trailing("d", date(2024, 1, 10))).count() == 1
+    # t is in two schemas
+    key = "catalog string, schema string, object string"
+    assets = spark.createDataFrame([("c", "s1", "t"), ("c", "s2", "t"), ("c", "s1", "u"), ("c", "s1", "v")], key)
+    t = spark.createDataFrame([
+        ("c", "s1", "t", "certification", "certified"), ("c", "s1", "t", "certification", "deprecated"),
+        ("c", "s1", "u", "certification", "certified")], f"{key}, tag_name string, tag_value string")
+    assert rows(tags.certification(assets, t), "schema", "object", "certification") == [
+        ("s1", "t", "deprecated"), ("s1", "u", "certified"), ("s1", "v", "uncertified"), ("s2", "t", "uncertified")]
+
+
+def test_domains_and_facets_use_the_whole_name(spark, rows):
+    key = "catalog string, schema string, object string"
+    assets = spark.createDataFrame([("c", "s1", "t", "t", "x"), ("c", "s2", "t", "t", "x")], f"{key}, name string, comment string")
+    claims = spark.createDataFrame([("d1", "c", "s1", "t"), ("d2", "c", "s1", "t"), ("d1", "c", "s2", "t"), ("d1", "c", "s9", "gone")],
+                                   f"domain string, {key}")
+    assert rows(tags.domain_contents(claims, assets)) == [("d1", "c", "s1", 1, 1), ("d1", "c", "s2", 1, 0), ("d2", "c", "s1", 1, 1)]
+    roles = spark.createDataFrame([("d1", "tess", "bea")], "domain string, technical_owner string, business_owner string")
+    assert ("d1", "c", "s2", 1, 0, "tess", "bea") in rows(
+        tags.domain_contents(claims, assets, roles), "domain", "catalog", "schema", "n_assets", "n_conflicts", "technical_owner", "business_owner")
+    assert rows(tags.domain_conflicts(claims)) == [("c", "s1", "t", 2, "d1", "d2")]
+    marks = spark.createDataFrame([("c", "s2", "t", "a", "pii", "true")], f"{key}, column_name string, tag_name string, tag_value string")
+    own = spark.createDataFrame([("c", "s1", "t", "ann"), ("c", "s1", None, "bob")], f"{key}, owner string")
+    faceted = tags.with_facets(assets, marks, claims, own)
+    assert rows(tags.asset_search(faceted, "T", {"tags": "pii=true"}), "schema") == [("s2",)]
+    assert rows(tags.asset_search(faceted, "t", {"domains": "d2", "owners": "ann"}), "schema") == [("s1",)]
+    assert ("domains", "d1", 2) in rows(tags.facet_counts(faceted, ["schema", "tags", "domains", "owners"]))
+
+
+def test_trailing_window_has_both_ends(spark, rows):
+    df = spark.createDataFrame([(date(2024, 1, d),) for d in (2, 3, 10, 11)], "d date")
+    kept = df.filter(lineage.trailing("d", date(2024, 1, 10))).collect()
+    assert {r.d for r in kept} == {date(2024, 1, 3), date(2024, 1, 10)}
+    used = spark.createDataFrame([
+        ("a", "t", "TABLE", date(2024, 1, 5)), ("a", "t", "TABLE", date(2024, 6, 1)), ("b", "t", "TABLE", date(2024, 6, 1))],
+        "source_table_full_name string, target_table_full_name string, entity_type string, event_date date")
+    # An edge used in the window and later is found, one used only later is not.
+    assert rows(lineage.upstream(used, "t", date(2024, 1, 10)), "source_table_full_name", "event_date") == [("a", date(2024, 1, 5))]
+    assert rows(lineage.downstream(used, "b", date(2024, 1, 10))) == []
+
+
+def test_text_patterns_cost_linear_time(spark):
+    import time
+
+    texts = ["a" * 100_000 + " @ ", "1.2-" * 25_000 + "@", "x@y.de, call +1 (743) 555-3824 " + "-" * 100_000 + "@"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string").coalesce(1)
+    start = time.time()
+    found = {(r.id, r.label): r.matches for r in classify.pii_findings(df, ["id"], "text").collect()}
+    assert found == {(2, "EMAIL_ADDRESS"): 1, (2, "PHONE_NUMBER"): 1}
+    assert classify.pii_redact(df, "text").filter("id = 2").first().text.startswith("[EMAIL_ADDRESS], call [PHONE_NUMBER] ---")
+    assert time.time() - start < 5
+
+
+def test_draw_uuid_and_scale(spark):
+    from lakewarden.functions.scalars import draw, exact_avg, exact_sum
+
+    big = spark.range(2000).select((draw("id", "x") % (1 << 40)).alias("p"))
+    assert big.filter(F.col("p") >= 1 << 32).count() > 1900  # parents beyond 2^32 are drawn
+    ids = spark.createDataFrame([(1 << 48,), (0,), ((1 << 63) - 1,)], "id bigint").select(uuid_text("id").alias("u"))
+    got = {r.u for r in ids.collect()}
+    assert got == {"00000000-0000-0000-0001-000000000000", "00000000-0000-0000-0000-000000000000", "00000000-0000-0000-7fff-ffffffffffff"}
+    small = spark.createDataFrame([(0.00004,), (0.00002,)], "v double")
+    assert small.agg(exact_sum("v", None).alias("s")).first().s == pytest.approx(0.00006)
+    assert small.agg(exact_avg("v").alias("s")).first().s == 0.0
+
+
+def test_nested_groups_in_policies(spark, rows):
+    people = spark.createDataFrame([("ann@x",)], "email string")
+    direct = spark.createDataFrame([("inner", "ann")], "grp string, principal string")
+    nested = spark.createDataFrame([("inner", "admins")], "src string, dst string")
+    registry = policy.PolicyRegistry().attach_mask("c", "email", policy.MaskPolicy("admins"))
+    members = access.expand_members(direct, nested)
+    assert rows(policy.secure(people, "c", registry, "ann", members)) == [("ann@x",)]
+    assert rows(policy.secure(people, "c", registry, "bob", members)) == [("an****",)]
+
+
+def test_masks_from_the_tag_table(spark, rows):
+    people = spark.createDataFrame([("ann@x", "Bonn")], "email string, city string")
+    table = spark.createDataFrame([
+        ("c", "s", "t", "email", "pii", "true"), ("c", "s", "t", "email", "sensitivity_level", "medium"), ("c", "s2", "t", "city", "pii", "true")],
+        "catalog string, schema string, object string, column_name string, tag_name string, tag_value string")
+    own = policy.tags_of_table(table, "c", "s", "t")
+    assert own == {"email": {"pii": "true", "sensitivity_level": "medium"}}
+    assert rows(policy.secure_by_tags(people, own, {"medium": 2}, False)) == [("an****", "Bonn")]
+
+
+def test_cube_and_query_agree(spark):
+    from lakewarden.plans.metrics import MetricSpec
+
+    df = spark.createDataFrame([(date(2020, 3, 1), 1.0), (date(2020, 7, 1), 2.0)], "month date, v double")
+    spec = MetricSpec("t", {"month": "date_trunc('YEAR', month)"}, {"last": "MAX(month)", "total": "SUM(v)"})
+    flat = spec.query(df, ["month"], ["last", "total"]).first()
+    cube = spec.cube(df, ["month"], ["last", "total"]).filter("grain = 0").first()
+    assert (flat.month, flat["last"], flat.total) == (cube.month, cube["last"], cube.total) and flat["last"] == date(2020, 7, 1)
 
 
 def test_edges_from_steps_and_merge(spark, rows):

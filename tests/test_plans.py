@@ -30,6 +30,32 @@ def test_no_python_rows_and_no_cross_joins(spark, name):
     assert not re.search(r"BatchEvalPython|ArrowEvalPython|MapInPandas|CartesianProduct|BroadcastNestedLoopJoin", text)
 
 
+@pytest.mark.parametrize("name", ["effective_access", "access_gaps", "version_diff", "impact_closure", "pii_flow_closure", "churn_scores"])
+def test_staged_jobs_too(spark, monkeypatch, name):
+    """The costly jobs run inside ``stage``; their plans count as well."""
+    from lakewarden import session
+
+    seen = []
+    monkeypatch.setattr(session, "watchers", [lambda df, label: seen.append((label, plan(df)))])
+    plan(QUERIES[name](spark, SF))
+    assert seen
+    bad = r"BatchEvalPython|ArrowEvalPython|MapInPandas|CartesianProduct|BroadcastNestedLoopJoin"
+    assert not [label for label, text in seen if re.search(bad, text)]
+
+
+def test_net_grants_are_hashed_not_sorted(spark):
+    assert "SortAggregate" not in plan(QUERIES["net_grants"](spark, SF))
+
+
+def test_window_of_lineage_reaches_the_scan(spark):
+    text = plan(QUERIES["pii_flow"](spark, SF))
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(l_shipdate", text)
+
+
+def test_references_read_the_child_once(spark):
+    assert plan(QUERIES["fk_violations"](spark, SF)).count("orders.parquet") == 1
+
+
 def test_row_filter_and_mask_reach_the_scan(spark):
     table = load(spark, SF, "region")
     registry = policy.PolicyRegistry().attach_filter("r", "r_name", policy.RowPolicy("admins", ("EUROPE",)))
