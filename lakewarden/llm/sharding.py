@@ -19,8 +19,8 @@ SHARD_BYTES = 1_000_000
 HASH_BITS = 60
 # Of these, the last come from the row's number, so that rows of one id can be parted too.
 ROW_BITS = 20
-# Bits by which one round can deepen a bucket.
-ROUND_BITS = 8
+# Bits by which one round can deepen a bucket; a round sums at most 2^bits cells per open bucket.
+ROUND_BITS = 3
 
 
 def hash_bits(key: Column, row: Column) -> Column:
@@ -59,7 +59,7 @@ def directory(sizes: DataFrame, limit: int, bits: int = HASH_BITS) -> DataFrame:
         open_ = stage(by_depth.filter((F.col("depth") == high) & ~F.col("fits")).select(F.col("bucket").alias("_open")), "open")
         if high == bits or open_.isEmpty():
             break
-        left = left.withColumn("_open", prefix(F.col("hash"), high)).join(open_, "_open").drop("_open")
+        left = sizes.withColumn("_open", prefix(F.col("hash"), high)).join(open_, "_open").drop("_open")
         low = high
     return reduce(DataFrame.unionByName, done, spark.createDataFrame([], "depth int, bucket bigint, bytes bigint"))
 
