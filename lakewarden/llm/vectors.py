@@ -61,24 +61,27 @@ def build_tree(x: np.ndarray, members: np.ndarray, centre: int | None = None) ->
 
 
 class PairWalk:
-    """Links between the members of node pairs: counts per row, and classes as a forest of rows."""
+    """Links between the members of node pairs: counts per row, and the class of each row."""
 
     def __init__(self, x: np.ndarray, weight: np.ndarray, similarity: float):
         self.x, self.weight, self.similarity = x, weight, similarity
         self.reach = float(np.sqrt(max(0.0, 2 - 2 * similarity)))
         self.links = np.zeros(len(x), np.int64)
-        self.parent = np.arange(len(x))
-
-    def root(self, i: int) -> int:
-        while self.parent[i] != i:
-            self.parent[i] = self.parent[self.parent[i]]
-            i = int(self.parent[i])
-        return i
-
-    def join(self, i: int, j: int) -> None:
-        a, b = self.root(i), self.root(j)
-        if a != b:
-            self.parent[max(a, b)] = min(a, b)
+        self.label = np.arange(len(x))
+
+    def merge(self, rows: np.ndarray) -> None:
+        """These rows are in one class, whose label is its smallest row."""
+        labels = np.unique(self.label[rows])
+        if len(labels) > 1:
+            self.label[np.isin(self.label, labels)] = labels[0]
+
+    def _hits(self, a: np.ndarray, b: np.ndarray, hit: np.ndarray, mirrored: bool) -> None:
+        """Links between rows ``a`` and ``b`` where ``hit``; ``mirrored`` if the matrix has each pair twice."""
+        self.links[a] += hit @ self.weight[b]
+        if not mirrored:
+            self.links[b] += self.weight[a] @ hit
+        for i in np.flatnonzero(hit.any(axis=1)):
+            self.merge(np.append(b[hit[i]], a[i]))
 
     def _rows(self, a: np.ndarray, b: np.ndarray) -> None:
         """Members against members, by the cosine itself."""
@@ -88,21 +91,14 @@ class PairWalk:
             hit = self.x[part] @ self.x[b].T >= self.similarity
             if same:
                 hit[np.arange(len(part)), lo + np.arange(len(part))] = False
-            if not hit.any():
-                continue
-            self.links[part] += hit @ self.weight[b]
-            if not same:
-                self.links[b] += self.weight[part] @ hit
-            for i in np.flatnonzero(hit.any(axis=1)):
-                for j in np.unique([self.root(int(j)) for j in b[hit[i]]]):
-                    self.join(int(part[i]), int(j))
+            if hit.any():
+                self._hits(part, b, hit, same)
 
     def _whole(self, a: np.ndarray, b: np.ndarray) -> None:
         """All members of one node are linked with all of the other."""
         self.links[a] += self.weight[b].sum()
         self.links[b] += self.weight[a].sum()
-        for j in (*a, *b):
-            self.join(int(a[0]), int(j))
+        self.merge(np.concatenate([a, b]))
 
     def within(self, node: Node) -> None:
         todo = [node]
@@ -110,8 +106,7 @@ class PairWalk:
             node = todo.pop()
             if 2 * node.radius < self.reach - SLACK and len(node.members) > 1:
                 self.links[node.members] += self.weight[node.members].sum() - self.weight[node.members]
-                for j in node.members:
-                    self.join(int(node.members[0]), int(j))
+                self.merge(node.members)
             elif node.children is None:
                 self._rows(node.members, node.members)
             else:
@@ -127,13 +122,20 @@ class PairWalk:
         while todo:
             a, b, same = todo.pop()
             ra, rb = np.array([n.radius for n in a]), np.array([n.radius for n in b])
-            xa, xb = self.x[[n.centre for n in a]], self.x[[n.centre for n in b]]
+            ca, cb = np.array([n.centre for n in a]), np.array([n.centre for n in b])
+            one_a, one_b = (np.array([len(n.members) == 1 for n in nodes]) for nodes in (a, b))
             for lo in range(0, len(a), 512):
-                away = np.sqrt(np.maximum(0.0, 2 - 2 * xa[lo:lo + 512] @ xb.T))
+                cosine = self.x[ca[lo:lo + 512]] @ self.x[cb].T
+                away = np.sqrt(np.maximum(0.0, 2 - 2 * cosine))
                 open_ = away - ra[lo:lo + 512, None] - rb[None, :] <= self.reach + SLACK
                 if same:
                     open_ &= np.arange(len(b))[None, :] > lo + np.arange(len(open_))[:, None]
-                for i, j in np.argwhere(open_):
+                # Nodes of a single member are settled here, by the cosine itself.
+                single = open_ & one_a[lo:lo + 512, None] & one_b[None, :]
+                hit = single & (cosine >= self.similarity)
+                if hit.any():
+                    self._hits(ca[lo:lo + 512], cb, hit, False)
+                for i, j in np.argwhere(open_ & ~single):
                     p, q = a[lo + i], b[j]
                     if away[i, j] + p.radius + q.radius < self.reach - SLACK:
                         self._whole(p.members, q.members)
@@ -173,8 +175,7 @@ def _walk_task(similarity: float):
                 walk.between(trees[a], trees[b])
         linked = np.flatnonzero(walk.links)
         ids = group["node"].to_numpy()
-        roots = [ids[walk.root(int(r))] for r in linked]
-        return pd.DataFrame({"node": ids[linked], "links": walk.links[linked], "root": np.array(roots, np.int64)})
+        return pd.DataFrame({"node": ids[linked], "links": walk.links[linked], "root": ids[walk.label[linked]]})
 
     return run
 
