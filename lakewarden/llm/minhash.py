@@ -362,20 +362,20 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     second = stage(pairs.join(first, ["a", "b"], "left_anti"), "across")
     if not second.isEmpty():
         found = stage(components(edges.unionByName(verified(second))), "classes")
-    return _classes(rows.select("rid", "_row", "id"), of_node, found)
+    return rows.select("rid", "_row").join(_classes(rows.select("rid", "id"), of_node, found), "rid").drop("rid")
 
 
 def _classes(rows: DataFrame, of_node: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows with their class: the component of their node, or else themselves."""
+    """(rid, class_id, class_size, kept): a row's class is the component of its node, or else itself."""
     classed = stage(rows.join(of_node, "rid", "left").join(found, "node", "left").select(
-        "rid", "_row", "id", F.coalesce("component", "node", "rid").alias("class")), "classed")
+        "rid", "id", F.coalesce("component", "node", "rid").alias("class")), "classed")
     best = stage(classed.groupBy("class").agg(
         F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "best")
-    owner = classed.select("rid", "class", "id").join(best.select("class", "class_id"), "class").filter(
-        F.col("id").eqNullSafe(F.col("class_id"))).groupBy("class").agg(F.min("rid").alias("owner"))
-    owner = stage(owner, "owners")
-    return classed.join(best, "class").join(owner, "class").select(
-        "_row", "class_id", "class_size", (F.col("rid") == F.col("owner")).alias("kept"))
+    owner = stage(classed.join(best, "class").filter(F.col("id").eqNullSafe(F.col("class_id"))).groupBy("class").agg(
+        F.min("rid").alias("owner")), "owners")
+    facts = stage(best.join(owner, "class"), "facts")
+    return classed.join(facts, "class").select(
+        "rid", "class_id", "class_size", (F.col("rid") == F.col("owner")).alias("kept"))
 
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
