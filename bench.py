@@ -17,7 +17,8 @@ from lakewarden.session import build_session
 HEADLINE = [
     "revenue_summary", "customer_health", "metric_cube", "policy_visibility", "effective_access",
     "access_gaps", "impact_closure", "pii_flow_closure", "version_diff", "pii_findings", "profile_orders",
-    "dedup_latest", "tags_current", "net_grants", "quarantine", "stream_profile",
+    "dedup_latest", "tags_current", "net_grants", "quarantine", "stream_profile", "tag_propagation",
+    "certification_status", "pii_redact", "lineage_with_external",
 ]
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,19 @@ def as_of(versions: DataFrame, version: int) -> DataFrame:
     return versions.filter(F.col("version") == version).drop("version")
 
 
+def version_at(log: DataFrame, at: datetime) -> int:
+    """The version that was current at a time: the newest entry of (version, at) not after it."""
+    found = log.filter(F.col("at") <= F.lit(at)).agg(F.max_by("version", F.struct("at", "version"))).first()[0]
+    if found is None:
+        raise ValueError(f"there was no version yet at {at}")
+    return found
+
+
+def as_of_time(versions: DataFrame, log: DataFrame, at: datetime) -> DataFrame:
+    """The rows as they were at a time."""
+    return as_of(versions, version_at(log, at))
+
+
 def update_rows(df: DataFrame, cond: Column, sets: dict[str, Column]) -> DataFrame:
     """UPDATE ... SET ... WHERE as a projection: rows outside the condition keep their values."""
     types = dict(df.dtypes)

@@ -207,6 +207,7 @@ def _(spark, d):
 
 # Metrics
 
+# The names and expressions of the metric definition.
 METRICS = MetricSpec.from_yaml("""
 source: revenue_summary
 dimensions:

@@ -462,3 +462,41 @@ def test_request_queue_and_audit(spark, rows):
     r = spark.createDataFrame([("o", "approved", date(2024, 1, 1), date(2024, 1, 4)), ("o", "pending", date(2024, 1, 1), None)],
                               "owner string, status string, asked_on date, decided_on date")
     assert rows(access.request_queue(r)) == [("o", "approved", 1, 3.0), ("o", "pending", 1, None)]
+
+
+def test_version_at_a_time(spark, tmp_path):
+    from datetime import datetime
+
+    path = f"{tmp_path}/v"
+    for v in range(3):
+        versions.commit(spark.range(v + 1), path, v)
+    log = spark.createDataFrame([(v, datetime(2024, 1, 1 + v, 12)) for v in range(3)], "version int, at timestamp")
+    stored = versions.read_versions(spark, path)
+    assert versions.as_of_time(stored, log, datetime(2024, 1, 2, 18)).count() == 2
+    assert versions.as_of_time(stored, log, datetime(2024, 1, 1, 12)).count() == 1
+    with pytest.raises(ValueError):
+        versions.version_at(log, datetime(2023, 1, 1))
+
+
+def test_tags_from_classification(spark, rows):
+    key = "catalog string, schema string, object string, column_name string"
+    columns = spark.createDataFrame([("c", "s", "t", "email"), ("c", "s", "t", "size")], key)
+    changes = tags.tag_changes(classify.classify_names(columns), changed_on=date(2024, 1, 2))
+    now = spark.createDataFrame([("c", "s", "t", "email", "pii", "false"), ("c", "s", "t", "size", "pii", "false")],
+                                f"{key}, tag_name string, tag_value string")
+    assert rows(tags.apply_tags(now, changes, ["changed_on", "seq"]), "column_name", "tag_value") == [("email", "true"), ("size", "false")]
+
+
+def test_quarantine_is_written_in_one_pass(spark, rows, tmp_path):
+    df = spark.createDataFrame([(1, 5), (2, None), (3, -1)], "id int, v int")
+    good, bad = integrity.quarantine_write(df, {"positive": F.col("v") > 0}, f"{tmp_path}/q")
+    assert rows(good) == [(1, 5)] and rows(bad, "id", "failed") == [(2, ["positive"]), (3, ["positive"])]
+
+
+def test_staged_tables_are_released(spark, tmp_path, monkeypatch):
+    from lakewarden import session
+
+    monkeypatch.setattr(session, "shared_path", lambda spark, label: f"{tmp_path}/app/{label}-1")
+    assert session.stage(spark.range(3), "x").count() == 3 and (tmp_path / "app" / "x-1").exists()
+    session.release(spark)
+    assert not (tmp_path / "app").exists()
