@@ -291,6 +291,11 @@ def _sharply_alike(a: str, b: str, similarity: float) -> Column:
     return _sizes_allow(a, b, similarity) & (unlike <= int(most))
 
 
+def _first_shared(a: str, b: str, band: Column) -> Column:
+    """A pair is met in the first of the bands that it shares, and in no other."""
+    return F.array_position(F.zip_with(a, b, lambda x, y: x == y), True) == band + 1
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None,
                     similarity: float = SIMILARITY, weighted: bool = False) -> DataFrame:
     """``_row`` (the columns of ``df``, or those to ``carry``), ``class_id``, ``class_size`` and ``kept`` per row.
@@ -354,11 +359,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     wanted = stage(unsettled.select(F.col("node").alias("rid")).distinct(), "wanted")
     bits = texts.join(wanted, "rid", "left_semi").withColumn("weighted", F.lit(weighted)).mapInArrow(
         _sharp, "node long, " + ", ".join(f"{w} long" for w in SHARP))
-    bits = stage(bits.join(reps.select("node", "size"), "node").select("node", F.struct("node", "size", *SHARP).alias("s")), "bits")
+    bits = stage(bits.join(reps.select("node", "size", "bands"), "node").select(
+        "node", F.struct("node", "size", "bands", *SHARP).alias("s")), "bits")
     open_ = stage(unsettled.join(bits, "node").select("band", "key", "component", "s"), "open")
     across = open_.alias("x").join(open_.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key"))
-                                   & (F.col("x.component") < F.col("y.component")) & _sharply_alike("x.s", "y.s", similarity))
-    pairs = across.select(F.least("x.s.node", "y.s.node").alias("a"), F.greatest("x.s.node", "y.s.node").alias("b")).distinct()
+                                   & (F.col("x.component") < F.col("y.component")) & _sharply_alike("x.s", "y.s", similarity)
+                                   & _first_shared("x.s.bands", "y.s.bands", F.col("x.band")))
+    pairs = across.select(F.least("x.s.node", "y.s.node").alias("a"), F.greatest("x.s.node", "y.s.node").alias("b"))
     second = stage(pairs.join(first, ["a", "b"], "left_anti"), "across")
     if not second.isEmpty():
         found = stage(components(edges.unionByName(verified(second))), "classes")
