@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
+_scope = ""
 # Called with each table before it is staged and its label; tests look at the plans of those jobs.
 watchers: list[Callable[[DataFrame, str], None]] = []
 
@@ -50,12 +52,26 @@ def shared_path(spark: SparkSession, label: str) -> str:
         if _local_root is None:
             _local_root = tempfile.mkdtemp(prefix="lakewarden-")
         root = _local_root
-    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{_scope}{label}-{uuid.uuid4().hex[:12]}"
 
 
-def release(spark: SparkSession) -> None:
-    """Delete what this application has staged. Results that still read it must have been written before."""
-    root = shared_path(spark, "x").rpartition("/")[0]
+@contextmanager
+def scratch(name: str) -> Iterator[None]:
+    """What is staged inside goes to a folder of that name, which ``release`` can delete on its own."""
+    global _scope
+    before, _scope = _scope, f"{name}/"
+    try:
+        yield
+    finally:
+        _scope = before
+
+
+def release(spark: SparkSession, name: str | None = None) -> None:
+    """Delete what this application has staged, or the part under ``scratch(name)``.
+
+    Results that still read it must have been written before.
+    """
+    root = shared_path(spark, "x").rpartition("/")[0] + (f"/{name}" if name else "")
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
