@@ -1,12 +1,17 @@
-"""A corpus made ready for training: each stage is written as Parquet and read again as the next one's input."""
+"""A corpus made ready for training: each stage is written as Parquet and read again as the next one's input.
+
+What a stage stages on the way is deleted when the next but one begins, as its result has been written by then.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lakewarden.llm import minhash, mixing, packing, quality, secrets
-from lakewarden.session import shared_path
+from lakewarden.session import release, scratch, shared_path
 from lakewarden.sources.tables import load
 
 
@@ -35,13 +40,27 @@ def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [
+Step = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _tidy(number: int, of: int, step: Step) -> Step:
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark, f"pipeline-{(number - 2) % of}")
+        with scratch(f"pipeline-{number}"):
+            return step(spark, docs, sf_dir)
+
+    run_step.__doc__ = step.__doc__
+    return run_step
+
+
+_STEPS = [
     ("quality rules", quality_rules),
     ("MinHash near-dedup", near_dedup),
     ("secret scans", secret_scan),
     ("mixing sources", source_mix),
     ("best-fit packing", best_fit),
 ]
+STAGES = [(name, _tidy(i, len(_STEPS), step)) for i, (name, step) in enumerate(_STEPS)]
 
 # The votes' model, the signatures and the tokenizer are beyond SQL.
 ORACLE_SQL = None

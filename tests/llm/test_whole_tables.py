@@ -103,14 +103,16 @@ def test_mixing_meets_targets(spark):
         assert size == sum(r.size for r in rows) and abs(sum(r.taken for r in rows) - target) <= 1
 
 
-def test_pipeline(spark):
+def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     names = [n for n, _ in corpus_pipeline.STAGES]
     tables = []
     for _, step in corpus_pipeline.STAGES:
-        docs = step(spark, docs, SF).cache()
+        path = str(tmp_path / str(len(tables)))
+        step(spark, docs, SF).write.parquet(path)
+        docs = spark.read.parquet(path)
         tables.append(docs)
     quality, dedup, secrets, mix, packed = tables
     assert len(names) == 5 and all(t.columns == quality.columns for t in tables[:4])
