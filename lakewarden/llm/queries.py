@@ -131,11 +131,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("spans")
     base = F.filter(spans, lambda s: s["place"] < len(secrets.BASE))
+    live = F.filter(spans, lambda s: s["live"])
 
     def count(kind: str):
         return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
 
     return secrets.judged(load(spark, sf_dir, "documents"), carry=["doc_id"]).select(
         "_row.doc_id", *[count(k) for k, *_ in secrets.BASE], F.sha2(span_text(base), 256).alias("base_sha256"),
-        span_text(spans).alias("spans"),
-        F.size(F.filter(spans, lambda s: s["live"])).cast("bigint").alias("n_live"))
+        span_text(spans).alias("spans"), F.size(live).cast("bigint").alias("n_live"), span_text(live).alias("live_spans"))

@@ -2,8 +2,8 @@
 
 Candidates are found by patterns, with their places: the text between matches comes from ``split``, the matches
 from ``regexp_extract_all``, and lengths add up to positions. Over the corpus the hash of each value is counted
-by distinct repositories and owners. A value that many owners hold is a copied example; one that few hold looks
-like somebody's live credential. Only built-in expressions are used.
+by distinct repositories and owners. A value that many owners hold in many repositories, or one owner in very many,
+is a copied example; one that few hold looks like somebody's live credential. Only built-in expressions are used.
 """
 
 from __future__ import annotations
@@ -22,14 +22,18 @@ BASE = (
     ("access", "AKIA[A-Z0-9]{14,}", 0, 18),
     ("hex", "[0-9a-f]{16,}", 0, 16),
 )
-# Kinds that the ownership test adds: they count only where few owners hold the value.
+# Kinds that are added to the listed ones.
 OWNED = (
     ("vendor", "(?:gh[pousr]_[A-Za-z0-9]{30,}|xox[abpr]-[A-Za-z0-9-]{20,}|sk-[A-Za-z0-9_-]{24,}|AIza[A-Za-z0-9_-]{35})", 0, 20),
     ("signed", "eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}", 0, 28),
 )
 KINDS = tuple(k for k, *_ in BASE + OWNED)
-# A value that at least so many owners hold is an example.
+# A value that at least so many owners hold, in at least so many repositories, is an example. In fewer repositories it
+# is not, whoever owns them: taking a rare example for live blanks few texts, the opposite shows a credential.
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOSITORIES = 6
+# So is one with this many repositories for each of its owners, however few these are.
+COPIES_PER_OWNER = 100
 
 _SPAN = "struct<kind:string,place:int,start:int,end:int,value:string>"
 
@@ -69,7 +73,10 @@ def candidates(df: DataFrame, text_col: str, id_col: str, owner_col: str, carry:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(hash, repositories, owners): how many distinct ones hold each value; NULL counts as one of its own."""
+    """(hash, repositories, owners): how many distinct ones hold each value; NULL counts as one of its own.
+
+    A repository is one of its owner's, so an id that two owners use counts for both.
+    """
     held = found.select(F.explode("spans").alias("s"), "repository", "owner").select(
         F.col("s.hash").alias("hash"), "repository", "owner").distinct()
     # Each (value, owner) first, so a value copied everywhere is counted from few rows.
@@ -78,21 +85,23 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def judged(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", owner_col: str = "source",
-           carry: list[str] | None = None, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """``_row`` (the columns of ``df``, or those to ``carry``) and ``spans``: start, kind, end, owners, live.
+           carry: list[str] | None = None, example_owners: int = EXAMPLE_OWNERS,
+           example_repositories: int = EXAMPLE_REPOSITORIES, copies_per_owner: int = COPIES_PER_OWNER) -> DataFrame:
+    """``_row`` (the columns of ``df``, or those to ``carry``) and ``spans``: start, kind, end, owners, repositories, live.
 
-    Base spans are all there, live or not; the added kinds only where live. Sorted by start, then kind as
-    listed. A NULL text counts as empty; a NULL repository or owner counts as one; repeated rows have the
+    Spans of all kinds are there, live or not. Sorted by start, then kind as listed. A NULL text counts as empty; a NULL repository or owner counts as one; repeated rows have the
     same spans and count once; an empty table gives no rows; names cannot clash, as the columns stay in
     ``_row``. Values appear as hashes only.
     """
     found = candidates(df, text_col, id_col, owner_col, carry)
     spread = found.filter(F.size("spans") > 0).select("rid", F.explode("spans").alias("s")).select(
         "rid", "s.start", "s.place", "s.end", "s.kind", "s.hash")
-    owned = spread.join(ownership(found), "hash").withColumn("live", F.col("owners") < example_owners)
-    told = owned.filter((F.col("place") < len(BASE)) | F.col("live")).groupBy("rid").agg(F.array_sort(F.collect_list(F.struct(
-        "start", "place", "end", "kind", "owners", "live"))).alias("judged"))
-    none = F.array().cast("array<struct<start:int,place:int,end:int,kind:string,owners:bigint,live:boolean>>")
+    copied = ((F.col("owners") >= example_owners) & (F.col("repositories") >= example_repositories)) | (
+        F.col("repositories") >= copies_per_owner * F.col("owners"))
+    owned = spread.join(ownership(found), "hash").withColumn("live", ~copied)
+    told = owned.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct(
+        "start", "place", "end", "kind", "owners", "repositories", "live"))).alias("judged"))
+    none = F.array().cast("array<struct<start:int,place:int,end:int,kind:string,owners:bigint,repositories:bigint,live:boolean>>")
     return found.select("rid", "_row").join(told, "rid", "left").select("_row", F.coalesce("judged", none).alias("spans"))
 
 

@@ -343,5 +343,18 @@ def test_ownership_tells_examples_from_live_values(spark):
     assert text[9] == "x [SECRET] y [SECRET] z" and text[0] == rows[0][1]
 
 
+def test_verdict_uses_owners_and_repositories(spark):
+    copied, rare, spread = ("ghp_" + x * 9 for x in ("a1B2", "c3D4", "e5F6"))
+    rows = [(i, f"see {copied} here", "hot") for i in range(2000)] + [(3000 + i, f"my {rare}", f"s{i}") for i in range(3)]
+    rows += [(4000 + i, f"see {spread}", f"s{i % 3}") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r._row.doc_id: [(s.kind, s.owners, s.repositories, s.live) for s in r.spans] for r in secrets.judged(df).collect()}
+    assert all(got[i] == [("vendor", 1, 2000, False)] for i in range(2000))
+    assert all(got[3000 + i] == [("vendor", 3, 3, True)] for i in range(3))
+    assert all(got[4000 + i] == [("vendor", 3, 6, False)] for i in range(6))
+    text = {r.doc_id: r.text for r in secrets.redact_live(df).collect()}
+    assert text[0] == rows[0][1] and text[3000] == "my [SECRET]" and text[4000] == f"see {spread}"
+
+
 def test_word_pattern_is_ascii_space_only():
     assert len(brute.WORD.findall("a b\x1cc d")) == 2 and WORD == "[^\\x20\\x09-\\x0D]+"
