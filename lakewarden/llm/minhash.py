@@ -29,6 +29,9 @@ COORDINATES = BANDS * BAND_ROWS
 # One-bit coordinates by which the members of a bucket that is still open are compared.
 SHARP_BITS = 1024
 SHARP = [f"w{i}" for i in range(SHARP_BITS // 64)]
+# So many standard deviations below the threshold's agreement, signatures do not drop a candidate: at the threshold
+# either test does once in some nine million times, so that the bands stay the weakest step.
+DEVIATIONS = 5.5
 # Bytes of text hashed together; arrays of that length bound a worker's memory.
 CHUNK_BYTES = 2_000_000
 # Height of the lowest rank strip; each next strip doubles the height reached.
@@ -277,8 +280,8 @@ def _sizes_allow(a: str, b: str, similarity: float) -> Column:
 
 
 def _may_match(a: str, b: str, similarity: float) -> Column:
-    """Sizes allow the threshold, and the signatures agree in no fewer than four deviations below it."""
-    least = int(COORDINATES * similarity - 4 * (COORDINATES * similarity * (1 - similarity)) ** 0.5)
+    """Sizes allow the threshold, and the signatures agree in no fewer than ``DEVIATIONS`` below it."""
+    least = int(COORDINATES * similarity - DEVIATIONS * (COORDINATES * similarity * (1 - similarity)) ** 0.5)
     agree = F.aggregate(F.zip_with(F.col(f"{a}.marks"), F.col(f"{b}.marks"), lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     return _sizes_allow(a, b, similarity) & (agree >= least)
 
@@ -286,7 +289,7 @@ def _may_match(a: str, b: str, similarity: float) -> Column:
 def _sharply_alike(a: str, b: str, similarity: float) -> Column:
     """The same on bits: those of unlike coordinates agree by chance in one of two cases."""
     same = (1 + similarity) / 2
-    most = SHARP_BITS * (1 - same) + 4 * (SHARP_BITS * same * (1 - same)) ** 0.5
+    most = SHARP_BITS * (1 - same) + DEVIATIONS * (SHARP_BITS * same * (1 - same)) ** 0.5
     unlike = sum((F.bit_count(F.col(f"{a}.{w}").bitwiseXOR(F.col(f"{b}.{w}"))) for w in SHARP), F.lit(0))
     return _sizes_allow(a, b, similarity) & (unlike <= int(most))
 

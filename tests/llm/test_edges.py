@@ -1,7 +1,10 @@
 """NULLs, empty and long texts, ties, repeated rows, empty tables, other columns of clashing names."""
 
+import math
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lakewarden.llm import chat, minhash, mixing, packing, pii, quality, queries, secrets, sharding, token_files, vectors
@@ -276,6 +279,24 @@ def test_links_between_large_groups(spark):
     assert {r._row.doc_id: r.class_id for r in minhash.near_duplicates(df).collect()} == brute.op8(rows)
 
 
+def test_signature_tests_miss_less_than_the_bands(spark):
+    def tail(n, p, over):
+        return sum(math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(over, n // 2))
+
+    missed = (1 - 0.8 ** minhash.BAND_ROWS) ** minhash.BANDS
+    rows = []
+    for unlike in range(300):
+        bits = np.packbits(np.arange(minhash.SHARP_BITS) < unlike).view(np.int64).tolist()
+        rows.append((unlike, (100, bits, [0] * 96), (100, [0] * 16, [int(i < unlike) for i in range(96)])))
+    half = "struct<size:long,bits:array<long>,marks:array<int>>"
+    df = spark.createDataFrame(rows, f"unlike int, x {half}, y {half}")
+    flat = df.select("unlike", *[F.struct(f"{s}.size", f"{s}.marks", *[
+        F.col(f"{s}.bits")[i].alias(w) for i, w in enumerate(minhash.SHARP)]).alias(s) for s in "xy"])
+    sharp = flat.filter(minhash._sharply_alike("x", "y", 0.8)).agg(F.max("unlike")).first()[0]
+    coarse = flat.filter(minhash._may_match("x", "y", 0.8)).filter("unlike <= 96").agg(F.max("unlike")).first()[0]
+    assert tail(1024, 0.1, sharp + 1) < missed / 10 and tail(96, 0.2, coarse + 1) < missed / 10
+
+
 def test_weighted_similarity(spark):
     one, two = "a b c d e f g h i j", "k l m n o p q r s t"
     df = spark.createDataFrame([(1, f"{one} {one} {one} {one} {two}"), (2, f"{one} {one} {one} {one} {one} {one} {one} {one} {two}")], "doc_id long, text string")
