@@ -191,3 +191,43 @@ def mixed_documents(df: DataFrame, source_col: str = "source", text_col: str = "
         columns.append(own.alias(c))
     return made.select(*columns)
 
+
+def mixed_blocks(df: DataFrame, source_col: str = "source", text_col: str = "text", id_col: str = "doc_id",
+                 block: int = BLOCK_WORDS) -> DataFrame:
+    """The mix in the schedule's order: (slot, key, rank, block, words, text), range-partitioned and sorted by slot.
+
+    ``key`` is the source as made by ``source_key``; ``text`` is the slot's words, with a line break where a document
+    begins. Slots that a source lacks share the slot after the last one, in the order of ``key`` and ``rank``.
+    """
+    sized = stage(df.select(
+        F.monotonically_increasing_id().alias("rid"), named(df, text_col).alias("_text"),
+        source_key(named(df, source_col)).alias("key"),
+        F.md5(F.coalesce(named(df, id_col).cast("string"), F.lit("")).cast("binary")).alias("order"),
+        F.xxhash64(named(df, text_col)).alias("tie"), word_count(named(df, text_col)).alias("size")), "sized")
+    light = sized.drop("_text")
+    slots = schedule(source_targets(light), block)
+    placed = streams(light).filter("size > 0").select("rid", "key", "start", "size").join(sized.select("rid", "_text"), "rid")
+    first, last = F.floor(F.col("start") / F.lit(block)), F.floor((F.col("start") + F.col("size") - 1) / F.lit(block))
+
+    def piece(words: Column, at: Column) -> Column:
+        begin = F.greatest(at * block - F.col("start"), F.lit(0))
+        end = F.least((at + 1) * block - F.col("start"), F.col("size"))
+        own = F.slice(words, (begin + 1).cast("int"), (end - begin).cast("int"))
+        return F.struct(at.alias("block"), F.when(begin == 0, F.transform(own, lambda w, i: F.when(
+            i == 0, F.concat(F.lit("\n"), w)).otherwise(w))).otherwise(own).alias("own"))
+
+    # The words are bound once per text, however many blocks it reaches into.
+    found = F.array(F.regexp_extract_all("_text", F.lit(f"{SPACE}*{WORD}"), F.lit(0)))
+    cut = F.flatten(F.transform(found, lambda words: F.transform(
+        F.sequence(first.cast("bigint"), last.cast("bigint")), lambda at: piece(words, at))))
+    # A block has a bounded number of words, and so of pieces.
+    texts = placed.select("key", "start", F.explode(cut).alias("p")).groupBy("key", F.col("p.block").alias("block")).agg(
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("start", "p.own"))), lambda x: x["own"])).alias("_words"))
+    return slots.join(texts, ["key", "block"]).select(
+        "slot", "key", "rank", "block", "words", F.array_join(F.slice("_words", F.lit(1), F.col("words").cast("int")), "").alias(
+            "text")).repartitionByRange("slot", "key", "rank").sortWithinPartitions("slot", "key", "rank")
+
+
+def write_mix(blocks: DataFrame, path: str) -> None:
+    """What ``mixed_blocks`` returns as files, each holding one stretch of the schedule."""
+    blocks.write.parquet(path)

@@ -333,6 +333,32 @@ def test_schedule_keeps_shares_near_everywhere(spark):
         assert sorted(own["rank"]) == list(range(len(own)))
 
 
+def test_mixed_blocks_hold_the_sources_near_their_shares(spark, none, tmp_path):
+    rows = [(i, " ".join(f"{'abc'[i % 3]}{i}w{n}" for n in range(200 + i % 7)), "abc"[i % 3]) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixing.write_mix(mixing.mixed_blocks(df, block=64), str(tmp_path / "m"))
+    got = spark.read.parquet(str(tmp_path / "m")).orderBy("slot", "key", "rank").collect()
+    assert all(len(r.text.split()) == r.words and all(w[0] == r.key[1] for w in r.text.split()) for r in got)
+    taken = {}
+    for r in got:
+        for w in r.text.split():
+            taken[w] = taken.get(w, 0) + 1
+    by_doc = {}
+    for w, n in taken.items():
+        doc = int(w[1:].split("w")[0])
+        by_doc[doc] = by_doc.get(doc, 0) + n
+    want = {r._row.doc_id: r.taken for r in mixing.mix(df, block=64).collect() if r.taken}
+    assert by_doc == want
+    whole = sum(r.words for r in got)
+    share = {k: sum(r.words for r in got if r.key == k) / whole for k in {r.key for r in got}}
+    early = [r for r in got if r.slot < max(x.slot for x in got)]
+    for lo in range(0, len(early) - 200, 200):
+        part = early[lo:lo + 200]
+        for k, s in share.items():
+            assert abs(sum(r.words for r in part if r.key == k) / sum(r.words for r in part) - s) < 0.05
+    assert mixing.mixed_blocks(none).count() == 0
+
+
 def test_secrets(spark, docs, none):
     rows = secrets.judged(docs).collect()
     got = sorted((str(r._row.doc_id), [(s.kind, s.start, s.end) for s in r.spans]) for r in rows)
