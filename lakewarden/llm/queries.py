@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewarden.llm import chat, minhash, mixing, packing, pii, quality, secrets, sharding, token_files, vectors
+from lakewarden.llm import (
+    chat, language, minhash, mixing, negatives, packing, pii, quality, secrets, sharding, token_files, trie, vectors,
+)
 from lakewarden.llm.common import span_text
 from lakewarden.sources.tables import load
 
@@ -16,6 +18,7 @@ Runner = Callable[[SparkSession, str], DataFrame]
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 LLM_QUERIES: dict[str, Runner] = {}
 LLM_SQL: dict[str, str] = {}
@@ -139,3 +142,75 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.judged(load(spark, sf_dir, "documents"), carry=["doc_id"]).select(
         "_row.doc_id", *[count(k) for k, *_ in secrets.BASE], F.sha2(span_text(base), 256).alias("base_sha256"),
         span_text(spans).alias("spans"), F.size(live).cast("bigint").alias("n_live"), span_text(live).alias("live_spans"))
+
+
+# crc32 of a text of ASCII characters, bit by bit.
+_CRC32 = """xor(list_reduce(list_transform(range(length({0})), lambda i: ascii(({0})[i + 1])::BIGINT),
+    lambda c, b: list_reduce(range(8), lambda r, k: xor(r >> 1, 3988292384 * (r & 1)), xor(c, b)), 4294967295::BIGINT), 4294967295::BIGINT)"""
+
+
+@query("op11_trie", f"""
+    WITH t AS (
+        SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (
+            PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS p
+        FROM conversations WHERE conv_id IS NOT NULL),
+    s AS (SELECT c, count(*) AS n, {_CRC32.format('c::VARCHAR')} % 9 AS h FROM t GROUP BY c),
+    q AS (
+        SELECT s.c, s.h, s.c - s.c % 5 AS base, least(s.h, coalesce(b.n, 0)) AS lead
+        FROM s LEFT JOIN s b ON b.c = s.c - s.c % 5),
+    u AS (
+        SELECT t.c, t.p - q.h + q.lead AS p, r, x FROM t JOIN q USING (c) WHERE t.p >= q.h
+        UNION ALL SELECT q.c, t.p, r, x FROM q JOIN t ON t.c = q.base AND t.p < q.lead),
+    m AS (
+        SELECT c, p + 1 AS d, strlen(x) AS y, md5(string_agg(md5(strlen(r) || ':' || r || x), '') OVER (
+            PARTITION BY c ORDER BY p ROWS UNBOUNDED PRECEDING)) AS k FROM u
+        UNION ALL SELECT c, 0, 0, '' FROM s),
+    n AS (SELECT d, k, min(c) AS v, count(*) AS n, max(y) AS y FROM m GROUP BY d, k),
+    up AS (SELECT n.d, n.k, p.k AS pk FROM n JOIN m p ON p.c = n.v AND p.d = n.d - 1),
+    kids AS (SELECT d - 1 AS d, pk AS k, count(*) AS kids FROM up GROUP BY ALL),
+    w AS (SELECT n.*, coalesce(kids, 0) AS kids FROM n LEFT JOIN kids USING (d, k)),
+    below AS (
+        SELECT a.d, a.k, sum((w.n - 1) * w.y) AS saved, count(*) FILTER (w.kids = 0) AS leaves
+        FROM w JOIN m a ON a.c = w.v AND a.d <= w.d GROUP BY ALL),
+    fin AS (
+        SELECT m.d, m.k, string_agg(m.c::VARCHAR, ',' ORDER BY m.c) AS ids
+        FROM m JOIN (SELECT c, max(d) AS d FROM m GROUP BY c) e ON e.c = m.c AND e.d = m.d GROUP BY ALL)
+    SELECT w.v AS conv_id, w.d::BIGINT AS depth, par.v AS parent_conv_id, w.n::BIGINT AS n_convs, w.kids::BIGINT AS n_children,
+           below.leaves::BIGINT AS n_leaves, below.saved::BIGINT AS saved_tokens, sha256(coalesce(fin.ids, '')) AS ends_sha256
+    FROM w JOIN below USING (d, k) LEFT JOIN fin USING (d, k) LEFT JOIN up USING (d, k) LEFT JOIN n par ON par.d = w.d - 1 AND par.k = up.pk
+""")
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(*trie.rebuilt(trie.turns_of(load(spark, sf_dir, "conversations"))))
+
+
+@query("op12_negatives", f"""
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor({negatives.SCALE} * x::DOUBLE)) AS e
+        FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+        SELECT a.vec_id AS anchor, a.label AS kind, b.vec_id AS other, b.label AS label, list_dot_product(a.e, b.e)::BIGINT AS score
+        FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+    p AS (
+        SELECT anchor, other AS positive, score AS top FROM s WHERE kind = label
+        QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= {negatives.POSITIVES})
+    SELECT anchor AS anchor_id, positive AS positive_id, (row_number() OVER best)::INTEGER AS rank, other AS negative_id,
+           top AS positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor) WHERE kind <> label AND {negatives.LOW} * top <= 100 * score AND 100 * score <= {negatives.HIGH} * top
+    WINDOW best AS (PARTITION BY anchor, positive ORDER BY score DESC, other)
+    QUALIFY row_number() OVER best <= {negatives.NEGATIVES}
+""")
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors_ = load(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors_.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+@query("op13_language")
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    models = language.learn(docs.filter(~held_out), PIECE_VOCABULARY)
+    return language.identify(docs.withColumn("held_out", held_out), models, carry=["doc_id", "held_out"]).select(
+        "_row.doc_id", "_row.held_out", "lang_pred", "score")
