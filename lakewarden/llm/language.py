@@ -45,6 +45,8 @@ UNIT = float(1 << 16)
 LANGUAGES_AT_ONCE = 64
 # Words held by a worker, and those that go through a pass at once.
 KNOWN_WORDS, PASS_WORDS = 400_000, 20_000
+# Characters of text whose words are looked up together.
+TEXT_CHARS = 4_000_000
 
 _U = np.uint64
 _FACTOR = _U(0x9E3779B97F4A7C15)
@@ -176,15 +178,21 @@ def _uses(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, chances = shared.value["pieces"], shared.value["chances"]
         totals: dict[str, np.ndarray] = {}
+        waiting: dict[str, tuple[list, list]] = {}
+
+        def add(lang: str) -> None:
+            words, counts = waiting.pop(lang)
+            totals[lang] = totals.get(lang, 0) + expected_uses(words, np.array(counts, np.float64), pieces, chances[lang])
+
         for batch in batches:
-            by_lang: dict[str, tuple[list, list]] = {}
             for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n"))):
-                words, counts = by_lang.setdefault(lang, ([], []))
+                words, counts = waiting.setdefault(lang, ([], []))
                 words.append(word)
                 counts.append(n)
-            for lang, (words, counts) in by_lang.items():
-                uses = expected_uses(words, np.array(counts, np.float64), pieces, chances[lang])
-                totals[lang] = totals.get(lang, 0) + uses
+            for lang in [g for g, (words, _) in waiting.items() if len(words) >= PASS_WORDS]:
+                add(lang)
+        for lang in list(waiting):
+            add(lang)
         for lang, uses in totals.items():
             at = np.flatnonzero(uses)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(uses[at])],
@@ -237,6 +245,16 @@ def _learn(spark: SparkSession, counts: DataFrame, pieces: Pieces, languages: li
     return Model(pieces, languages, np.array([texts[g] / whole for g in languages]), table)
 
 
+def _sliced(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """Texts in runs of a bounded number of characters, a longer text alone."""
+    at = size = 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if size >= TEXT_CHARS or i + 1 == len(texts):
+            yield texts[at:i + 1]
+            at, size = i + 1, 0
+
+
 def _scorer(shared):
     """Per text the best language of one model, its log probability, and that of all its languages together."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,29 +264,25 @@ def _scorer(shared):
         prior = np.log(model.shares)
         for batch in batches:
             best, top, every = [], [], []
-            for text in batch.column(1).to_pylist():
-                words = words_of(text)
-                if not words:
-                    best.append(None)
-                    top.append(None)
-                    every.append(None)
-                    continue
+            for texts in _sliced(batch.column(1).to_pylist()):
+                found = [words_of(t) for t in texts]
                 if len(known) > KNOWN_WORDS:
                     known, scores = {}, scores[:0]
-                new = [w for w in dict.fromkeys(words) if w not in known]
-                if new:
-                    known.update(zip(new, range(len(known), len(known) + len(new))))
-                    if len(known) > len(scores):
-                        grown = np.zeros((max(len(known), 2 * len(scores)), scores.shape[1]))
-                        grown[:len(scores)] = scores
-                        scores = grown
-                    scores[len(known) - len(new):len(known)] = word_scores(new, model.pieces, model.table)
-                places = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-                log = prior + scores[places].sum(axis=0)
-                i = int(log.argmax())
-                best.append(model.languages[i])
-                top.append(float(log[i]))
-                every.append(float(log[i] + np.log(np.exp(log - log[i]).sum())))
+                new = list(set().union(*found).difference(known))
+                known.update(zip(new, range(len(known), len(known) + len(new))))
+                scores = np.concatenate([scores, word_scores(new, model.pieces, model.table)])
+                for words in found:
+                    if not words:
+                        best.append(None)
+                        top.append(None)
+                        every.append(None)
+                        continue
+                    places = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+                    log = prior + scores[places].sum(axis=0)
+                    i = int(log.argmax())
+                    best.append(model.languages[i])
+                    top.append(float(log[i]))
+                    every.append(float(log[i] + np.log(np.exp(log - log[i]).sum())))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(best, pa.string()), pa.array(top, pa.float64()), pa.array(every, pa.float64())],
                 names=["_row", "lang_pred", "top", "every"])
@@ -296,7 +310,8 @@ def identify(df: DataFrame, models: list[Model], text_col: str = "text", carry:
 
     def told(found: DataFrame) -> DataFrame:
         return found.select("_row", F.coalesce("lang_pred", F.lit(NONE)).alias("lang_pred"),
-                            F.coalesce(F.round(F.least(F.lit(1.0), F.exp(F.col("top") - F.col("every"))), 9), F.lit(0.0)).alias("score"))
+                            F.when(F.col("lang_pred").isNull(), 0.0).otherwise(
+                                F.round(F.least(F.lit(1.0), F.exp(F.col("top") - F.col("every"))), 9)).alias("score"))
 
     if len(models) == 1:
         return told(scored(models[0], rows.schema["_row"], rows))

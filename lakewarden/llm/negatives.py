@@ -264,10 +264,8 @@ def hard_negatives(df: DataFrame, anchor: Column, id_col: str = "vec_id", vector
     everything = F.array(F.struct(F.lit(0).alias("w"), F.lit(-FAR).alias("lo"), F.lit(FAR).alias("hi"), F.lit(-FAR).alias("t")))
     near = stage(all_rows.search(anchors.select("rid", "label", "vec", everything.alias("windows")), positives, True).select(
         "anchor", F.col("rank").alias("w"), F.col("id").alias("positive_id"), F.col("score").alias("positive_score")), "positives")
-    top, bottom = F.col("positive_score") * high, F.col("positive_score") * low
-    span = F.struct(
-        "w", F.call_function("div", bottom + F.pmod(-bottom, F.lit(100)), F.lit(100)).alias("lo"),
-        F.call_function("div", top - F.pmod(top, F.lit(100)), F.lit(100)).alias("hi"))
+    score = F.col("positive_score").cast("decimal(20,0)")
+    span = F.struct("w", F.ceil(score * low / F.lit(100)).cast("bigint").alias("lo"), F.floor(score * high / F.lit(100)).cast("bigint").alias("hi"))
     # As many windows as an anchor has positives.
     windows = near.select("anchor", span.alias("s")).select("anchor", "s.*").filter("lo <= hi").groupBy(
         F.col("anchor").alias("rid")).agg(F.collect_list(F.struct("w", "lo", "hi", F.col("lo").alias("t"))).alias("windows"))
