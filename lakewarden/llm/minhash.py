@@ -34,6 +34,8 @@ SHARP = [f"w{i}" for i in range(SHARP_BITS // 64)]
 DEVIATIONS = 5.5
 # Bytes of text hashed together; arrays of that length bound a worker's memory.
 CHUNK_BYTES = 2_000_000
+# Members of an open bucket that one task compares with all of the bucket.
+OPEN_ROWS = 4096
 # Height of the lowest rank strip; each next strip doubles the height reached.
 FIRST_STRIP = 2.0 ** -7
 
@@ -226,52 +228,54 @@ def _signer(weighted: bool):
     return run
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = batch.column(1).to_pylist()
-        for lo, hi in _sliced(texts):
-            of, element, weight = shingles(texts[lo:hi])
-            offsets = np.searchsorted(of, np.arange(hi - lo + 1))
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0).slice(lo, hi - lo),
-                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(element.view(np.int64))),
-                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(weight.astype(np.int32))),
-            ], names=["node", "elements", "weights"])
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, weighted: bool, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose exact similarity reaches the threshold, in whole numbers."""
-    left = sets.select(F.col("node").alias("a"), F.col("elements").alias("_ea"), F.col("weights").alias("_wa"), F.col("size").alias("_na"))
-    right = sets.select(F.col("node").alias("b"), F.col("elements").alias("_eb"), F.col("weights").alias("_wb"), F.col("size").alias("_nb"))
-    met = pairs.select("a", "b").join(left, "a").join(right, "b")
+def _elements(of: np.ndarray, element: np.ndarray, weight: np.ndarray, weighted: bool, n: int) -> pa.Array:
+    """Each text's shingles as a set of numbers; with weights the second, third, ... use of one are elements of their own."""
     if weighted:
-        both = F.aggregate(F.map_values(F.map_zip_with(
-            F.map_from_arrays("_ea", "_wa"), F.map_from_arrays("_eb", "_wb"),
-            lambda _, x, y: F.least(F.coalesce(x, F.lit(0)), F.coalesce(y, F.lit(0))))), F.lit(0), lambda s, x: s + x)
-    else:
-        both = F.size(F.array_intersect("_ea", "_eb"))
+        use = np.arange(int(weight.sum())) - np.repeat(np.cumsum(weight) - weight, weight)
+        of = np.repeat(of, weight)
+        element = _mixed(np.repeat(element, weight) + use.astype(_U) * _U(0xA0761D6478BD642F))
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(n + 1)), pa.int32()), pa.array(element.view(np.int64)))
+
+
+def _sets(weighted: bool, sharp: bool):
+    """(node, elements), and with ``sharp`` one bit of each of many more coordinates."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for lo, hi in _sliced(texts):
+                of, element, weight = shingles(texts[lo:hi])
+                elements = _elements(of, element, weight, weighted, hi - lo)
+                weight = weight if weighted else np.ones(len(element))
+                words = []
+                for at in range(0, hi - lo if sharp else 0, 64):
+                    here = (of >= at) & (of < at + 64)
+                    n = min(64, hi - lo - at)
+                    found = signatures(of[here] - at, element[here], weight[here], n, SHARP_BITS)
+                    words.append(np.packbits(((found >> _U(1)) & _U(1)).astype(np.uint8), axis=1).view(np.int64))
+                bits = np.concatenate(words) if sharp else np.zeros((hi - lo, 0), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, hi - lo), elements, *[pa.array(bits[:, k]) for k in range(bits.shape[1])]],
+                    names=["node", "elements", *SHARP[:bits.shape[1]]])
+
+    return run
+
+
+def _alike(both: Column, a: Column, b: Column, similarity: float) -> Column:
+    """Sets of ``a`` and ``b`` elements that have ``both`` in common reach the threshold, in whole numbers."""
     share = round(similarity * 1000)
-    return met.withColumn("_c", both).filter(1000 * F.col("_c") >= share * (F.col("_na") + F.col("_nb") - F.col("_c"))).select("a", "b")
-
-
-def _sharp(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One bit of each of many more coordinates."""
-    for batch in batches:
-        texts = batch.column(1).to_pylist()
-        weighted = batch.column(2).to_pylist()
-        for lo, hi in _sliced(texts):
-            of, element, weight = shingles(texts[lo:hi])
-            weight = weight if weighted[lo] else np.ones(len(element))
-            words = []
-            for at in range(0, hi - lo, 64):
-                here = (of >= at) & (of < at + 64)
-                n = min(64, hi - lo - at)
-                found = signatures(of[here] - at, element[here], weight[here], n, SHARP_BITS)
-                words.append(np.packbits(((found >> _U(1)) & _U(1)).astype(np.uint8), axis=1).view(np.int64))
-            words = np.concatenate(words)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(lo, hi - lo), *[pa.array(words[:, k]) for k in range(SHARP_BITS // 64)]],
-                names=["node", *SHARP])
+    return 1000 * both >= share * (a + b - both)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (node, hub) whose exact similarity reaches the threshold, as (a, b).
+
+    The node's set travels to the hub, not the hub's to all of its nodes.
+    """
+    met = pairs.join(sets.select("node", F.col("elements").alias("_en")), "node").join(
+        sets.select(F.col("node").alias("hub"), F.col("elements").alias("_eh")), "hub")
+    both = F.size(F.array_intersect("_en", "_eh"))
+    return met.filter(_alike(both, F.size("_en"), F.size("_eh"), similarity)).select(
+        F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
 
 
 def _sizes_allow(a: str, b: str, similarity: float) -> Column:
@@ -307,8 +311,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     has it is kept. Weights are 1, which gives the Jaccard similarity of shingle sets, or with ``weighted``
     the counts of the shingles. Texts of the same shingles are one node from the start. Every band's bucket is
     first compared with its smallest and its largest member; then members of one bucket that are still in
-    different classes are compared with each other, so no candidate link between classes is lost while links
-    inside a class are not listed. A NULL, empty or blank text is alone in its class; fewer than five words are
+    different classes are compared with each other inside a join, so no candidate link between classes is lost while
+    links inside a class are not listed. A NULL, empty or blank text is alone in its class; fewer than five words are
     one shingle; NULL ids come after all others; of repeated rows one is kept; an empty table gives no
     rows; names cannot clash, as the columns stay in ``_row``.
     """
@@ -333,52 +337,59 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     middle = stage(shared.select("band", "key", "node").join(reach, "node").groupBy("band", "key").agg(
         F.max_by("node", "reach").alias("middle")), "middles")
     stars = shared.select("band", "key", "node", "first").join(middle, ["band", "key"]).select(
-        "node", F.explode(F.array("first", "middle")).alias("hub")).filter("node <> hub").select(
-        F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    facts = F.struct("node", "size", "marks")
-    known = reps.select("node", facts.alias("s"))
-
-    def likely(pairs: DataFrame) -> DataFrame:
-        met = pairs.join(known.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(
-            known.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
-        return met.filter(_may_match("sa", "sb", similarity)).select("a", "b")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        asked = stage(pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct(), "asked")
-        sets = stage(texts.join(asked, "rid", "left_semi").mapInArrow(
-            _sets, "node long, elements array<long>, weights array<int>"), "sets").join(reps.select("node", "size"), "node")
-        return stage(_verified(pairs, sets, weighted, similarity), "links")
-
-    first = stage(likely(stars), "pairs")
-    edges = verified(first)
-    found = stage(components(edges), "classes")
-    # Members of a bucket that are in different classes so far.
-    placed = shared.select("band", "key", "node").join(found, "node", "left").withColumn(
-        "component", F.coalesce("component", "node"))
-    placed = stage(placed, "placed")
-    split = placed.groupBy("band", "key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).filter(
-        "_lo <> _hi").select("band", "key")
-    unsettled = stage(placed.join(split, ["band", "key"], "left_semi"), "unsettled")
-    wanted = stage(unsettled.select(F.col("node").alias("rid")).distinct(), "wanted")
-    bits = texts.join(wanted, "rid", "left_semi").withColumn("weighted", F.lit(weighted)).mapInArrow(
-        _sharp, "node long, " + ", ".join(f"{w} long" for w in SHARP))
-    bits = stage(bits.join(reps.select("node", "size", "bands"), "node").select(
-        "node", F.struct("node", "size", "bands", *SHARP).alias("s")), "bits")
-    open_ = stage(unsettled.join(bits, "node").select("band", "key", "component", "s"), "open")
-    across = open_.alias("x").join(open_.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key"))
-                                   & (F.col("x.component") < F.col("y.component")) & _sharply_alike("x.s", "y.s", similarity)
-                                   & _first_shared("x.s.bands", "y.s.bands", F.col("x.band")))
-    pairs = across.select(F.least("x.s.node", "y.s.node").alias("a"), F.greatest("x.s.node", "y.s.node").alias("b"))
-    second = stage(pairs.join(first, ["a", "b"], "left_anti"), "across")
-    if not second.isEmpty():
-        found = stage(components(edges.unionByName(verified(second))), "classes")
-    return rows.select("rid", "_row").join(_classes(rows.select("rid", "id"), of_node, found), "rid").drop("rid")
-
-
-def _classes(rows: DataFrame, of_node: DataFrame, found: DataFrame) -> DataFrame:
-    """(rid, class_id, class_size, kept): a row's class is the component of its node, or else itself."""
-    classed = stage(rows.join(of_node, "rid", "left").join(found, "node", "left").select(
-        "rid", "id", F.coalesce("component", "node", "rid").alias("class")), "classed")
+        "node", F.explode(F.array("first", "middle")).alias("hub")).filter("node <> hub").distinct()
+    known = reps.select("node", F.struct("node", "size", "marks").alias("s"))
+    likely = stars.join(known.select("node", F.col("s").alias("sn")), "node").join(
+        known.select(F.col("node").alias("hub"), F.col("s").alias("sh")), "hub")
+    first = stage(likely.filter(_may_match("sn", "sh", similarity)).select("node", "hub"), "pairs")
+    asked = first.select(F.col("node").alias("rid")).unionByName(first.select(F.col("hub").alias("rid"))).distinct()
+    sets = stage(texts.join(asked, "rid", "left_semi").mapInArrow(_sets(weighted, False), "node long, elements array<long>"), "sets")
+    found = stage(components(stage(_verified(first, sets, similarity), "links")), "classes")
+    merged = components(_across(texts, reps, shared, middle, found, weighted, similarity))
+    return rows.select("rid", "_row").join(_classes(rows.select("rid", "id"), of_node, found, merged), "rid").drop("rid")
+
+
+def _across(texts: DataFrame, reps: DataFrame, shared: DataFrame, middle: DataFrame, found: DataFrame, weighted: bool,
+            similarity: float) -> DataFrame:
+    """(a, b): classes with a link between members of one bucket, found on all pairs of members of different classes.
+
+    Each member is held as its difference to the middle of its bucket: what it has more, and what it lacks. For
+    near-copies both are short, and the size of an intersection follows from the differences of two members, so the
+    exact comparison is made inside the join. Its work is quadratic in the unlinked members of a bucket, in chunks
+    of at most ``OPEN_ROWS`` of them a task; its rows are true links, reduced to classes before they leave it.
+    """
+    placed = stage(shared.select("band", "key", "node").join(found, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")), "placed")
+    split = placed.groupBy("band", "key").agg(
+        F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count(F.lit(1)).alias("n")).filter("_lo <> _hi")
+    unsettled = stage(placed.join(split.select("band", "key", "n"), ["band", "key"]).join(middle, ["band", "key"]), "unsettled")
+    wanted = unsettled.select(F.col("node").alias("rid")).distinct()
+    details = stage(texts.join(wanted, "rid", "left_semi").mapInArrow(
+        _sets(weighted, True), "node long, elements array<long>, " + ", ".join(f"{w} long" for w in SHARP)), "details")
+    # Few middles for each member, however many buckets it is in.
+    differences = unsettled.select("node", "middle").distinct().join(
+        details.select("node", F.col("elements").alias("own")), "node").join(
+        details.select(F.col("node").alias("middle"), F.col("elements").alias("hub")), "middle").select(
+        "node", "middle", F.array_except("own", "hub").alias("plus"), F.array_except("hub", "own").alias("minus"), F.size("hub").alias("base"))
+    marks = details.drop("elements").join(reps.select("node", "size", "bands"), "node").select(
+        "node", F.struct("node", "size", "bands", *SHARP).alias("s"))
+    open_ = stage(unsettled.join(differences, ["node", "middle"]).join(marks, "node").select(
+        "band", "key", "component", "s", "plus", "minus", "base", F.ceil(F.col("n") / F.lit(OPEN_ROWS)).cast("int").alias("chunks")), "open")
+    x = open_.withColumn("chunk", F.pmod(F.xxhash64("s.node"), F.col("chunks")).cast("int")).alias("x")
+    y = open_.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).alias("y")
+    both = F.col("x.base") - F.size(F.array_union("x.minus", "y.minus")) + F.size(F.array_intersect("x.plus", "y.plus"))
+    met = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.chunk") == F.col("y.chunk"))
+                 & (F.col("x.component") < F.col("y.component")) & _sharply_alike("x.s", "y.s", similarity)
+                 & _first_shared("x.s.bands", "y.s.bands", F.col("x.band"))
+                 & _alike(both, F.col("x.s.size"), F.col("y.s.size"), similarity))
+    return stage(met.select(F.col("x.component").alias("a"), F.col("y.component").alias("b")).distinct(), "across")
+
+
+def _classes(rows: DataFrame, of_node: DataFrame, found: DataFrame, merged: DataFrame) -> DataFrame:
+    """(rid, class_id, class_size, kept): a row's class is that of its node's component, or else the row itself."""
+    own = rows.join(of_node, "rid", "left").join(found, "node", "left").select(
+        "rid", "id", F.coalesce("component", "node", "rid").alias("node"))
+    classed = stage(own.join(merged, "node", "left").select("rid", "id", F.coalesce("component", "node").alias("class")), "classed")
     best = stage(classed.groupBy("class").agg(
         F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "best")
     owner = stage(classed.join(best, "class").filter(F.col("id").eqNullSafe(F.col("class_id"))).groupBy("class").agg(

@@ -225,21 +225,25 @@ class _Rows:
 
     def _meet(self, asked: DataFrame, k: int, same: bool) -> DataFrame:
         """Anchors and rows dealt to blocks; with ``same`` the blocks are cut within each label."""
-        key = F.col("label") if same else F.lit("")
-        rows = self.rows.select("rid", "id", "label", "vec", key.alias("part"))
-        asked = asked.withColumn("part", key)
+        rows = self.rows.select("rid", "id", "label", "vec")
+        keys = ["_a", "_r"]
 
-        def blocks(df: DataFrame, size: int, name: str) -> DataFrame:
-            return df.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / F.lit(size)).cast("int").alias(name))
+        def blocks(n: Column, size: int, name: str) -> Column:
+            return F.ceil(n / F.lit(size)).cast("int").alias(name)
 
-        cuts = stage(blocks(asked, BLOCK_ANCHORS, "a").join(blocks(rows, BLOCK_ROWS, "r"), "part"), "cuts")
+        if same:
+            counts = asked.groupBy("label").agg(F.count(F.lit(1)).alias("m")).join(self.sizes, "label")
+            cuts = stage(counts.select("label", blocks(F.col("m"), BLOCK_ANCHORS, "a"), blocks(F.col("n"), BLOCK_ROWS, "r")), "cuts")
+            asked, rows, keys = asked.join(cuts, "label"), rows.join(cuts, "label"), ["label", *keys]
+        else:
+            cut = [blocks(F.lit(n), size, name) for n, size, name in ((asked.count(), BLOCK_ANCHORS, "a"), (self.total, BLOCK_ROWS, "r"))]
+            asked, rows = asked.select("*", *cut), rows.select("*", *cut)
 
         def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
-            mine = F.pmod(F.xxhash64("rid"), F.col(own)).cast("int")
-            return df.join(cuts, "part").withColumn(f"_{own}", mine).withColumn(
-                f"_{other}", F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("a", "r")
+            mine = F.pmod(F.xxhash64("rid"), F.greatest(F.col(own), F.lit(1))).cast("int")
+            return df.withColumn(f"_{own}", mine).withColumn(
+                f"_{other}", F.explode(F.sequence(F.lit(0), F.greatest(F.col(other), F.lit(1)) - 1))).drop("a", "r")
 
-        keys = ["part", "_a", "_r"]
         left = dealt(asked, "a", "r").groupBy(*keys)
         return left.cogroup(dealt(rows, "r", "a").groupBy(*keys)).applyInPandas(_cell(self.order, k, same), _FOUND)
 
