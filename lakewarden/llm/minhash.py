@@ -342,7 +342,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     likely = stars.join(known.select("node", F.col("s").alias("sn")), "node").join(
         known.select(F.col("node").alias("hub"), F.col("s").alias("sh")), "hub")
     first = stage(likely.filter(_may_match("sn", "sh", similarity)).select("node", "hub"), "pairs")
-    asked = first.select(F.col("node").alias("rid")).unionByName(first.select(F.col("hub").alias("rid"))).distinct()
+    # Staged ids are broadcast while their file is small, and the texts are then not shuffled.
+    asked = stage(first.select(F.col("node").alias("rid")).unionByName(first.select(F.col("hub").alias("rid"))).distinct(), "asked")
     sets = stage(texts.join(asked, "rid", "left_semi").mapInArrow(_sets(weighted, False), "node long, elements array<long>"), "sets")
     found = stage(components(stage(_verified(first, sets, similarity), "links")), "classes")
     merged = components(_across(texts, reps, shared, middle, found, weighted, similarity))
@@ -363,7 +364,7 @@ def _across(texts: DataFrame, reps: DataFrame, shared: DataFrame, middle: DataFr
     split = placed.groupBy("band", "key").agg(
         F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count(F.lit(1)).alias("n")).filter("_lo <> _hi")
     unsettled = stage(placed.join(split.select("band", "key", "n"), ["band", "key"]).join(middle, ["band", "key"]), "unsettled")
-    wanted = unsettled.select(F.col("node").alias("rid")).distinct()
+    wanted = stage(unsettled.select(F.col("node").alias("rid")).distinct(), "wanted")
     details = stage(texts.join(wanted, "rid", "left_semi").mapInArrow(
         _sets(weighted, True), "node long, elements array<long>, " + ", ".join(f"{w} long" for w in SHARP)), "details")
     # Few middles for each member, however many buckets it is in.
