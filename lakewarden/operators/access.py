@@ -139,6 +139,7 @@ class _Rights:
         on_schema = held.filter(F.col("securable_type") == "SCHEMA").select("grantee", *SCHEMA, "right")
 
         group_objects = named.join(self.groups, "grantee", "left_semi")
+        self.given = group_objects
         object_marks = group_objects.groupBy(*OBJECT).agg(*_fingerprint("grantee"))
         object_heads = object_marks.groupBy(*SCHEMA, *finger).agg(
             F.min("object").alias("object_cls"), F.count(F.lit(1)).alias("n"))
@@ -158,9 +159,20 @@ class _Rights:
         # (grantee, class of objects): one row per group and object class, whoever is in the group
         self.group_objects = group_objects.withColumnRenamed("object", "object_cls").join(head, [*SCHEMA, "object_cls"])
 
-    def class_objects(self) -> DataFrame:
-        """Every (class, object class) that a group links; counting access needs them all."""
-        return stage(self.group_objects.join(self.class_groups, "grantee").drop("grantee").distinct(), "class_objects")
+    def class_counts(self) -> DataFrame:
+        """(cls, catalog, schema, n): objects that the groups of a class may select in a schema.
+
+        Objects are numbered in the order of their schemas, each group's objects of a schema are bitmaps of these
+        numbers, and a class unites the bitmaps of its groups, per task first. Rows grow with memberships and
+        schemas, not with objects, also where every principal has groups of its own.
+        """
+        numbered = stage(self.given.select(*OBJECT).distinct().repartitionByRange(*OBJECT).sortWithinPartitions(*OBJECT).select(
+            *OBJECT, (F.monotonically_increasing_id() + 1).alias("number")), "numbers")
+        bits = stage(self.given.join(numbered, OBJECT).groupBy(
+            "grantee", *SCHEMA, F.bitmap_bucket_number("number").alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits")), "bitmaps")
+        united = bits.join(self.class_groups, "grantee").groupBy("cls", *SCHEMA, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+        return united.groupBy("cls", *SCHEMA).agg(F.sum(F.bitmap_count("bits")).alias("n"))
 
     def _own(self, df: DataFrame) -> DataFrame:
         """Grants to principals themselves."""
@@ -235,7 +247,7 @@ def effective_access(
         .select("cls", *SCHEMA, F.col("n_objects").alias("n"))
     )
     selected = stage(
-        whole.unionByName(r.class_objects().groupBy("cls", *SCHEMA).agg(F.sum("n").alias("n")))
+        whole.unionByName(r.class_counts())
         .groupBy("cls", *SCHEMA).agg(F.max("n").alias("n")),
         "selected",
     )

@@ -2,56 +2,93 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 from datetime import date
-from itertools import count
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from lakewarden.session import shared_path, stage
+from lakewarden.session import shared_path, stage, watched
 
 
-def closure(edges: DataFrame, roots: DataFrame, max_depth: int | None = None, stored: bool = False) -> DataFrame:
+# Origins whose searches share one number.
+WORD_BITS = 64
+# The filter of asked keys: so many bits, 8 MB, whatever the number of keys.
+FILTER_BITS = 1 << 26
+# More asked keys than this are looked for through the filter first.
+FILTER_ABOVE = 100_000
+# Bits of the filter of one file's keys.
+FILE_BITS = 1 << 20
+
+
+@contextmanager
+def hash_laid(edges: DataFrame) -> Iterator[DataFrame]:
+    """The distinct edges as a table bucketed by ``src``, under a name of its own until the block ends.
+
+    A join on ``src`` reads it without a shuffle. The files lie in the shared folder.
+    """
+    spark = edges.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"lakewarden_edges_{uuid.uuid4().hex}"
+    arcs = edges.filter("src is not null and dst is not null and src <> dst").repartition(n, "src").distinct()
+    watched(arcs, "edges").write.format("parquet").bucketBy(n, "src").sortBy("src").option(
+        "path", shared_path(spark, "edges")).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def closure(edges: DataFrame, roots: DataFrame, max_depth: int | None = None, laid: bool = False) -> DataFrame:
     """Every node that can be reached from the roots, with its smallest depth.
 
     ``edges`` has (src, dst), ``roots`` has (node) or (origin, node) to keep one result per origin.
-    ``stored`` says that the edges are a plain stored table, which need not be written first.
-    Works hop by hop: new nodes are written to the shared folder and become the next frontier, so a
-    lost executor costs no more than its task and the plan stays short. A small frontier is
-    broadcast by the planner from its file size and the edges are then not shuffled; a large one
-    is joined by shuffle, where AQE splits a source that holds too many edges. Visited nodes drop
-    out, so cycles end. Edges may repeat: reached nodes are made distinct, which costs less than
-    a shuffle of all edges beforehand.
+    The edges are made distinct and hash-laid by ``src`` once (``laid`` says that they are, see ``hash_laid``), so
+    a hop shuffles the frontier alone, or nothing where the planner broadcasts it by its file size. Origins are
+    searched 64 at a time: each has a bit, a node holds the bits of the origins that reach it, and a hop is one
+    ``bit_or`` per node, in which the bits that were there before cancel out. So cycles end, and the rows of
+    a hop do not grow with the number of origins. New nodes are written to the shared folder and become the next
+    frontier; a lost executor costs no more than its task. The visited nodes are read again in each hop.
     """
     spark = edges.sparkSession
     single = "origin" not in roots.columns
-    if single:
-        roots = roots.withColumn("origin", F.lit(0))
     base = shared_path(spark, "closure")
-    arcs = edges.select("src", "dst").filter("src is not null and dst is not null and src <> dst")
-    if not stored:
-        arcs = stage(arcs, "edges")
-    first = roots.select("origin", "node").dropna().distinct()
-    first.write.parquet(f"{base}/depth=0")
+    if single:
+        first = roots.select(F.lit(0).cast("bigint").alias("word"), "node", F.lit(1).cast("bigint").alias("bits")).dropna().distinct()
+    else:
+        asked = roots.select("origin", "node").dropna().distinct()
+        number = F.monotonically_increasing_id()
+        origins = stage(asked.select("origin").distinct().select("origin", number.alias("n")).select(
+            "origin", F.floor(F.col("n") / WORD_BITS).cast("bigint").alias("word"),
+            F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("n") % WORD_BITS).cast("int")).alias("bit")), "origins")
+        first = asked.join(origins, "origin").groupBy("word", "node").agg(F.bit_or("bit").alias("bits"))
+    schema = first.schema
+
+    def write(df: DataFrame, depth: int) -> int:
+        seen = Observation()
+        watched(df, "hop").observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{base}/depth={depth}")
+        return seen.get["n"]
 
     def read(*depths: int) -> DataFrame:
-        paths = [f"{base}/depth={i}" for i in depths]
-        return spark.read.schema(first.schema).parquet(*paths)
-
-    for depth in count(1):
-        if max_depth is not None and depth > max_depth:
-            break
-        frontier = read(depth - 1)
-        reached = (
-            arcs.join(frontier, arcs["src"] == frontier["node"]).select("origin", F.col("dst").alias("node")).distinct()
-            .join(read(*range(depth)), ["origin", "node"], "left_anti")
-        )
-        reached.write.parquet(f"{base}/depth={depth}")
-        if read(depth).isEmpty():
-            break
-    result = spark.read.schema(StructType([*first.schema.fields, StructField("depth", IntegerType())])).option("basePath", base).parquet(base)
-    return result.drop("origin") if single else result
+        return spark.read.schema(schema).parquet(*[f"{base}/depth={i}" for i in depths])
+
+    none = F.lit(0).cast("bigint")
+    with nullcontext(edges) if laid else hash_laid(edges.select("src", "dst")) as arcs:
+        depth, new = 0, write(first, 0)
+        while new and (max_depth is None or depth < max_depth):
+            depth += 1
+            met = arcs.select("src", "dst").join(read(depth - 1), F.col("src") == F.col("node")).select(
+                "word", F.col("dst").alias("node"), "bits", none.alias("seen"))
+            known = read(*range(depth)).select("word", "node", none.alias("bits"), F.col("bits").alias("seen"))
+            reached = met.unionByName(known).groupBy("word", "node").agg(F.bit_or("bits").alias("bits"), F.bit_or("seen").alias("seen"))
+            new = write(reached.select("word", "node", F.col("bits").bitwiseAND(F.bitwise_not("seen")).alias("bits")).filter("bits <> 0"), depth)
+    result = spark.read.schema(StructType([*schema.fields, StructField("depth", IntegerType())])).option("basePath", base).parquet(base)
+    if single:
+        return result.select("node", "depth")
+    return result.join(origins, "word").filter(F.col("bits").bitwiseAND(F.col("bit")) != 0).select("origin", "node", "depth")
 
 
 def trailing(col: str, as_of: date, days: int = 7) -> Column:
@@ -103,9 +140,9 @@ def pii_flow_closure(column_edges: DataFrame, cols: list[str], source_prefix: st
                      max_depth: int | None = None) -> DataFrame:
     """Columns reached, over any number of hops and renames, from the named columns of source tables."""
     is_root = F.col("source_column_name").isin(*cols) & F.startswith("source_table_full_name", F.lit(source_prefix))
-    arcs = stage(column_edges.select(
-        column_node("source").alias("src"), column_node("target").alias("dst"), is_root.alias("is_root")), "arcs")
-    return closure(arcs, arcs.filter("is_root").select(F.col("src").alias("node")), max_depth, stored=True)
+    marked = column_edges.select(column_node("source").alias("src"), column_node("target").alias("dst"), is_root.alias("is_root"))
+    with hash_laid(marked) as arcs:
+        return closure(arcs, arcs.filter("is_root").select(F.col("src").alias("node")), max_depth, laid=True)
 
 
 def pii_leaks(reached: DataFrame, forbidden_prefix: str, masked_columns: list[str]) -> DataFrame:
@@ -130,16 +167,68 @@ def edges_from_steps(steps: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def subject_map(tables: dict[str, tuple[DataFrame, str]], ids: DataFrame) -> DataFrame:
+def _places(key: Column, bits: int) -> tuple[Column, Column]:
+    """Bitmap number and bit of a key's hash among so many bits."""
+    place = F.pmod(F.xxhash64(key), F.lit(bits)) + 1
+    return F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+
+
+def key_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
+    """(bucket, bitmap): a Bloom filter of the keys with one hash, at most ``bits`` / 8 bytes in all."""
+    bucket, bit = _places(F.col(key), bits)
+    return keys.filter(F.col(key).isNotNull()).select(bucket.alias("bucket"), bit.alias("bit")).groupBy("bucket").agg(
+        F.bitmap_construct_agg("bit").alias("bitmap"))
+
+
+def might_hold(df: DataFrame, key: str, found: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows whose key may be in the filter; all that are, and few others. Its bounded size is broadcast."""
+    bucket, bit = _places(F.col(key), bits)
+    probed = df.withColumn("_bucket", bucket).withColumn("_bit", bit).join(
+        F.broadcast(found.select(F.col("bucket").alias("_bucket"), F.col("bitmap").alias("_bitmap"))), "_bucket")
+    byte = F.conv(F.hex(F.expr("substring(_bitmap, cast(_bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    hit = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (F.col("_bit") % 8).cast("int"))) != 0
+    return probed.filter(hit).drop("_bucket", "_bit", "_bitmap")
+
+
+def file_index(df: DataFrame, key: str, bits: int = FILE_BITS) -> DataFrame:
+    """(file, bucket, low, high, bitmap): the range and a filter of each file's keys. Made once for stored files."""
+    bucket, bit = _places(F.col(key), bits)
+    rows = df.filter(F.col(key).isNotNull()).select(
+        F.col("_metadata.file_path").alias("file"), F.col(key).alias("key"), bucket.alias("bucket"), bit.alias("bit"))
+    return rows.groupBy("file", "bucket").agg(
+        F.min("key").alias("low"), F.max("key").alias("high"), F.bitmap_construct_agg("bit").alias("bitmap"))
+
+
+def files_holding(index: DataFrame, keys: DataFrame, key: str, bits: int = FILE_BITS) -> list[str]:
+    """Files that may hold one of the keys: the filters have a bit in common, within the range of the file's keys.
+
+    Only names come to the driver, which lists the files of any scan.
+    """
+    bucket, bit = _places(F.col(key), bits)
+    asked = keys.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), bucket.alias("bucket"), bit.alias("bit")).groupBy("bucket").agg(
+        F.min("key").alias("first"), F.max("key").alias("last"), F.bitmap_construct_agg("bit").alias("asked"))
+    met = index.join(asked, "bucket").filter("first <= high and last >= low")
+    both = met.select("file", "bucket", F.explode(F.array("bitmap", "asked")).alias("bitmap")).groupBy("file", "bucket").agg(
+        F.bitmap_and_agg("bitmap").alias("both"))
+    return sorted(r["file"] for r in both.filter(F.bitmap_count("both") > 0).select("file").distinct().collect())
+
+
+def subject_map(tables: dict[str, tuple[DataFrame, str]], ids: DataFrame, filter_above: int = FILTER_ABOVE) -> DataFrame:
     """Rows per table that hold one of the asked keys: the map for an erasure request.
 
-    ``tables`` is {name: (table, key column)}. Rows are counted per key before the join.
+    ``tables`` is {name: (table, key column)}. Rows of other keys are dropped before they are counted: by a
+    join with the asked ids, which the planner broadcasts while they are few; more than ``filter_above`` of them are
+    looked for through a filter of bounded size first, so that few others reach the shuffle.
     """
-    wanted = ids.select(F.col("subject_id")).distinct()
+    wanted = stage(ids.select("subject_id").dropna().distinct(), "asked")
+    kind = wanted.schema["subject_id"].dataType
+    probe = stage(key_filter(wanted, "subject_id"), "filter") if wanted.count() > filter_above else None
     out = None
     for name, (df, key) in tables.items():
-        counted = df.groupBy(F.col(key).alias("subject_id")).agg(F.count(F.lit(1)).alias("n_rows"))
-        found = counted.join(wanted, "subject_id", "left_semi").select(
+        rows = df.select(F.col(key).cast(kind).alias("subject_id"))
+        if probe is not None:
+            rows = might_hold(rows, "subject_id", probe)
+        found = rows.join(wanted, "subject_id", "left_semi").groupBy("subject_id").agg(F.count(F.lit(1)).alias("n_rows")).select(
             "subject_id", F.lit(name).alias("table_name"), "n_rows")
         out = found if out is None else out.unionByName(found)
     return out

@@ -126,7 +126,7 @@ def _(spark, d):
     select customer_id, first_name, last_name, region, transaction_count as total_transactions,
       total_amount as total_spend, avg_sentiment, health_score from health"""))
 def _(spark, d):
-    return medallion.customer_health_v2(silver_c(spark, d), totals(spark, d), silver_i(spark, d))
+    return medallion.customer_health_v2(silver_c(spark, d), totals(spark, d), silver_i(spark, d), MONEY_SCALE)
 
 
 @query("revenue_summary", with_entities("revenue", "select * from revenue"))

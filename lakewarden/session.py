@@ -76,6 +76,13 @@ def release(spark: SparkSession, name: str | None = None) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def watched(df: DataFrame, label: str) -> DataFrame:
+    """``df``, shown to the watchers."""
+    for look in watchers:
+        look(df, label)
+    return df
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -84,9 +91,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, label)
-    for look in watchers:
-        look(df, label)
-    df.write.parquet(path)
+    watched(df, label).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
