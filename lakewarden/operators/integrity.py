@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakewarden.functions.scalars import all_present
@@ -52,6 +53,59 @@ def quarantine_write(df: DataFrame, rules: dict[str, Column], path: str) -> tupl
     return (back.filter(F.col("_good")).drop("_good", "failed"), back.filter(~F.col("_good")).drop("_good"))
 
 
+DROP, QUARANTINE, FAIL = "drop", "quarantine", "fail"
+
+
+class ExpectationFailed(ValueError):
+    """Rows broke a rule whose action is to fail; ``broken`` has the number of rows per rule."""
+
+    def __init__(self, broken: dict[str, int]):
+        super().__init__(f"nothing was published, rows broke: {broken}")
+        self.broken = broken
+
+
+def write_expected(df: DataFrame, rules: dict[str, tuple[Column, str]], path: str) -> dict[str, int]:
+    """Write ``df`` to ``path`` by rules of (condition, action); returns the number of rows that broke each rule.
+
+    A row that breaks a quarantine rule is written beside the others with its reasons; one that breaks a drop rule
+    only is left out. If any row breaks a fail rule nothing is published and ``ExpectationFailed`` is raised. One
+    pass: rules are counted by the write itself, which goes to a folder aside and is renamed to ``path``, where
+    nothing may be yet. A rule that yields NULL is broken.
+    """
+    unknown = {a for _, a in rules.values()} - {DROP, QUARANTINE, FAIL}
+    if unknown:
+        raise ValueError(f"unknown actions {sorted(unknown)}")
+    spark, pending, seen = df.sparkSession, f"{path.rstrip('/')}.pending-{uuid.uuid4().hex}", Observation()
+    tagged = tag_failures(df, {n: rule for n, (rule, _) in rules.items()})
+
+    def breaks(action: str) -> Column:
+        names = [n for n, (_, a) in rules.items() if a == action]
+        return F.exists("failed", lambda f: f.isin(*names)) if names else F.lit(False)
+
+    counts = [F.count_if(F.array_contains("failed", n)).alias(f"r{i}") for i, n in enumerate(rules)]
+    counted = tagged.observe(seen, F.count(F.lit(1)).alias("n"), *counts)
+    part = F.when(breaks(QUARANTINE), QUARANTINE).when(breaks(DROP), DROP).otherwise("good")
+    counted.withColumn("part", part).filter(F.col("part") != DROP).write.partitionBy("part").parquet(pending)
+    found = {n: int(seen.get[f"r{i}"]) for i, n in enumerate(rules)}
+    broken = {n: found[n] for n, (_, a) in rules.items() if a == FAIL and found[n]}
+    files = spark._jvm.org.apache.hadoop.fs
+    aside, place = files.Path(pending), files.Path(path)
+    system = aside.getFileSystem(spark._jsc.hadoopConfiguration())
+    if broken:
+        system.delete(aside, True)
+        raise ExpectationFailed(broken)
+    if system.exists(place) or not system.rename(aside, place):
+        system.delete(aside, True)
+        raise FileExistsError(f"{path} is there already")
+    return found
+
+
+def read_expected(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows, quarantined rows with ``failed``) of what ``write_expected`` wrote; ``schema`` is that of the rows."""
+    back = spark.read.schema(f"{schema}, failed array<string>, part string").option("basePath", path).parquet(path)
+    return back.filter("part = 'good'").drop("part", "failed"), back.filter(F.col("part") == QUARANTINE).drop("part")
+
+
 def expectation_stats(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Passed and failed rows per rule, from one aggregate."""
     ok = {name: F.coalesce(rule, F.lit(False)) for name, rule in rules.items()}

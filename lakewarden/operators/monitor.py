@@ -5,12 +5,13 @@ from __future__ import annotations
 import math
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakewarden.functions.scalars import exact_sum
 from lakewarden.operators.lineage import trailing
+from lakewarden.session import stage
 
 
 def profile(df: DataFrame, table: str, columns: list[str] | None = None, distinct: str = "approx") -> DataFrame:
@@ -123,3 +124,70 @@ def usage_summary(usage: DataFrame, as_of: date, days: int = 7, scale: int | Non
         .groupBy("sku_name", "usage_unit").agg(quantity.alias("total_usage"))
         .orderBy(F.col("total_usage").desc(), "sku_name", "usage_unit")
     )
+
+
+def daily_profile(df: DataFrame, table: str, day: str, columns: list[str]) -> DataFrame:
+    """One row per column and day, to be kept: counts, range, a quantile sketch of numbers and a sketch of distinct values.
+
+    Days can be merged for any window by ``merge_profiles`` without reading the table again. Texts have no quantiles.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    aggs, rows = [F.count(F.lit(1)).alias("n_rows")], []
+    for i, c in enumerate(columns):
+        number = isinstance(kinds[c], T.NumericType)
+        value = F.col(c).cast("double") if number else F.lit(None).cast("double")
+        aggs += [F.count(c).alias(f"n{i}"), F.min(value).alias(f"lo{i}"), F.max(value).alias(f"hi{i}"),
+                 F.hll_sketch_agg(F.col(c).cast("string")).alias(f"d{i}")]
+        if number:
+            aggs.append(F.kll_sketch_agg_double(value).alias(f"q{i}"))
+        rows.append(F.struct(
+            F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.col(day).alias("day"), F.col("n_rows"),
+            F.col(f"n{i}").alias("filled"), F.col(f"lo{i}").alias("low"), F.col(f"hi{i}").alias("high"), F.col(f"d{i}").alias("distinct"),
+            (F.when(F.col(f"n{i}") > 0, F.col(f"q{i}")) if number else F.lit(None).cast("binary")).alias("quantiles")))
+    return df.groupBy(day).agg(*aggs).select(F.inline(F.array(*rows)))
+
+
+def merge_profiles(days: DataFrame) -> DataFrame:
+    """One row per column over all given days: exact counts and range, estimated distinct values and quartiles.
+
+    ``quantiles`` is the merged sketch, for ``quantile_edges`` and further merging.
+    """
+    merged = days.groupBy("table_name", "column_name").agg(
+        F.sum("n_rows").alias("n_rows"), (F.sum("n_rows") - F.sum("filled")).alias("nulls"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.hll_sketch_estimate(F.hll_union_agg("distinct")).alias("distinct_values"),
+        F.count("quantiles").alias("_n"), F.kll_merge_agg_double("quantiles").alias("quantiles"))
+    held = F.when(F.col("_n") > 0, F.col("quantiles"))
+    return merged.withColumn("quantiles", held).select(
+        "*", *[F.when(F.col("_n") > 0, F.kll_sketch_get_quantile_double("quantiles", F.lit(p))).alias(n)
+               for p, n in ((0.25, "lower_quartile"), (0.5, "median"), (0.75, "upper_quartile"))]).drop("_n")
+
+
+def quantile_edges(merged: DataFrame, column: str, bins: int = 10) -> list[float]:
+    """Edges of bins that hold equal shares of a merged profile's column, for ``drift``; equal edges fall together."""
+    row = merged.filter((F.col("column_name") == column) & F.col("quantiles").isNotNull()).select(
+        *[F.kll_sketch_get_quantile_double("quantiles", F.lit(i / bins)).alias(f"e{i}") for i in range(1, bins)]).first()
+    return sorted(set(row)) if row else []
+
+
+def ks_drift(df: DataFrame, col: str, current: Column) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov distance of ``col`` between the rows of the later window and the others.
+
+    Rows are counted per value, values dealt to tasks by range, and added up within each; only one sum per task
+    runs over all of them. NULL and NaN take no part; the distance is NULL if a window has no values.
+    """
+    value = F.col(col).cast("double")
+    counts = df.filter(value.isNotNull() & ~F.isnan(value)).select((value + 0.0).alias("value"), current.alias("late")).groupBy("value").agg(
+        F.count_if(~F.col("late")).alias("b"), F.count_if("late").alias("c"))
+    laid = stage(stage(counts, "values").repartitionByRange("value").sortWithinPartitions("value").select(
+        F.monotonically_increasing_id().alias("place"), "b", "c").withColumn("part", F.call_function("shiftright", F.col("place"), F.lit(33))), "ordered")
+    # One row per task.
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = laid.groupBy("part").agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
+    starts = stage(parts.select("part", *[F.coalesce(F.sum(x).over(ahead), F.lit(0)).alias(f"{x}0") for x in "bc"],
+                                *[F.sum(x).over(Window.partitionBy()).alias(f"{x}n") for x in "bc"]), "starts")
+    upto = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    run = laid.select("part", *[F.sum(x).over(upto).alias(x) for x in "bc"]).join(starts, "part")
+    share = [(F.col(x) + F.col(f"{x}0")).cast("double") / F.col(f"{x}n").cast("double") for x in "bc"]
+    gap = F.when((F.col("bn") > 0) & (F.col("cn") > 0), F.abs(share[0] - share[1]))
+    return run.agg(F.coalesce(F.max("bn"), F.lit(0)).alias("base_rows"), F.coalesce(F.max("cn"), F.lit(0)).alias("current_rows"),
+                   F.round(F.max(gap), 9).alias("ks")).select(F.lit(col).alias("column_name"), "*")

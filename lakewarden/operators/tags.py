@@ -62,6 +62,36 @@ def tag_variants(tags: DataFrame) -> DataFrame:
     )
 
 
+def _shortened(word: Column, most: int) -> Column:
+    """The word and all that is left of it without up to ``most`` of its letters."""
+    level = out = F.array(word)
+    for _ in range(most):
+        level = F.array_distinct(F.flatten(F.transform(level, lambda w: F.when(F.length(w) > 0, F.transform(
+            F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w)))))
+            .otherwise(F.array().cast("array<string>")))))
+        out = F.array_union(out, level)
+    return out
+
+
+def near_misses(tags: DataFrame, vocab: DataFrame, most: int = 2) -> DataFrame:
+    """Tag values outside the vocabulary with the allowed values that at most ``most`` edits make of them.
+
+    Two words that near share a word that either becomes by leaving out up to ``most`` letters, so values and allowed
+    ones meet on such words, and only what meets is compared. Values longer than any allowed one and ``most`` more
+    cannot be near and are not shortened.
+    """
+    allowed = vocab.select("tag_name", "allowed_value").dropna().distinct()
+    unknown = tags.groupBy("tag_name", "tag_value").agg(F.count(F.lit(1)).alias("n_columns")).join(
+        allowed.withColumnRenamed("allowed_value", "tag_value"), ["tag_name", "tag_value"], "left_anti")
+    longest = allowed.groupBy("tag_name").agg(F.max(F.length("allowed_value")).alias("_longest"))
+    left = unknown.join(longest, "tag_name").filter(F.length("tag_value") <= F.col("_longest") + most).select(
+        "tag_name", "tag_value", "n_columns", F.explode(_shortened(F.col("tag_value"), most)).alias("_form"))
+    right = allowed.select("tag_name", "allowed_value", F.explode(_shortened(F.col("allowed_value"), most)).alias("_form"))
+    met = left.join(right, ["tag_name", "_form"]).select("tag_name", "tag_value", "n_columns", "allowed_value").distinct()
+    return met.withColumn("edits", F.levenshtein("tag_value", "allowed_value")).filter(F.col("edits") <= most).select(
+        "tag_name", "tag_value", "n_columns", F.col("allowed_value").alias("suggestion"), "edits")
+
+
 def tag_coverage(columns: DataFrame, tags: DataFrame, by: list[str]) -> DataFrame:
     """Share of columns that carry any tag."""
     tagged = tags.select(*KEYS).distinct().withColumn("tagged", F.lit(1))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lakewarden.functions.scalars import MONEY_SCALE, exact_avg, exact_sum
 from lakewarden.functions.sql import register_sql_functions
-from lakewarden.operators import access, classify, integrity, monitor, policy, shares, tags, versions
+from lakewarden.operators import access, classify, integrity, monitor, policy, search, shares, tags, versions
 from lakewarden.plans.entity_sql import with_entities
 from lakewarden.plans.q_medallion import (
     PRIMARY_KEYS, TABLES, health, revenue, silver_c, silver_i, silver_t, table_columns, union,
@@ -88,6 +88,27 @@ def _(spark, d):
     return integrity.expectation_stats(load(spark, d, "lineitem"), _line_rules())
 
 
+_ACTIONS = {"discount_in_range": integrity.DROP, "quantity_in_range": integrity.QUARANTINE}
+
+
+@query("expectation_actions", f"""
+    select 'good' as item, count(*) filter ({_RULES_SQL['discount_in_range']} and {_RULES_SQL['quantity_in_range']}) as n_rows from lineitem
+    union all select 'quarantined', count(*) filter (not ({_RULES_SQL['quantity_in_range']})) from lineitem
+    union all select 'rule discount_in_range', count(*) filter (not ({_RULES_SQL['discount_in_range']})) from lineitem
+    union all select 'rule quantity_in_range', count(*) filter (not ({_RULES_SQL['quantity_in_range']})) from lineitem
+    union all select 'rule has_key', count(*) filter (l_orderkey is null) from lineitem""")
+def _(spark, d):
+    line, path = load(spark, d, "lineitem"), shared_path(spark, "expected")
+    rules = {n: (_line_rules()[n], action) for n, action in _ACTIONS.items()}
+    rules["has_key"] = (F.col("l_orderkey").isNotNull(), integrity.FAIL)
+    broken = integrity.write_expected(line, rules, path)
+    schema = ", ".join(f"{c} {t}" for c, t in line.dtypes)
+    parts = dict(zip(("good", "quarantined"), integrity.read_expected(spark, path, schema)))
+    counted = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("item"), "n_rows") for n, df in parts.items()]
+    told = spark.createDataFrame([(f"rule {n}", k) for n, k in broken.items()], "item string, n_rows long")
+    return union([*counted, told])
+
+
 @query("verify_tables", " union all ".join(
     f"select '{t}' as table_name, count(*) as row_count, true as columns_match, count(*) filter ("
     + " or ".join(f"{k} is null or trim(cast({k} as varchar)) = ''" for k in PRIMARY_KEYS[t])
@@ -183,7 +204,7 @@ def _(spark, d):
     return versions.history(log, 20, [F.col("at").desc(), F.col("version").desc()])
 
 
-@query("version_diff", with_entities("clean_t", f"""
+_DIFF_SQL = with_entities("clean_t", f"""
     select transaction_id, case when rows_added = 0 then 'delete' when rows_removed = 0 then 'insert'
       else 'update' end as change, rows_removed, rows_added
     from (
@@ -196,15 +217,27 @@ def _(spark, d):
     b as (select transaction_id, customer_id, transaction_type, product_category, transaction_date,
         {_UPDATED} as amount from a where not (transaction_type = 'refund' and product_category = 'LARGE')
       union all select transaction_id || '-again', customer_id, transaction_type, product_category,
-        transaction_date, amount from a where product_category = 'SMALL' and transaction_type = 'refund')"""))
-def _(spark, d):
+        transaction_date, amount from a where product_category = 'SMALL' and transaction_type = 'refund')""")
+
+
+def _changed_versions(spark, d):
     cols = ["transaction_id", "customer_id", "transaction_type", "product_category", "transaction_date", "amount"]
     a = stage(silver_t(spark, d).select(*cols), "before")
     kept = a.filter(~((F.col("transaction_type") == "refund") & (F.col("product_category") == "LARGE")))
     again = a.filter((F.col("transaction_type") == "refund") & (F.col("product_category") == "SMALL")).withColumn(
         "transaction_id", F.concat("transaction_id", F.lit("-again")))
     cond, sets = _raise_amounts()
-    return versions.version_diff(a, versions.update_rows(kept, cond, sets).unionByName(again), ["transaction_id"])
+    return a, versions.update_rows(kept, cond, sets).unionByName(again)
+
+
+@query("version_diff", _DIFF_SQL)
+def _(spark, d):
+    return versions.version_diff(*_changed_versions(spark, d), ["transaction_id"])
+
+
+@query("version_tree_diff", _DIFF_SQL)
+def _(spark, d):
+    return versions.tree_diff(*_changed_versions(spark, d), ["transaction_id"])
 
 
 # Policies. EUROPE is the allowed region.
@@ -357,6 +390,17 @@ def _(spark, d):
     return classify.classify_values(people, [c for c, t in people.dtypes if t == "string"])
 
 
+_CHECKED = ("first_name", "last_name", "name", "email", "city", "segment")
+
+
+@query("name_containment", with_entities("customers", " union all ".join(
+    f"select '{c}' as column_name, round(count(distinct v) filter (v in (select lower(trim(c_name)) from customer where c_custkey % 2 = 0))::double "
+    f"/ count(distinct v), 6) as share, 0.0::double as bound from (select lower(trim({c})) as v from customers) where v <> ''" for c in _CHECKED)))
+def _(spark, d):
+    known = load(spark, d, "customer").filter("c_custkey % 2 = 0")
+    return classify.containment(E.customers(spark, d), list(_CHECKED), known, "c_name")
+
+
 @query("pii_findings", f"select * from ({' union all '.join(
     f"select table_name, id, cast(part as bigint) as part, '{label}' as label, "
     f"cast(len(regexp_extract_all(text, '{p}')) as bigint) as matches from {_TEXTS}"
@@ -424,6 +468,16 @@ def _(spark, d):
     return tags.tag_variants(_tags(spark, d))
 
 
+@query("tag_near_misses", with_entities("tags", f"""
+    select tag_name, tag_value, n_columns, allowed_value as suggestion, cast(levenshtein(tag_value, allowed_value) as int) as edits
+    from (select tag_name, tag_value, count(*) as n_columns from tags
+        where (tag_name, tag_value) not in (select (tag_name, allowed_value) from {_VOCAB_SQL}) group by all)
+      join {_VOCAB_SQL} using (tag_name) where levenshtein(tag_value, allowed_value) <= 2"""))
+def _(spark, d):
+    rows = [(t, v) for t, values in E.GOVERNED_VALUES.items() for v in values]
+    return tags.near_misses(_tags(spark, d), spark.createDataFrame(rows, "tag_name string, allowed_value string"))
+
+
 @query("tag_coverage", with_entities("tags asset_columns", f"""
     select catalog, schema, count(*) as n_columns, count(t) as n_tagged,
       round(count(t)::double / count(*), 6) as coverage
@@ -497,6 +551,25 @@ def _(spark, d):
         "catalog", "schema", "object", "name", "object_type")
 
 
+_ASKED = "promo widget true certified"
+_BM25_SQL = f"{search.K1 + 1} / (tf + {search.K1} * (1 - {search.B} + {search.B} * length / mean))"
+
+
+@query("asset_ranked", with_entities("assets tags", f"""
+    select catalog, schema, object, round(sum(ln(1 + (n - df + 0.5::double) / (df + 0.5::double)) * (tf * {_BM25_SQL})), 6) as score
+    from tf join lengths using (catalog, schema, object) join (select term, count(*)::double as df from tf group by term) using (term),
+      (select count(*)::double as n from assets), (select sum(tf)::double / (select count(*) from assets) as mean from tf)
+    where term in ({', '.join(f"'{t}'" for t in _ASKED.split())}) group by all order by score desc, catalog, schema, object limit 50""", extra=f"""
+    tf as (select catalog, schema, object, term, count(*)::double as tf from (
+      select catalog, schema, object, unnest(regexp_extract_all(lower(name || ' ' || comment), '{search.TERM}')) as term from assets
+      union all select catalog, schema, object, unnest(regexp_extract_all(lower(tag_name || ' ' || tag_value), '{search.TERM}')) from tags)
+      group by all),
+    lengths as (select catalog, schema, object, sum(tf)::double as length from tf group by all)"""))
+def _(spark, d):
+    index = search.build_index(E.assets(spark, d), _tags(spark, d), access.OBJECT, ["name", "comment"], ["tag_name", "tag_value"])
+    return search.ranked(index, _ASKED, 50)
+
+
 @query("facet_counts", with_entities("assets tags claims object_owners", """
     select 'catalog' as facet, catalog as value, count(*) as n_assets from assets group by all
     union all select 'schema', schema, count(*) from assets group by all
@@ -602,3 +675,29 @@ def _(spark, d):
     from usage where usage_date between date '2024-01-20' - 7 and date '2024-01-20' group by all"""))
 def _(spark, d):
     return monitor.usage_summary(E.usage(spark, d), date(2024, 1, 20), scale=MONEY_SCALE)
+
+
+_WINDOW_DAYS = ("2024-01-05", "2024-01-20")
+
+
+@query("profile_window", " union all ".join(f"""
+    select 'events' as table_name, '{c}' as column_name, count(*) as n_rows, count(*) - count({c}) as nulls, min({c})::double as low,
+      max({c})::double as high from events where cast(ts as date) between date '{_WINDOW_DAYS[0]}' and date '{_WINDOW_DAYS[1]}'"""
+    for c in ("value", "user_id")))
+def _(spark, d):
+    events = load(spark, d, "events").withColumn("day", F.col("ts").cast("date"))
+    days = stage(monitor.daily_profile(events, "events", "day", ["value", "user_id"]), "days")
+    first, last = (F.lit(x).cast("date") for x in _WINDOW_DAYS)
+    merged = monitor.merge_profiles(days.filter(F.col("day").between(first, last)))
+    return merged.select("table_name", "column_name", "n_rows", "nulls", "low", "high")
+
+
+@query("drift_ks", """
+    select 'value' as column_name, cast(sum(b) as bigint) as base_rows, cast(sum(c) as bigint) as current_rows, round(max(gap), 9) as ks
+    from (select b, c, abs(sum(b) over upto / sum(b) over ()::double - sum(c) over upto / sum(c) over ()::double) as gap
+      from (select value, count(*) filter (ts < timestamp '2024-01-16') as b, count(*) filter (ts >= timestamp '2024-01-16') as c
+        from events where value is not null group by value)
+      window upto as (order by value))""")
+def _(spark, d):
+    later = F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
+    return monitor.ks_drift(load(spark, d, "events"), "value", later)

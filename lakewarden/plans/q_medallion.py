@@ -330,6 +330,24 @@ def _(spark, d):
         F.greatest(F.count(F.lit(1)), F.ceil(F.sum("n") / 400.0)).cast("bigint").alias("most_files"))
 
 
+@query("curve_layout_facts", with_entities("revenue_all", """
+    select count(*) as n_rows, true as fewer_files_for_a_month, true as skips_by_region from revenue_all"""))
+def _(spark, d):
+    table, keys = stage(revenue(spark, d, False), "revenue"), ["region", "month"]
+
+    def files(laid):
+        one_region = (F.min("region") == F.max("region")).cast("int")
+        months = F.months_between(F.max("month"), F.min("month")) + 1
+        return laid.groupBy(F.col("_metadata.file_name").alias("file")).agg(
+            F.count(F.lit(1)).alias("n"), one_region.alias("one_region"), months.alias("months")).agg(
+            F.sum("n").alias("n"), F.sum("months").alias("months"), F.sum("one_region").alias("one_region"))
+
+    lexical = files(sinks.cluster_layout(table, keys, shared_path(spark, "cluster"), rows_per_file=100)).first()  # one row
+    curve = files(sinks.curve_layout(table, keys, shared_path(spark, "curve"), rows_per_file=100))
+    return curve.select(F.col("n").alias("n_rows"), (F.col("months") < lexical["months"]).alias("fewer_files_for_a_month"),
+                        (F.col("one_region") > 0).alias("skips_by_region"))
+
+
 @query("meta_columns", _COLUMN_COUNTS_SQL)
 def _(spark, d):
     return all_column_counts(spark, d)
