@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager, nullcontext
+from contextlib import ExitStack, contextmanager
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -16,6 +16,8 @@ from lakewarden.session import shared_path, stage, watched
 
 # Origins whose searches share one number.
 WORD_BITS = 64
+# Bytes of one frontier row, against the planner's broadcast threshold.
+ROW_BYTES = 64
 # The filter of asked keys: so many bits, 8 MB, whatever the number of keys.
 FILTER_BITS = 1 << 26
 # More asked keys than this are looked for through the filter first.
@@ -33,8 +35,8 @@ def hash_laid(edges: DataFrame) -> Iterator[DataFrame]:
     spark = edges.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"lakewarden_edges_{uuid.uuid4().hex}"
-    arcs = edges.filter("src is not null and dst is not null and src <> dst").repartition(n, "src").distinct()
-    watched(arcs, "edges").write.format("parquet").bucketBy(n, "src").sortBy("src").option(
+    arcs = edges.repartition(n, "src").distinct()
+    watched(arcs, "laid edges").write.format("parquet").bucketBy(n, "src").sortBy("src").option(
         "path", shared_path(spark, "edges")).saveAsTable(name)
     try:
         yield spark.table(name)
@@ -42,16 +44,18 @@ def hash_laid(edges: DataFrame) -> Iterator[DataFrame]:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def closure(edges: DataFrame, roots: DataFrame, max_depth: int | None = None, laid: bool = False) -> DataFrame:
+def closure(edges: DataFrame, roots: DataFrame, max_depth: int | None = None, stored: bool = False) -> DataFrame:
     """Every node that can be reached from the roots, with its smallest depth.
 
     ``edges`` has (src, dst), ``roots`` has (node) or (origin, node) to keep one result per origin.
-    The edges are made distinct and hash-laid by ``src`` once (``laid`` says that they are, see ``hash_laid``), so
-    a hop shuffles the frontier alone, or nothing where the planner broadcasts it by its file size. Origins are
-    searched 64 at a time: each has a bit, a node holds the bits of the origins that reach it, and a hop is one
-    ``bit_or`` per node, in which the bits that were there before cancel out. So cycles end, and the rows of
-    a hop do not grow with the number of origins. New nodes are written to the shared folder and become the next
-    frontier; a lost executor costs no more than its task. The visited nodes are read again in each hop.
+    ``stored`` says that the edges are a plain stored table, which need not be written first.
+    While the frontier is small the planner broadcasts it by its file size, and the edges are not shuffled. Before
+    the first frontier beyond that size they are made distinct and hash-laid by ``src``, once, so that this hop and all later
+    ones shuffle the frontier alone. Origins are searched 64 at a time: each has a bit, a node holds the bits of the
+    origins that reach it, and a hop is one ``bit_or`` per node, in which the bits that were there before cancel
+    out. So cycles end, and the rows of a hop do not grow with the number of origins. New nodes are written to the
+    shared folder and become the next frontier; a lost executor costs no more than its task. The visited nodes
+    are read again in each hop.
     """
     spark = edges.sparkSession
     single = "origin" not in roots.columns
@@ -76,15 +80,25 @@ def closure(edges: DataFrame, roots: DataFrame, max_depth: int | None = None, la
         return spark.read.schema(schema).parquet(*[f"{base}/depth={i}" for i in depths])
 
     none = F.lit(0).cast("bigint")
-    with nullcontext(edges) if laid else hash_laid(edges.select("src", "dst")) as arcs:
-        depth, new = 0, write(first, 0)
+    arcs = edges.select("src", "dst").filter("src is not null and dst is not null and src <> dst")
+    if not stored:
+        arcs = stage(arcs, "edges")
+    most = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    with ExitStack() as laid:
+        depth, new, large = 0, write(first, 0), False
         while new and (max_depth is None or depth < max_depth):
             depth += 1
-            met = arcs.select("src", "dst").join(read(depth - 1), F.col("src") == F.col("node")).select(
-                "word", F.col("dst").alias("node"), "bits", none.alias("seen"))
-            known = read(*range(depth)).select("word", "node", none.alias("bits"), F.col("bits").alias("seen"))
-            reached = met.unionByName(known).groupBy("word", "node").agg(F.bit_or("bits").alias("bits"), F.bit_or("seen").alias("seen"))
-            new = write(reached.select("word", "node", F.col("bits").bitwiseAND(F.bitwise_not("seen")).alias("bits")).filter("bits <> 0"), depth)
+            if not large and new * ROW_BYTES > most:
+                arcs, large = laid.enter_context(hash_laid(arcs)), True
+            met = arcs.join(read(depth - 1), F.col("src") == F.col("node")).select("word", F.col("dst").alias("node"), "bits")
+            known = read(*range(depth))
+            if single:
+                reached = met.groupBy("word", "node").agg(F.bit_or("bits").alias("bits")).join(known, ["word", "node"], "left_anti")
+            else:
+                both = met.withColumn("seen", none).unionByName(known.select("word", "node", none.alias("bits"), F.col("bits").alias("seen")))
+                reached = both.groupBy("word", "node").agg(F.bit_or("bits").alias("bits"), F.bit_or("seen").alias("seen")).select(
+                    "word", "node", F.col("bits").bitwiseAND(F.bitwise_not("seen")).alias("bits")).filter("bits <> 0")
+            new = write(reached, depth)
     result = spark.read.schema(StructType([*schema.fields, StructField("depth", IntegerType())])).option("basePath", base).parquet(base)
     if single:
         return result.select("node", "depth")
@@ -141,8 +155,8 @@ def pii_flow_closure(column_edges: DataFrame, cols: list[str], source_prefix: st
     """Columns reached, over any number of hops and renames, from the named columns of source tables."""
     is_root = F.col("source_column_name").isin(*cols) & F.startswith("source_table_full_name", F.lit(source_prefix))
     marked = column_edges.select(column_node("source").alias("src"), column_node("target").alias("dst"), is_root.alias("is_root"))
-    with hash_laid(marked) as arcs:
-        return closure(arcs, arcs.filter("is_root").select(F.col("src").alias("node")), max_depth, laid=True)
+    arcs = stage(marked, "edges")
+    return closure(arcs, arcs.filter("is_root").select(F.col("src").alias("node")), max_depth, stored=True)
 
 
 def pii_leaks(reached: DataFrame, forbidden_prefix: str, masked_columns: list[str]) -> DataFrame:

@@ -333,7 +333,7 @@ def _(spark, d):
 @query("curve_layout_facts", with_entities("revenue_all", """
     select count(*) as n_rows, true as fewer_files_for_a_month, true as skips_by_region from revenue_all"""))
 def _(spark, d):
-    table, keys = stage(revenue(spark, d, False), "revenue"), ["region", "month"]
+    table, keys = stage(revenue(spark, d, False), "revenue"), ["region", "product_category", "month"]
 
     def files(laid):
         one_region = (F.min("region") == F.max("region")).cast("int")
