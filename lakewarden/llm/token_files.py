@@ -28,6 +28,8 @@ MAGIC = b"TOKBITS1"
 BLOCK = 1024
 # A file is closed once it holds this many ids, so that one is read in bounded memory.
 FILE_IDS = 4_000_000
+# Reading tasks, where there are more files than that.
+TASKS_PER_CORE = 32
 _HEAD = struct.Struct("<5Q")
 
 
@@ -192,6 +194,10 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
-    """(doc_id, start, ids) of every document in the files; ids are little-endian unsigned 32-bit."""
-    return manifest.select("path", "first_id").repartition("path").mapInArrow(
+    """(doc_id, start, ids) of every document in the files; ids are little-endian unsigned 32-bit.
+
+    One reading task for each file, up to ``TASKS_PER_CORE`` of them a core; an empty manifest gives no rows.
+    """
+    tasks = max(1, min(manifest.count(), TASKS_PER_CORE * manifest.sparkSession.sparkContext.defaultParallelism))
+    return manifest.select("path", "first_id").repartition(tasks, "path").mapInArrow(
         _unpack, "doc_id long, start long, ids binary")
