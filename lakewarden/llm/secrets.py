@@ -135,8 +135,12 @@ def redact_live(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", o
     cuts = live.select("rid", "start", "end", past.alias("past")).groupBy("rid").agg(
         F.array_sort(F.collect_list(F.when(F.col("start") >= F.col("past"), F.struct(F.col("past").alias("low"), F.col("start").alias("high"))))).alias("_cuts"),
         F.max("end").alias("_last"))
+    cuts = stage(cuts, "cuts")
+    ids = stage(cuts.select("rid"), "changed")
+    # Only changed texts travel; the others are told apart by ids alone, which are broadcast while they are few.
+    rest = texts.join(ids, "rid", "left_anti").withColumns({c: F.lit(None).cast(cuts.schema[c].dataType) for c in ("_cuts", "_last")})
     text = F.col("_row").getField(text_col)
-    rows = texts.join(cuts, "rid", "left").withColumn(
+    rows = texts.join(ids, "rid", "left_semi").join(cuts, "rid").unionByName(rest).withColumn(
         "_blocks", F.when(F.col("_cuts").isNotNull(), F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK_CHARS}}}"), F.lit(0))))
     kept = F.transform("_cuts", lambda c: F.concat(_between(F.col("_blocks"), c["low"], c["high"]), F.lit(mark)))
     rows = rows.withColumn("_new", F.when(F.col("_cuts").isNotNull(), F.concat(
