@@ -5,9 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import ExitStack, contextmanager
+from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -181,6 +182,86 @@ def edges_from_steps(steps: DataFrame) -> DataFrame:
     ).distinct()
 
 
+@dataclass
+class StepSpec:
+    """A declared kind of step: what its sources are called and what each of its columns is made from.
+
+    ``sources`` is {alias: columns of that source}. ``columns`` is {column: SQL expression}; ``"*"`` and ``"alias.*"`` as
+    names stand for themselves and take every column over under its own name.
+    """
+
+    kind: str
+    sources: dict[str, list[str]]
+    columns: dict[str, str]
+
+
+def referenced(spark: SparkSession, expression: str) -> list[list[str]]:
+    """The name parts of each column that an expression reads, by the session's own parser; a star ends in ``*``.
+
+    Variables of lambda functions are none. A subquery reads tables that the step does not declare and raises.
+    """
+    jvm = spark._jvm.org.apache.spark.sql.catalyst
+    tree = spark._jsparkSession.sessionState().sqlParser().parseExpression(expression)
+    if jvm.expressions.SubqueryExpression.hasSubquery(tree):
+        raise ValueError(f"a subquery in {expression!r}")
+
+    def parts(seq) -> list[str]:
+        return [seq.apply(i) for i in range(seq.size())]
+
+    found = []
+    for leaf in parts(tree.collectLeaves()):
+        kind = leaf.getClass().getSimpleName()
+        if kind == "UnresolvedAttribute":
+            found.append(parts(leaf.nameParts()))
+        elif kind == "UnresolvedStar":
+            found.append([*(parts(leaf.target().get()) if leaf.target().isDefined() else []), "*"])
+    return found
+
+
+def column_map(spark: SparkSession, spec: StepSpec) -> list[tuple[str, str, str]]:
+    """(alias, source column, target column), distinct. Names are matched without regard to case.
+
+    A name belongs to the alias before it, or else to the one source that has such a column; none or several raise,
+    and so does an unknown alias. Fields of a struct count as the struct's column.
+    """
+    known = {a.lower(): (a, {c.lower(): c for c in columns}) for a, columns in spec.sources.items()}
+
+    def resolve(name: list[str]) -> list[tuple[str, str]]:
+        first, rest = name[0].lower(), name[1:]
+        if name[-1] == "*":
+            if rest and first not in known:
+                raise ValueError(f"{spec.kind}: no source {name[0]!r}")
+            return [(a, c) for k, (a, columns) in known.items() if not rest or k == first for c in columns.values()]
+        if rest and first in known and rest[0].lower() in known[first][1]:
+            return [(known[first][0], known[first][1][rest[0].lower()])]
+        hits = [(a, columns[first]) for a, columns in known.values() if first in columns]
+        if len(hits) != 1:
+            raise ValueError(f"{spec.kind}: {'.'.join(name)!r} is in {len(hits)} sources")
+        return hits
+
+    found = set()
+    for target, expression in spec.columns.items():
+        star = target == "*" or target.endswith(".*")
+        for name in referenced(spark, target if star else expression):
+            found |= {(a, c, c if star else target) for a, c in resolve(name)}
+    return sorted(found)
+
+
+def column_edges_from_steps(steps: DataFrame, specs: list[StepSpec]) -> DataFrame:
+    """Column edges of the steps that ran: (kind, target, sources array of (alias, table)).
+
+    The specs are declarations and are read on the driver; the steps are data and meet them by kind and alias. A
+    step of an undeclared kind has no edges. The result has the columns of recorded column events.
+    """
+    spark = steps.sparkSession
+    rows = [(s.kind, *edge) for s in specs for edge in column_map(spark, s)]
+    declared = spark.createDataFrame(rows, "kind string, alias string, source_column_name string, target_column_name string")
+    ran = steps.select("kind", "target", F.inline("sources"))
+    return ran.join(declared, ["kind", "alias"]).select(
+        F.col("table").alias("source_table_full_name"), "source_column_name",
+        F.col("target").alias("target_table_full_name"), "target_column_name").distinct()
+
+
 def _places(key: Column, bits: int) -> tuple[Column, Column]:
     """Bitmap number and bit of a key's hash among so many bits."""
     place = F.pmod(F.xxhash64(key), F.lit(bits)) + 1

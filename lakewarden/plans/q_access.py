@@ -211,6 +211,38 @@ def _(spark, d):
     return lineage.edges_from_steps(steps)
 
 
+@query("column_steps", """
+    with ran as (select distinct l_orderkey, l_partkey, l_suppkey, l_returnflag from lineitem),
+    edges as (
+      select unnest([
+        {'t': 'part:' || l_partkey, 's': 'p_retailprice', 'c': 'price'},
+        {'t': 'supplier:' || l_suppkey, 's': 's_name', 'c': 'seller'}]) as e, l_orderkey from ran
+      union all select unnest([
+        {'t': 'part:' || l_partkey, 's': 'p_name', 'c': 'label'},
+        {'t': 'part:' || l_partkey, 's': 'p_brand', 'c': 'label'},
+        {'t': 'supplier:' || l_suppkey, 's': 's_acctbal', 'c': 'price'}]), l_orderkey from ran where l_returnflag = 'R'
+      union all select unnest([
+        {'t': 'part:' || l_partkey, 's': 'p_name', 'c': 'p_name'},
+        {'t': 'part:' || l_partkey, 's': 'p_brand', 'c': 'p_brand'},
+        {'t': 'part:' || l_partkey, 's': 'p_retailprice', 'c': 'p_retailprice'}]), l_orderkey from ran where l_returnflag = 'A')
+    select distinct e.t as source_table_full_name, e.s as source_column_name,
+      'order:' || l_orderkey as target_table_full_name, e.c as target_column_name from edges""")
+def _(spark, d):
+    sources = {"p": ["p_name", "p_brand", "p_retailprice"], "s": ["s_name", "s_acctbal"]}
+    specs = [
+        lineage.StepSpec("N", sources, {"price": "round(p_retailprice, 2)", "seller": "s.s_name"}),
+        lineage.StepSpec("R", sources, {
+            "price": "case when S_ACCTBAL < 0 then 0 else p.p_retailprice end", "seller": "s_name",
+            "label": "concat_ws(' ', transform(array(p_name, p_brand), x -> upper(x)))"}),
+        lineage.StepSpec("A", sources, {"p.*": "p.*", "price": "p_retailprice", "seller": "s_name"}),
+    ]
+    ran = load(spark, d, "lineitem").select(
+        F.col("l_returnflag").alias("kind"), F.concat(F.lit("order:"), "l_orderkey").alias("target"),
+        F.array(F.struct(F.lit("p").alias("alias"), F.concat(F.lit("part:"), "l_partkey").alias("table")),
+                F.struct(F.lit("s").alias("alias"), F.concat(F.lit("supplier:"), "l_suppkey").alias("table"))).alias("sources"))
+    return lineage.column_edges_from_steps(ran, specs)
+
+
 @query("subject_map", with_entities("clean_c clean_t clean_i", """
     select * from (
       select customer_id as subject_id, 'cleaned_customers' as table_name, count(*) as n_rows from clean_c group by all

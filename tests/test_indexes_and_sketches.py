@@ -292,3 +292,36 @@ def test_containment_is_near_the_exact_share(spark):
     assert (got["b"].share, got["b"].bound) == (0.0, 0.0)
     exact = {r.column_name: r for r in classify.containment(df, ["a"], known, "n", k=8000).collect()}
     assert (exact["a"].share, exact["a"].bound) == (0.25, 0.0)
+
+
+def test_column_map_of_declared_steps(spark, rows):
+    sources = {"C": ["id", "name"], "t": ["id", "amount", "info"]}
+
+    def mapped(**columns):
+        return lineage.column_map(spark, lineage.StepSpec("gold", sources, columns))
+
+    assert mapped(total="sum(AMOUNT) over (partition by c.id)") == [("C", "id", "total"), ("t", "amount", "total")]
+    assert mapped(one="1", deep="t.info.city", list="exists(array(name), id -> id = 'x')") == [
+        ("C", "name", "list"), ("t", "info", "deep")]
+    assert mapped(**{"c.*": "c.*", "n": "count(t.*)"}) == [
+        ("C", "id", "id"), ("C", "name", "name"), ("t", "amount", "n"), ("t", "id", "n"), ("t", "info", "n")]
+    assert len(mapped(**{"*": "*"})) == 5
+    for wrong in ("id", "nowhere", "x.amount", "(select max(amount) from t)"):
+        with pytest.raises(ValueError):
+            mapped(v=wrong)
+
+
+def test_declared_columns_feed_the_closure(spark, rows):
+    steps = spark.createDataFrame(
+        [("clean", "silver", [("b", "bronze")]), ("clean", "silver", [("b", "bronze")]), ("score", "gold", [("s", "silver")]),
+         ("other", "x", [("b", "bronze")]), ("clean", "none", None), (None, "y", [("b", "bronze")])],
+        "kind string, target string, sources array<struct<alias:string,table:string>>")
+    specs = [lineage.StepSpec("clean", {"b": ["mail", "age"]}, {"contact": "lower(mail)", "age": "age"}),
+             lineage.StepSpec("score", {"s": ["contact", "age"]}, {"reach": "contact is not null"})]
+    edges = lineage.column_edges_from_steps(steps, specs)
+    assert rows(edges) == [("bronze", "age", "silver", "age"), ("bronze", "mail", "silver", "contact"),
+                           ("silver", "contact", "gold", "reach")]
+    roots = spark.createDataFrame([("bronze.mail",)], "node string")
+    assert rows(lineage.closure(lineage.column_arcs(edges), roots)) == [
+        ("bronze.mail", 0), ("gold.reach", 2), ("silver.contact", 1)]
+    assert rows(lineage.column_edges_from_steps(steps.limit(0), specs)) == []
