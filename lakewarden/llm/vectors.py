@@ -29,6 +29,17 @@ MOST_CENTRES = 16_384
 LEAF_ROWS = 24
 # Bounds closer to the threshold than this are settled by the cosine itself.
 SLACK = 1e-7
+# Rows that meet all centres at once, and room for the rounding of distances between centres kept in single precision.
+ROUTED_ROWS = 256
+GAP_SLACK = 1e-5
+
+
+def gaps(c: np.ndarray) -> np.ndarray:
+    """Distances between centres, in single precision, made for ``ROUTED_ROWS`` of them at a time."""
+    out = np.empty((len(c), len(c)), np.float32)
+    for at in range(0, len(c), ROUTED_ROWS):
+        out[at:at + ROUTED_ROWS] = np.sqrt(np.maximum(0.0, 2 - 2 * c[at:at + ROUTED_ROWS] @ c.T))
+    return out
 
 
 @dataclass
@@ -181,46 +192,56 @@ def _walk_task(similarity: float):
 
 
 def _router(shared, visits: bool):
-    """Home cells, or with ``visits`` the other cells that may hold a partner, with lower numbers than the home."""
+    """Home cells, or with ``visits`` the other cells that may hold a partner, with lower numbers than the home.
+
+    Rows meet the centres ``ROUTED_ROWS`` at a time, so a task holds that many distances for each centre, and the
+    distances between the centres of a part are made once per task and as single-precision bounds.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, reach = shared.value["centres"], shared.value["reach"]
+        between: dict[str, np.ndarray] = {}
+
+        def route(p: str, x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, bool, np.ndarray]]:
+            """(place in x, cell, home, distance) of homes, then of visits."""
+            c, radius = centres[p]
+            d2 = np.maximum(0.0, 2 - 2 * x @ c.T)
+            near, every = d2.argmin(axis=1), np.arange(len(x))
+            best = d2[every, near]
+            yield every, near, True, np.sqrt(best)
+            if not visits or len(c) == 1:
+                return
+            if p not in between:
+                between[p] = gaps(c)
+            gap = (d2 - best[:, None]) / np.maximum(2 * between[p][near], SLACK)
+            go = (np.sqrt(d2) <= radius[None, :] + reach + SLACK) & (gap <= reach + GAP_SLACK)
+            go &= np.arange(len(c))[None, :] < near[:, None]
+            i, k = np.nonzero(go)
+            yield i, k, False, np.sqrt(d2[i, k])
+
         for batch in batches:
             names = batch.schema.names
-            part = batch.column(names.index("part")).to_pylist()
             rows, cells, home, away = [], [], [], []
             by_part: dict[str, list[int]] = {}
-            for i, p in enumerate(part):
+            for i, p in enumerate(batch.column(names.index("part")).to_pylist()):
                 by_part.setdefault(p, []).append(i)
-            vec = batch.column(names.index("vec")).to_pylist()
+            vec = batch.column(names.index("vec"))
             for p, own in by_part.items():
-                if p not in centres:
-                    rows += own
-                    cells += [0] * len(own)
-                    home += [True] * len(own)
-                    away += [2.0] * len(own)
-                    continue
-                x, (c, radius) = np.array([vec[i] for i in own]), centres[p]
-                d2 = np.maximum(0.0, 2 - 2 * x @ c.T)
-                near = d2.argmin(axis=1)
-                rows += own
-                cells += near.tolist()
-                home += [True] * len(own)
-                away += np.sqrt(d2[np.arange(len(own)), near]).tolist()
-                if not visits or len(c) == 1:
-                    continue
-                apart = np.sqrt(np.maximum(0.0, 2 - 2 * c @ c.T))
-                gap = (d2 - d2[np.arange(len(own)), near][:, None]) / np.maximum(2 * apart[near], SLACK)
-                go = (np.sqrt(d2) <= radius[None, :] + reach + SLACK) & (gap <= reach + SLACK)
-                go &= np.arange(len(c))[None, :] < near[:, None]
-                for i, k in np.argwhere(go):
-                    rows.append(own[i])
-                    cells.append(int(k))
-                    home.append(False)
-                    away.append(float(np.sqrt(d2[i, k])))
-            kept = [batch.column(i).take(pa.array(rows, pa.int64())) for i in range(batch.num_columns)]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(cells, pa.int64()), pa.array(home, pa.bool_()), pa.array(away, pa.float64())],
-                names=[*names, "cell", "home", "away"])
+                for at in range(0, len(own), ROUTED_ROWS):
+                    some = np.array(own[at:at + ROUTED_ROWS])
+                    if p not in centres:
+                        found = [(np.arange(len(some)), np.zeros(len(some), int), True, np.full(len(some), 2.0))]
+                    else:
+                        found = route(p, np.array(vec.take(pa.array(some)).to_pylist()))
+                    for i, k, at_home, d in found:
+                        rows.append(some[i])
+                        cells.append(k)
+                        home.append(np.full(len(i), at_home))
+                        away.append(d)
+            place = pa.array(np.concatenate(rows) if rows else [], pa.int64())
+            kept = [batch.column(i).take(place) for i in range(batch.num_columns)]
+            added = [pa.array(np.concatenate(v) if v else [], t) for v, t in (
+                (cells, pa.int64()), (home, pa.bool_()), (away, pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*kept, *added], names=[*names, "cell", "home", "away"])
 
     return run
 
@@ -277,8 +298,10 @@ def link_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     # At most one row per centre.
     for r in routed.filter(F.col("part").isin(list(nets))).groupBy("part", "cell").agg(F.max("away").alias("r")).collect() if nets else []:
         radii[r["part"]][r["cell"]] = r["r"]
+    shared.destroy()
     shared = spark.sparkContext.broadcast({"reach": reach, "centres": {p: (c, radii[p]) for p, c in nets.items()}})
     visited = stage(light.mapInArrow(_router(shared, True), schema).drop("away"), "cells")
+    shared.destroy()
 
     # A cell beyond the size is cut into chunks, and its tasks are the pairs of chunks.
     cut = stage(visited.groupBy("part", "cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(2 * cell_rows)).cast("int").alias("chunks")), "cuts")
