@@ -82,9 +82,10 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 10))::BIGINT AS h
         FROM documents),
     b AS (
-        SELECT doc_id, bytes, h, depth, sum(bytes) OVER (PARTITION BY depth, h >> (40 - depth)) AS total
-        FROM d, (SELECT unnest(range(0, 41)) AS depth)),
-    p AS (SELECT doc_id, bytes, h, min(depth) AS depth FROM b WHERE total <= {sharding.SHARD_BYTES} GROUP BY ALL)
+        SELECT doc_id, bytes, h, depth, sum(bytes) OVER same AS total, count(*) OVER same AS n
+        FROM d, (SELECT unnest(range(0, 41)) AS depth)
+        WINDOW same AS (PARTITION BY depth, h >> (40 - depth))),
+    p AS (SELECT doc_id, bytes, h, min(depth) AS depth FROM b WHERE total <= {sharding.SHARD_BYTES} OR n = 1 GROUP BY ALL)
     SELECT doc_id, bytes, substr(lpad(bin(h), 40, '0'), 1, depth::INT) AS shard, depth::INTEGER AS depth FROM p
 """)
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ def prefix(bits: Column, depth: int | Column) -> Column:
 
 
 def directory(sizes: DataFrame, limit: int, bits: int = HASH_BITS) -> DataFrame:
-    """(depth, bucket, bytes): the buckets that fit, or that no bit is left for.
+    """(depth, bucket, bytes): the buckets that fit or hold one row, or that no bit is left for.
 
     Each round sums the bytes of the open buckets at the next ``ROUND_BITS`` depths, takes each document's
     first depth that fits, and goes on with what does not fit at the last of them.
@@ -46,11 +46,13 @@ def directory(sizes: DataFrame, limit: int, bits: int = HASH_BITS) -> DataFrame:
     while True:
         high = min(low + ROUND_BITS, bits)
         # Sums at the deepest prefix first: everything above follows from those.
-        cells = stage(left.groupBy(prefix(F.col("hash"), high).alias("cell")).agg(F.sum("bytes").alias("bytes")), "cells")
+        cells = stage(left.groupBy(prefix(F.col("hash"), high).alias("cell")).agg(
+            F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")), "cells")
         at = F.explode(F.sequence(F.lit(low), F.lit(high))).alias("depth")
-        by_depth = cells.select("cell", "bytes", at).groupBy("depth", F.call_function(
-            "shiftright", F.col("cell"), (F.lit(high) - F.col("depth")).cast("int")).alias("bucket")).agg(F.sum("bytes").alias("bytes"))
-        by_depth = by_depth.withColumn("fits", (F.col("bytes") <= limit) | (F.col("depth") == bits))
+        by_depth = cells.select("cell", "bytes", "n", at).groupBy("depth", F.call_function(
+            "shiftright", F.col("cell"), (F.lit(high) - F.col("depth")).cast("int")).alias("bucket")).agg(
+                F.sum("bytes").alias("bytes"), F.sum("n").alias("n"))
+        by_depth = by_depth.withColumn("fits", (F.col("bytes") <= limit) | (F.col("n") == 1) | (F.col("depth") == bits))
         # A bucket is a leaf where it fits and its parent does not; at the round's first depth that is known.
         parents = by_depth.filter(~F.col("fits")).select((F.col("depth") + 1).alias("depth"), F.col("bucket").alias("_parent"))
         leaves = by_depth.filter("fits").withColumn("_parent", F.call_function("shiftright", F.col("bucket"), F.lit(1)))
@@ -69,7 +71,7 @@ def shard_documents(df: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_
     """``_row`` (the columns of ``df``, or those to ``carry``) with ``bytes``, ``shard`` and ``depth``.
 
     ``shard`` is the bucket's prefix as text of 0s and 1s, ``''`` if all fits one shard. A document longer
-    than ``limit`` ends alone in its shard. Rows of one id stay together until their bucket is too large, then
+    than ``limit`` ends alone in its shard, at the first depth where it is alone. Rows of one id stay together until their bucket is too large, then
     bits of the row's number part them. A NULL text has 0 bytes, NULL ids hash like an empty one, an empty
     table gives no rows, names cannot clash as columns stay inside ``_row``.
     """
