@@ -7,11 +7,13 @@ import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
-_scope = ""
+# The folder that ``scratch`` names; each thread has its own.
+_scope: ContextVar[str] = ContextVar("scope", default="")
 # Called with each table before it is staged and its label; tests look at the plans of those jobs.
 watchers: list[Callable[[DataFrame, str], None]] = []
 
@@ -52,18 +54,17 @@ def shared_path(spark: SparkSession, label: str) -> str:
         if _local_root is None:
             _local_root = tempfile.mkdtemp(prefix="lakewarden-")
         root = _local_root
-    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{_scope}{label}-{uuid.uuid4().hex[:12]}"
+    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{_scope.get()}{label}-{uuid.uuid4().hex[:12]}"
 
 
 @contextmanager
 def scratch(name: str) -> Iterator[None]:
     """What is staged inside goes to a folder of that name, which ``release`` can delete on its own."""
-    global _scope
-    before, _scope = _scope, f"{name}/"
+    before = _scope.set(f"{name}/")
     try:
         yield
     finally:
-        _scope = before
+        _scope.reset(before)
 
 
 def release(spark: SparkSession, name: str | None = None) -> None:
@@ -98,4 +99,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 def stage_all(dfs: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """``stage`` for several independent tables, whose jobs run side by side."""
     with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
-        return dict(zip(dfs, pool.map(stage, dfs.values(), dfs)))
+        # Each thread works in a copy of the caller's context, so that it stages under the same scratch folder.
+        jobs = {label: pool.submit(copy_context().run, stage, df, label) for label, df in dfs.items()}
+        return {label: job.result() for label, job in jobs.items()}

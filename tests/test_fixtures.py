@@ -500,3 +500,23 @@ def test_staged_tables_are_released(spark, tmp_path, monkeypatch):
     assert session.stage(spark.range(3), "x").count() == 3 and (tmp_path / "app" / "x-1").exists()
     session.release(spark)
     assert not (tmp_path / "app").exists()
+
+
+def test_scratch_folders_are_per_thread_and_passed_on(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    from lakewarden import session
+
+    both = Barrier(2)
+
+    def work(name):
+        with session.scratch(name):
+            both.wait(30)
+            made = session.stage_all({"a": spark.range(1), "b": spark.range(2)})
+            return [f for df in made.values() for f in df.inputFiles()]
+
+    with ThreadPoolExecutor(2) as pool:
+        for name, files in zip("xy", pool.map(work, "xy")):
+            assert len(files) >= 2 and all(f"/{name}/" in f for f in files)
+    assert "/x/" not in session.shared_path(spark, "z")
