@@ -173,17 +173,21 @@ def mix(df: DataFrame, source_col: str = "source", text_col: str = "text", id_co
 def mixed_documents(df: DataFrame, source_col: str = "source", text_col: str = "text", id_col: str = "doc_id",
                     length_col: str | None = "n_chars") -> DataFrame:
     """The mix itself, with the columns of ``df``: each document as often as it is taken whole, then once more
-    cut after the last word taken, where that is not the whole."""
+    cut after the last word taken, where that is not the whole.
+
+    NULL, empty and wordless texts are never taken. A NULL source is a source like others, repeated rows are taken
+    each for itself, other columns pass through whatever their names, an empty table gives no rows.
+    """
     mixed = mix(df, source_col, text_col, id_col).filter("taken > 0")
     left = F.pmod("taken", "size")
     copies = mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.ceil(F.col("taken") / F.col("size")))))
     part = F.when((left > 0) & (F.col("_copy") * F.col("size") > F.col("taken")), left)
-    words = F.regexp_extract_all(F.col(f"_row.`{text_col}`"), F.lit(f"{SPACE}*{WORD}"), F.lit(0))
-    cut = F.when(part.isNotNull(), F.array_join(F.slice(words, F.lit(1), part.cast("int")), "")).otherwise(F.col(f"_row.`{text_col}`"))
+    words = F.regexp_extract_all(F.col("_row").getField(text_col), F.lit(f"{SPACE}*{WORD}"), F.lit(0))
+    cut = F.when(part.isNotNull(), F.array_join(F.slice(words, F.lit(1), part.cast("int")), "")).otherwise(F.col("_row").getField(text_col))
     made = copies.withColumn("_new", cut)
     columns = []
     for c in df.columns:
-        own = F.col(f"_row.`{c}`")
+        own = F.col("_row").getField(c)
         if c == text_col:
             own = F.col("_new")
         elif c == length_col:

@@ -170,3 +170,46 @@ def op8(docs, similarity=0.8):
                 shared[a, b] += 1
     links = [(a, b) for (a, b), n in shared.items() if n >= similarity * (len(sets[a]) + len(sets[b]) - n)]
     return classes_of(sets, links)
+
+
+def votes(text: str | None) -> list[int]:
+    """Each quality rule's vote on a text, in the order of the operator's rules."""
+    t = text or ""
+    n, chars, symbols, dups, repeats = measures(text)
+    words, size = max(n, 1), max(chars, 1)
+    lines = sum(1 for line in t.split("\n") if WORD.search(line))
+    runs = len(re.findall(r"[#*$%&|<>]+", t)) / words
+    upper, shouts = len(re.findall("[A-Z]", t)) / size, t.count("!") / words
+    ends = len(re.findall(r"[.?!](?=[ \t-\r]|$)", t)) / words
+    mean, dup = chars / words, dups / max(lines, 1)
+
+    def vote(bad: bool, good: bool) -> int:
+        return -1 if bad else int(good)
+
+    return [
+        vote(n < 10, n >= 40), vote(mean < 2 or mean > 15, 3 <= mean <= 11), vote(symbols / words > 0.1, symbols / words <= 0.02),
+        vote(runs > 0.1, runs <= 0.02), vote(dup > 0.3, dups == 0 and lines > 1), vote(repeats / words > 0.2, repeats / words <= 0.05),
+        vote(upper > 0.4, upper <= 0.15), vote(shouts > 0.3, shouts <= 0.05), vote(n >= 30 and ends < 0.004, 0.02 <= ends <= 0.25)]
+
+
+def op3(texts: list[str | None], pseudo: float = 10.0) -> list[float]:
+    """Posterior chance of each text to be good, by expectation-maximisation over texts, not over patterns."""
+    v = np.array([votes(t) for t in texts]) + 1
+    hot = np.eye(3)[v]
+    start = np.array([0.01, 0.19, 0.8]), np.array([0.3, 0.1, 0.6])
+    good, sides = 0.8, [np.tile(s, (v.shape[1], 1)) for s in start]
+    for turn in range(41):
+        odds = np.log(good / (1 - good)) + (hot * (np.log(sides[0]) - np.log(sides[1]))).sum(axis=(1, 2))
+        q = 1 / (1 + np.exp(-odds))
+        if turn == 40:
+            break
+        new = [(np.einsum("t,trv->rv", w, hot) + pseudo * s) / (w.sum() + pseudo) for w, s in zip((q, 1 - q), start)]
+        new[0][:, 0] = np.minimum(new[0][:, 0], 0.02)
+        new[0] /= new[0].sum(axis=1, keepdims=True)
+        share = min(max(q.mean(), 0.01), 0.99)
+        moved = max(abs(share - good), *(np.abs(a - b).max() for a, b in zip(new, sides)))
+        good, sides = share, new
+        if moved < 1e-4:
+            odds = np.log(good / (1 - good)) + (hot * (np.log(sides[0]) - np.log(sides[1]))).sum(axis=(1, 2))
+            return list(1 / (1 + np.exp(-odds)))
+    return list(q)

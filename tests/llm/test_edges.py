@@ -2,6 +2,7 @@
 
 import math
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,9 @@ from tokenizers import Tokenizer
 from lakewarden.llm import chat, minhash, mixing, packing, pii, quality, queries, secrets, sharding, token_files, vectors
 from lakewarden.llm.common import WORD
 from lakewarden.llm.tokens import ChunkEncoder
+from tests.conftest import SF
 from tests.llm import brute
+from tests.oracle import compare
 
 # Columns that the operators use inside, in the reader's case and another.
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, rid long, size long, node long, KEY string, "
@@ -405,3 +408,39 @@ def test_verdict_uses_owners_and_repositories(spark):
 
 def test_word_pattern_is_ascii_space_only():
     assert len(brute.WORD.findall("a b\x1cc d")) == 2 and WORD == "[^\\x20\\x09-\\x0D]+"
+
+
+def test_sharding_of_long_texts_equals_sql(spark, tmp_path):
+    """Texts above a shard's size, a third of all bytes in one of them, beside many short ones and a NULL."""
+    texts = [(0, "x" * 3_500_000), (1, "é" * 800_000), (2, None), (3, "")] + [(i, "z" * 40_000) for i in range(4, 150)]
+    spark.createDataFrame(texts, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert compare(spark, con, queries.LLM_QUERIES["op7_sharding"], queries.LLM_SQL["op7_sharding"], str(tmp_path)) == []
+
+
+def test_pipeline_edges(spark, docs, none, tmp_path):
+    """The whole pipeline on NULLs, odd texts, repeated rows and clashing columns, and on an empty table."""
+    import corpus_pipeline
+
+    plain = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 60").select(
+        F.expr("if(doc_id % 7 = 0, null, doc_id)").alias("doc_id"), "text", F.expr("if(doc_id % 3 = 0, null, source)").alias("source"))
+    odd = docs.unionByName(plain, allowMissingColumns=True).unionByName(plain, allowMissingColumns=True)
+    for label, table in (("odd", odd), ("none", none)):
+        columns = table.columns
+        for i, (name, step) in enumerate(corpus_pipeline.STAGES):
+            path = str(tmp_path / f"{label}-{i}")
+            step(spark, table, "").write.parquet(path)
+            before, table = table, spark.read.parquet(path)
+            if i < 4:
+                assert table.columns == columns, name
+            if name == "quality rules":
+                good = quality.score_quality(before).filter("kept").count()
+                assert table.count() == good and table.filter("text is null").isEmpty()
+            if name == "MinHash near-dedup":
+                assert table.count() == len({r.text for r in table.collect()}) <= before.count() // 2
+            if name == "secret scans":
+                assert table.count() == before.count()
+            if label == "none":
+                assert table.isEmpty()
+        assert label == "none" or not table.isEmpty() and table.groupBy("sequence_id").sum("length").filter("`sum(length)` > 2048").isEmpty()

@@ -44,7 +44,10 @@ def test_quality(spark, docs):
     assert {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in rows} == want
     for r in rows:
         assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words)
-        assert r.kept == (not r.base_failed and r.quality >= 0.5)
+    chance = dict(zip((d["doc_id"] for d in docs), brute.op3([d["text"] for d in docs])))
+    for r in rows:
+        assert abs(r.quality - chance[r.doc_id]) < 1e-9
+        assert r.kept == (not r.base_failed and chance[r.doc_id] >= 0.5)
     # Labels were not used: nearly all good texts stay, and rejects are mostly bad.
     label = {r["doc_id"]: r["quality"] for r in brute.table(SF, "labels")}
     seen = Counter((label[r.doc_id], r.kept) for r in rows if r.doc_id in label and not r.base_failed)
