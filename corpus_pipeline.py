@@ -27,7 +27,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates one document stays; repeated rows are one class, texts without a shingle stay if they differ."""
+    """Of each class of near-duplicates one document stays; repeated rows are one class, a text without words is alone in its own."""
     return minhash.keep_first(docs)
 
 
