@@ -303,6 +303,19 @@ def _first_shared(a: str, b: str, band: Column) -> Column:
     return F.array_position(F.zip_with(a, b, lambda x, y: x == y), True) == band + 1
 
 
+def _distinct_buckets(members: DataFrame) -> DataFrame:
+    """The members of one bucket, that of the lowest band, for each set of nodes that buckets of several bands hold.
+
+    Near copies share many bands, so most of their buckets hold the same nodes and need to be compared once. A pair's
+    first shared band stays: a bucket of the same nodes in a lower band would be shared by the pair as well. Sets
+    are told apart by their size and two XORs of 64-bit hashes, reduced per task before the shuffle.
+    """
+    marked = members.groupBy("band", "key", "n").agg(
+        F.bit_xor(F.xxhash64("node")).alias("_x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("_y"))
+    lowest = marked.groupBy("n", "_x", "_y").agg(F.min(F.struct("band", "key")).alias("_b")).select("_b.*")
+    return members.join(stage(lowest, "distinct_buckets"), ["band", "key"], "left_semi")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None,
                     similarity: float = SIMILARITY, weighted: bool = False) -> DataFrame:
     """``_row`` (the columns of ``df``, or those to ``carry``), ``class_id``, ``class_size`` and ``kept`` per row.
@@ -331,7 +344,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     banded = reps.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = stage(banded.groupBy("band", "key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).filter(
         "n > 1"), "buckets")
-    shared = stage(banded.join(buckets, ["band", "key"]), "members")
+    shared = stage(_distinct_buckets(stage(banded.join(buckets, ["band", "key"]), "members")), "shared")
     # The middle of a group meets more of it than its fringe does.
     reach = stage(shared.groupBy("node").agg(F.sum("n").alias("reach")), "reach")
     middle = stage(shared.select("band", "key", "node").join(reach, "node").groupBy("band", "key").agg(
@@ -372,7 +385,8 @@ def _across(texts: DataFrame, reps: DataFrame, shared: DataFrame, middle: DataFr
         details.select("node", F.col("elements").alias("own")), "node").join(
         details.select(F.col("node").alias("middle"), F.col("elements").alias("hub")), "middle").select(
         "node", "middle", F.array_except("own", "hub").alias("plus"), F.array_except("hub", "own").alias("minus"), F.size("hub").alias("base"))
-    marks = details.drop("elements").join(reps.select("node", "size", "bands"), "node").select(
+    known = reps.select("node", "size", "bands").join(wanted.withColumnRenamed("rid", "node"), "node", "left_semi")
+    marks = details.drop("elements").join(known, "node").select(
         "node", F.struct("node", "size", "bands", *SHARP).alias("s"))
     open_ = stage(unsettled.join(differences, ["node", "middle"]).join(marks, "node").select(
         "band", "key", "component", "s", "plus", "minus", "base", F.ceil(F.col("n") / F.lit(OPEN_ROWS)).cast("int").alias("chunks")), "open")
