@@ -13,11 +13,11 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakewarden.llm.common import named
@@ -45,15 +45,16 @@ def unescape(text: str) -> str:
 
 @dataclass
 class PartVisitor:
-    """Flattens the parts of one conversation; ``attachments`` lists what its placeholders stand for."""
+    """Flattens parts; ``attachments`` lists what their placeholders stand for, numbered from ``first``."""
 
     patch: int = 14
     audio_rate: float = 12.5
     page_tokens: int = 768
+    first: int = 0
     attachments: list[dict] = field(default_factory=list)
 
     def message(self, parts: Iterable[dict]) -> str:
-        return "".join(self.visit(p) for p in parts)
+        return "".join(self.visit(p) for p in parts if p is not None)
 
     def visit(self, part: dict) -> str:
         kind = part.get("type") or "text"
@@ -76,9 +77,9 @@ class PartVisitor:
         return self._attach("document", part, self.page_tokens * max(1, part.get("pages") or 0))
 
     def _attach(self, kind: str, part: dict, tokens: int) -> str:
-        mark = f"<{kind}:{len(self.attachments)}>"
-        self.attachments.append({"number": len(self.attachments), "kind": kind, "ref": part.get("ref"), "tokens": tokens})
-        return mark
+        number = self.first + len(self.attachments)
+        self.attachments.append({"number": number, "kind": kind, "ref": part.get("ref"), "tokens": tokens})
+        return f"<{kind}:{number}>"
 
 
 def format_turn(role: str | None, body: str) -> tuple[str, int, int]:
@@ -106,25 +107,41 @@ _SEGMENT = pa.schema([
 SEGMENTS = ("conv_id long, position long, formatted string, loss_start long, loss_end long, "
             "attachments array<struct<number:long,kind:string,ref:string,tokens:long>>")
 _FIRST = object()
+# Characters of a text by which turns of one number and role are dealt out; their order is by the whole text.
+DEALT_CHARS = 64
 
 
-def _formatter(typed: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, position, visitor = _FIRST, 0, PartVisitor()
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                if now is _FIRST or row["conv_id"] != now:
-                    now, position, visitor = row["conv_id"], 0, PartVisitor()
-                known = len(visitor.attachments)
-                body = visitor.message(row["parts"] or []) if typed else visitor.visit_text(row)
-                text, start, end = format_turn(row["role"], body)
-                out.append({"conv_id": now, "position": position, "formatted": text, "loss_start": start,
-                            "loss_end": end, "attachments": visitor.attachments[known:]})
-                position += 1
-            yield pa.RecordBatch.from_pylist(out, _SEGMENT)
+def text_parts(text: Column) -> Column:
+    """A text as the one part of a message, typed as in ``PARTS``."""
+    nothing = [F.lit(None).cast(t).alias(n) for n, t in (
+        ("ref", "string"), ("width", "int"), ("height", "int"), ("seconds", "double"), ("pages", "int"))]
+    return F.array(F.struct(F.lit("text").alias("type"), text.alias("text"), *nothing))
 
-    return run
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per row of a sorted partition, the turns and the attachments of its conversation before it in that partition."""
+    now, turns, known = _FIRST, 0, 0
+    for batch in batches:
+        places, before = [], []
+        for conv, own in zip(batch.column("conv_id").to_pylist(), batch.column("own").to_pylist()):
+            if now is _FIRST or conv != now:
+                now, turns, known = conv, 0, 0
+            places.append(turns)
+            before.append(known)
+            turns, known = turns + 1, known + own
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places, pa.int64()), pa.array(before, pa.int64())],
+                                         names=[*batch.schema.names, "place", "known"])
+
+
+def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            visitor = PartVisitor(first=row["known"])
+            text, start, end = format_turn(row["role"], visitor.message(row["parts"] or []))
+            out.append({"conv_id": row["conv_id"], "position": row["position"], "formatted": text, "loss_start": start,
+                        "loss_end": end, "attachments": visitor.attachments})
+        yield pa.RecordBatch.from_pylist(out, _SEGMENT)
 
 
 def format_conversations(df: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
@@ -135,15 +152,31 @@ def format_conversations(df: DataFrame, id_col: str = "conv_id", turn_col: str =
     each. With ``parts_col`` (an array as in ``PARTS``) that column is read, else ``text_col`` is one text part.
     Turns are taken by number, NULL first; equal numbers by role and text, so repeated rows are turns of
     their own. A NULL text is empty, a NULL role an empty name, rows without a conversation id form one
-    conversation, an empty table gives no rows, other columns are not read. Rows stream through their task in
-    order, so a conversation of any length takes little memory; it is one text and stays in one task.
+    conversation, a NULL part is nothing, an empty table gives no rows, other columns are not read. Ids are
+    whole numbers; an empty type is that of a text.
+
+    Turns are dealt out in ranges of their order, so a conversation with very many turns is formatted by many tasks.
+    Rows are numbered within their range; only the first conversation of a range can have begun in an earlier
+    one, so what came before is at most one row per range and is broadcast.
     """
-    body = named(df, parts_col).alias("parts") if parts_col else F.coalesce(named(df, text_col), F.lit("")).alias("text")
+    parts = named(df, parts_col) if parts_col else text_parts(F.coalesce(named(df, text_col), F.lit("")))
     rows = df.select(named(df, id_col).cast("bigint").alias("conv_id"), named(df, turn_col).alias("turn"),
-                     named(df, role_col).alias("role"), body)
-    order = ["conv_id", "turn", "role"] + ([] if parts_col else ["text"])
-    dealt = rows.repartition("conv_id").sortWithinPartitions(*order)
-    return dealt.select("conv_id", "role", rows.columns[-1]).mapInArrow(_formatter(parts_col is not None), SEGMENTS)
+                     named(df, role_col).alias("role"), parts.alias("parts"))
+    said = F.array_join(F.transform("parts", lambda p: p["text"]), "")
+    keys = [F.col("conv_id"), F.col("turn"), F.col("role")]
+    dealt = rows.repartitionByRange(*keys, F.left(said, F.lit(DEALT_CHARS))).sortWithinPartitions(*keys, said, F.xxhash64("parts"))
+    own = F.coalesce(F.size(F.filter("parts", lambda p: (p["type"] != "text") & (p["type"] != ""))), F.lit(0))
+    kind = rows.schema["parts"].dataType.simpleString()
+    turns = stage(dealt.select(F.spark_partition_id().alias("range"), "conv_id", "role", "parts", F.greatest(own, F.lit(0)).cast("bigint").alias("own")).mapInArrow(
+        _numbered, f"range int, conv_id long, role string, parts {kind}, own long, place long, known long"), "turns")
+    earlier = Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    begun = turns.groupBy("range", "conv_id").agg(F.count(F.lit(1)).alias("n"), F.sum("own").alias("own")).select(
+        F.col("range").alias("_range"), F.col("conv_id").alias("_conv"), F.sum("n").over(earlier).alias("_turns"),
+        F.sum("own").over(earlier).alias("_known")).filter("_turns > 0")
+    placed = turns.join(F.broadcast(begun), (F.col("range") == F.col("_range")) & F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
+    return placed.select(
+        "conv_id", "role", "parts", (F.col("place") + F.coalesce("_turns", F.lit(0))).alias("position"),
+        (F.col("known") + F.coalesce("_known", F.lit(0))).alias("known")).mapInArrow(_format, SEGMENTS)
 
 
 def written(segments: DataFrame) -> DataFrame:
@@ -157,10 +190,12 @@ class _Digest:
     turns: int = 0
     loss_chars: int = 0
     formatted_chars: int = 0
+    attachments: int = 0
+    attachment_tokens: int = 0
     all_turns: "hashlib._Hash" = field(default_factory=hashlib.sha256)
     loss: "hashlib._Hash" = field(default_factory=hashlib.sha256)
 
-    def add(self, formatted: str, start: int, end: int) -> None:
+    def add(self, formatted: str, start: int, end: int, tokens: list[int]) -> None:
         role, body = parse_turn(formatted)
         self.turns += 1
         self.all_turns.update(f"{role}\n{body}\n".encode())
@@ -168,15 +203,19 @@ class _Digest:
         self.loss.update(learnt.encode())
         self.loss_chars += len(learnt)
         self.formatted_chars += len(formatted)
+        self.attachments += len(tokens)
+        self.attachment_tokens += sum(tokens)
 
     def row(self) -> dict:
         return {"conv_id": self.conv_id, "n_turns": self.turns, "turns_sha256": self.all_turns.hexdigest(),
                 "loss_chars": self.loss_chars, "loss_sha256": self.loss.hexdigest(),
-                "formatted_chars": self.formatted_chars}
+                "formatted_chars": self.formatted_chars, "n_attachments": self.attachments,
+                "attachment_tokens": self.attachment_tokens}
 
 
 _DIGEST = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()),
-                     ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
+                     ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()),
+                     ("n_attachments", pa.int64()), ("attachment_tokens", pa.int64())])
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,15 +227,18 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if now is not None:
                     out.append(now.row())
                 now = _Digest(row["conv_id"])
-            now.add(row["formatted"], row["loss_start"], row["loss_end"])
+            now.add(row["formatted"], row["loss_start"], row["loss_end"], row["tokens"])
         yield pa.RecordBatch.from_pylist(out, _DIGEST)
     if now is not None:
         yield pa.RecordBatch.from_pylist([now.row()], _DIGEST)
 
 
 def read_back(segments: DataFrame) -> DataFrame:
-    """What the formatted turns hold, per conversation: number of turns, digests of turns and of the loss text."""
-    dealt = segments.select("conv_id", "position", "formatted", "loss_start", "loss_end").repartition(
-        "conv_id").sortWithinPartitions("conv_id", "position")
-    return dealt.mapInArrow(_digest, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
-                                     "loss_sha256 string, formatted_chars long")
+    """What the formatted turns hold, per conversation: turns, digests of turns and of the loss text, attachments.
+
+    A digest is sequential, so the turns of one conversation are read by one task, in order and as a stream.
+    """
+    dealt = segments.select("conv_id", "position", "formatted", "loss_start", "loss_end", F.transform(
+        "attachments", lambda a: a["tokens"]).alias("tokens")).repartition("conv_id").sortWithinPartitions("conv_id", "position")
+    return dealt.mapInArrow(_digest, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
+                                     "formatted_chars long, n_attachments long, attachment_tokens long")

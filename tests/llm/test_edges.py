@@ -206,7 +206,7 @@ def test_chat(spark):
 def test_typed_parts(spark):
     part = "type string, text string, ref string, width int, height int, seconds double, pages int"
     parts = [[("text", "see <image:0> ", *[None] * 5), ("image", None, "s3://a.png", 28, 15, None, None), ("audio", None, "b.wav", None, None, 2.0, None)],
-             [("document", None, "c.pdf", None, None, None, 2), (None, "done", *[None] * 5)], None]
+             [("document", None, "c.pdf", None, None, None, 2), None, (None, "done", *[None] * 5)], None]
     df = spark.createDataFrame([(1, i, "assistant", p) for i, p in enumerate(parts)], f"conv_id long, turn long, role string, parts array<struct<{part.replace(' string', ':string').replace(' int', ':int').replace(' double', ':double')}>>")
     rows = sorted(chat.format_conversations(df, parts_col="parts").collect(), key=lambda r: r.position)
     body = [r.formatted[r.loss_start:r.loss_end] for r in rows]
@@ -215,6 +215,30 @@ def test_typed_parts(spark):
         (0, "image", "s3://a.png", 4), (1, "audio", "b.wav", 25), (2, "document", "c.pdf", 1536)]
 
 
+def test_long_conversation_is_formatted_by_many_tasks(spark):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        part = "named_struct('type', {}, 'text', {}, 'ref', {}, 'width', 28, 'height', 14, 'seconds', 2.0D, 'pages', 3)"
+        text, image = part.format("'text'", "concat('t', id)", "null"), part.format("'image'", "null", "concat('r', id)")
+        df = spark.range(2000).selectExpr(
+            "if(id % 100 = 7, id div 100, null) as conv_id", "if(id < 1900, id, null) as turn", "if(id % 2 = 0, 'user', 'assistant') as role",
+            f"if(id % 3 = 0, array({text}, {image}), array({text})) as parts")
+        found = chat.written(chat.format_conversations(df, parts_col="parts").withColumn("task", F.spark_partition_id()))
+        hot = sorted(found.filter("conv_id is null").collect(), key=lambda r: r.position)
+        assert len({r.task for r in hot}) > 1 and [r.position for r in hot] == list(range(1980))
+        order = [i for i in range(1900, 2000) if i % 100 != 7]
+        order = sorted(order, key=lambda i: (i % 2 == 0, f"t{i}")) + [i for i in range(1900) if i % 100 != 7]
+        assert [f"t{i}" in r.formatted for i, r in zip(order, hot)] == [True] * 1980
+        seen = [a for r in hot for a in r.attachments]
+        assert [a.number for a in seen] == list(range(len(seen))) and [a.ref for a in seen] == [f"r{i}" for i in order if i % 3 == 0]
+        back = {r.conv_id: r for r in chat.read_back(found).collect()}
+        assert (back[None].n_turns, back[None].n_attachments, back[None].attachment_tokens) == (1980, len(seen), 2 * len(seen))
+        assert len(back) == 21 and sum(r.n_turns for r in back.values()) == 2000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
 def test_sharding(spark, docs, none):
     many = docs.unionByName(spark.range(300).selectExpr("id + 100 as doc_id", "repeat('y', 900) as text"), allowMissingColumns=True)
     many = many.unionByName(spark.range(50).selectExpr("5000L as doc_id", "repeat('z', 900) as text"), allowMissingColumns=True)
