@@ -171,9 +171,13 @@ def write_token_files(df: DataFrame, tokenizer: str, folder: str | None = None,
     ordered = rows.repartitionByRange(F.col("id").asc_nulls_first(), tie).sortWithinPartitions(
         F.col("id").asc_nulls_first(), tie)
     manifest = stage(ordered.mapInArrow(_writer(folder, tokenizer, bits, file_ids), MANIFEST), "manifest")
-    # One row per file, as many as a driver keeps of any scan; the ids stay in the files.
-    return manifest.withColumn("first_id", F.coalesce(F.sum("n_ids").over(
-        Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("bigint"))
+    # Files are summed per part first, so that only one row per part meets in one task.
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    parts = manifest.groupBy("part").agg(F.sum("n_ids").alias("_ids")).select("part", F.coalesce(F.sum("_ids").over(
+        before.orderBy("part")), F.lit(0)).alias("_earlier"))
+    own = F.coalesce(F.sum("n_ids").over(before.partitionBy("part").orderBy("number")), F.lit(0))
+    return manifest.withColumn("_own", own).join(parts, "part").withColumn(
+        "first_id", (F.col("_own") + F.col("_earlier")).cast("bigint")).drop("_own", "_earlier")
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
