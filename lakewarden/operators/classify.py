@@ -109,22 +109,29 @@ def describe_columns(columns: DataFrame) -> DataFrame:
 SKETCH_VALUES = 4096
 
 
-def containment(df: DataFrame, columns: list[str], known: DataFrame, known_col: str, k: int = SKETCH_VALUES) -> DataFrame:
+def containment(df: DataFrame, columns: list[str], known: DataFrame, known_col: str, k: int | None = SKETCH_VALUES) -> DataFrame:
     """Share of each column's distinct values that are known ones, such as the names of people.
 
     A column is stood for by the ``k`` of its distinct values with the smallest hashes, a fair sample of them, which are
     looked up in the reference exactly. ``bound`` is 0 where these are all values, else 3 standard deviations of
-    the share at most, 1.5 / sqrt(k). Case and outer blanks are passed over; NULL and blank values do not count.
+    the share at most, 1.5 / sqrt(k). With ``k`` None every distinct value is looked up. Case and outer blanks are passed
+    over; NULL and blank values do not count.
     """
     def normal(column: Column) -> Column:
         return F.lower(F.trim(column.cast("string")))
 
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), normal(F.col(c)).alias("value")) for c in columns])
     values = df.select(F.inline(pairs)).filter("value <> ''").distinct()
+    reference = known.select(normal(F.col(known_col)).alias("value"))
+    if k is None:
+        met = values.join(reference.distinct().withColumn("_hit", F.lit(True)), "value", "left").groupBy("column_name").agg(
+            F.count(F.lit(1)).alias("_n"), F.count("_hit").alias("_hits"))
+        share = F.col("_hits").cast("double") / F.col("_n").cast("double")
+        return met.select("column_name", F.round(share, 6).alias("share"), F.lit(0.0).alias("bound"))
     place = F.row_number().over(Window.partitionBy("column_name").orderBy(F.xxhash64("value"), "value"))
     sketch = stage(values.withColumn("_place", place).filter(F.col("_place") <= k + 1), "sketch")
     picked = sketch.filter(F.col("_place") <= k).drop("_place")
-    hits = known.select(normal(F.col(known_col)).alias("value")).join(picked, "value").distinct().groupBy("column_name").agg(
+    hits = reference.join(picked, "value").distinct().groupBy("column_name").agg(
         F.count(F.lit(1)).alias("_hits"))
     sizes = sketch.groupBy("column_name").agg(F.count(F.lit(1)).alias("_n"))
     share = F.coalesce("_hits", F.lit(0)).cast("double") / F.least("_n", F.lit(k)).cast("double")
