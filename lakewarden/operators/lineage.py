@@ -23,6 +23,8 @@ ROW_BYTES = 64
 FILTER_BITS = 1 << 26
 # More asked keys than this are looked for through the filter first.
 FILTER_ABOVE = 100_000
+# Pairs of target and source table that one task makes column edges of.
+PAIRS_PER_TASK = 1 << 18
 # Bits of the filter of one file's keys.
 FILE_BITS = 1 << 20
 
@@ -252,12 +254,18 @@ def column_edges_from_steps(steps: DataFrame, specs: list[StepSpec]) -> DataFram
 
     The specs are declarations and are read on the driver; the steps are data and meet them by kind and alias. A
     step of an undeclared kind has no edges. The result has the columns of recorded column events.
+
+    There are few kinds and aliases, so the declared map is broadcast and the steps are never shuffled by them. They are
+    dealt out by target and source table instead, to as many tasks as their number asks for, before they are multiplied
+    into edges; equal edges meet in one task, so each task's memory is that of ``PAIRS_PER_TASK`` pairs.
     """
     spark = steps.sparkSession
     rows = [(s.kind, *edge) for s in specs for edge in column_map(spark, s)]
     declared = spark.createDataFrame(rows, "kind string, alias string, source_column_name string, target_column_name string")
-    ran = steps.select("kind", "target", F.inline("sources"))
-    return ran.join(declared, ["kind", "alias"]).select(
+    pairs = steps.agg(F.sum(F.greatest(F.size("sources"), F.lit(0)))).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-pairs // PAIRS_PER_TASK))
+    ran = steps.select("kind", "target", F.inline("sources")).repartition(tasks, "target", "table")
+    return ran.join(F.broadcast(declared), ["kind", "alias"]).select(
         F.col("table").alias("source_table_full_name"), "source_column_name",
         F.col("target").alias("target_table_full_name"), "target_column_name").distinct()
 
