@@ -285,7 +285,11 @@ def key_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
 
 def might_hold(df: DataFrame, key: str, found: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
     """The rows whose key may be in the filter; all that are, and few others. Its bounded size is broadcast."""
-    bucket, bit = _places(F.col(key), bits)
+    return held_in(df, *_places(F.col(key), bits), found)
+
+
+def held_in(df: DataFrame, bucket: Column, bit: Column, found: DataFrame) -> DataFrame:
+    """The rows whose bit is set in the bitmap of their bucket; ``found`` is (bucket, bitmap), of bounded size, and broadcast."""
     probed = df.withColumn("_bucket", bucket).withColumn("_bit", bit).join(
         F.broadcast(found.select(F.col("bucket").alias("_bucket"), F.col("bitmap").alias("_bitmap"))), "_bucket")
     byte = F.conv(F.hex(F.expr("substring(_bitmap, cast(_bit div 8 as int) + 1, 1)")), 16, 10).cast("int")

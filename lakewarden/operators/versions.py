@@ -7,7 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewarden.session import stage, stage_all
+from lakewarden.operators.lineage import FILTER_BITS, held_in
+from lakewarden.session import stage
 
 # Key ranges summed together on the upper level of a hash tree, and rows to expect in one range of the lower.
 FAN = 256
@@ -93,8 +94,24 @@ def _leaf(keys: list[str], leaves: int) -> Column:
 
 
 def leaves_for(rows: int) -> int:
-    """Ranges for a table of so many rows: a power of two, about ``LEAF_ROWS`` rows in each."""
-    return 1 << max(12, (rows // LEAF_ROWS).bit_length())
+    """Ranges for a table of so many rows: a power of two, about ``LEAF_ROWS`` rows in each, and no more than a filter has bits."""
+    return min(FILTER_BITS, 1 << max(12, (rows // LEAF_ROWS).bit_length()))
+
+
+def _digests(df: DataFrame, keys: list[str], leaves: int, sign: int = 1) -> DataFrame:
+    """(leaf, n, s1, s2) of each row alone."""
+    cols = df.columns
+    digests = [F.xxhash64(F.lit(1), _gaps(cols), *cols), F.xxhash64(F.lit(2), *cols, _gaps(cols))]
+    return df.select(_leaf(keys, leaves).alias("leaf"), F.lit(sign).cast("bigint").alias("n"),
+                     *[(h.cast("decimal(20,0)") * sign).cast("decimal(38,0)").alias(f"s{i}") for i, h in enumerate(digests, 1)])
+
+
+def _summed(df: DataFrame, by: str) -> DataFrame:
+    return df.groupBy(by).agg(*[F.sum(c).alias(c) for c in ("n", "s1", "s2")])
+
+
+def _differing(df: DataFrame, by: str) -> DataFrame:
+    return _summed(df, by).filter("n <> 0 or s1 <> 0 or s2 <> 0").select(by)
 
 
 def hash_tree(df: DataFrame, keys: list[str], leaves: int) -> DataFrame:
@@ -102,10 +119,7 @@ def hash_tree(df: DataFrame, keys: list[str], leaves: int) -> DataFrame:
 
     Sums do not depend on the order of rows and count duplicates. A version's tree may be kept beside it.
     """
-    cols = df.columns
-    digests = [F.xxhash64(F.lit(1), _gaps(cols), *cols), F.xxhash64(F.lit(2), *cols, _gaps(cols))]
-    return df.select(_leaf(keys, leaves).alias("leaf"), *[h.cast("decimal(38,0)").alias(f"h{i}") for i, h in enumerate(digests)]).groupBy(
-        "leaf").agg(F.count(F.lit(1)).alias("n"), F.sum("h0").alias("s1"), F.sum("h1").alias("s2"))
+    return _summed(_digests(df, keys, leaves), "leaf")
 
 
 def changed_leaves(a: DataFrame, b: DataFrame, fan: int = FAN) -> DataFrame:
@@ -113,29 +127,31 @@ def changed_leaves(a: DataFrame, b: DataFrame, fan: int = FAN) -> DataFrame:
     def signed(tree: DataFrame, sign: int) -> DataFrame:
         return tree.select("leaf", F.floor(F.col("leaf") / fan).alias("top"), *[(F.col(c) * sign).alias(c) for c in ("n", "s1", "s2")])
 
-    def differing(df: DataFrame, by: str) -> DataFrame:
-        return df.groupBy(by).agg(*[F.sum(c).alias(c) for c in ("n", "s1", "s2")]).filter("n <> 0 or s1 <> 0 or s2 <> 0").select(by)
-
     both = signed(a, -1).unionByName(signed(b, 1))
-    tops = stage(differing(both, "top"), "tops")
-    return differing(both.join(tops, "top", "left_semi"), "leaf")
+    tops = stage(_differing(both, "top"), "tops")
+    return _differing(both.join(tops, "top", "left_semi"), "leaf")
 
 
 def tree_diff(a: DataFrame, b: DataFrame, keys: list[str], trees: tuple[DataFrame, DataFrame] | None = None,
               leaves: int | None = None) -> DataFrame:
     """As ``version_diff``, but rows are compared only in the ranges whose summed digests differ.
 
-    ``trees`` are those of ``hash_tree`` for both with the same ``leaves``, if they were kept; otherwise they are made here, in
-    one narrow pass over each version. Both have the same columns, none of them a map.
+    ``trees`` are those of ``hash_tree`` for both with the same ``leaves``, if they were kept; otherwise both versions are summed
+    in one narrow pass. Both have the same columns, none of them a map. The differing ranges are kept as one bit each,
+    8 MB at most, so rows of all others are dropped where they are read, and the rest is shuffled once.
     """
     b = b.select(a.columns)
     leaves = leaves or leaves_for(a.count())
     if trees is None:
-        made = stage_all({"tree_before": hash_tree(a, keys, leaves), "tree_after": hash_tree(b, keys, leaves)})
-        trees = made["tree_before"], made["tree_after"]
-    differ = stage(changed_leaves(*trees).withColumnRenamed("leaf", "_leaf"), "leaves")
+        differ = _differing(_digests(a, keys, leaves, -1).unionByName(_digests(b, keys, leaves)), "leaf")
+    else:
+        differ = changed_leaves(*trees)
+    place = F.col("leaf") + 1
+    bits = stage(differ.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bitmap")), "leaves")
 
     def cut(df: DataFrame) -> DataFrame:
-        return df.withColumn("_leaf", _leaf(keys, leaves)).join(differ, "_leaf", "left_semi").drop("_leaf")
+        place = _leaf(keys, leaves) + 1
+        return held_in(df, F.bitmap_bucket_number(place), F.bitmap_bit_position(place), bits)
 
     return version_diff(cut(a), cut(b), keys)
