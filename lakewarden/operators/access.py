@@ -284,10 +284,14 @@ def access_gaps(
 ) -> DataFrame:
     """Of the required (principal, object) pairs, those that cannot be read, with what is missing.
 
-    Each pair is looked up once per kind of right, through its class, so groups do not multiply it.
+    Each pair is looked up once per kind of right, through its class, so groups do not multiply it. Pairs that the
+    groups of the class open as a whole, by catalog or schema, have no gap; they are dropped after one shuffle, and only
+    the others are made distinct and looked up among the rights of single principals and on single objects.
     """
     r = _Rights(grants, memberships, objects, owners, privilege)
-    asked = required.select("principal", *OBJECT).distinct()
+    by_class = r.with_class_rights(r.with_class(required.select("principal", *OBJECT)))
+    asked = stage(by_class.filter(~(_usable(*BY_CLASS) & _has("whole", *BY_CLASS))).select(
+        "principal", *OBJECT).distinct(), "asked")
     own_objects = r.own_objects.select("principal", *OBJECT, F.lit(True).alias("object_own"))
     looked_up = r.with_class_objects(r.with_rights(asked)).join(own_objects, ["principal", *OBJECT], "left")
     holders = [*BY_CLASS, *OWN]
