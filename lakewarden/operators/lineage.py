@@ -84,11 +84,12 @@ def closure(edges: DataFrame, roots: DataFrame, max_depth: int | None = None, st
 
     none = F.lit(0).cast("bigint")
     arcs = edges.select("src", "dst").filter("src is not null and dst is not null and src <> dst")
-    if not stored:
-        arcs = stage(arcs, "edges")
     most = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     with ExitStack() as laid:
         depth, new, large = 0, write(first, 0), False
+        # Edges that the first hop lays out are written once, in that form.
+        if not stored and new * ROW_BYTES <= most:
+            arcs = stage(arcs, "edges")
         while new and (max_depth is None or depth < max_depth):
             depth += 1
             if not large and new * ROW_BYTES > most:
