@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from lakewarden.llm.common import named
 from lakewarden.llm.components import components
+from lakewarden.operators.lineage import FILTER_BITS, held_in
 from lakewarden.session import stage
 
 SHINGLE = 5
@@ -36,6 +37,10 @@ DEVIATIONS = 5.5
 CHUNK_BYTES = 2_000_000
 # Members of an open bucket that one task compares with all of the bucket.
 OPEN_ROWS = 4096
+# Bits of the filter for each bucket that is asked for, up to ``FILTER_BITS`` in all.
+BUCKET_BITS = 16
+# Bitmaps of 32768 row numbers that are broadcast at most: 64 MB, which numbers some 500 million rows.
+ROW_BITMAPS = 16384
 # Height of the lowest rank strip; each next strip doubles the height reached.
 FIRST_STRIP = 2.0 ** -7
 
@@ -237,25 +242,38 @@ def _elements(of: np.ndarray, element: np.ndarray, weight: np.ndarray, weighted:
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(n + 1)), pa.int32()), pa.array(element.view(np.int64)))
 
 
-def _sets(weighted: bool, sharp: bool):
-    """(node, elements), and with ``sharp`` one bit of each of many more coordinates."""
+def _sets(weighted: bool):
+    """The number and the elements of each text, and the columns that follow the text as they are."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for lo, hi in _sliced(texts):
+                elements = _elements(*shingles(texts[lo:hi]), weighted, hi - lo)
+                own = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays(
+                    [own.column(0), elements, *own.columns[2:]], names=["node", "elements", *own.schema.names[2:]])
+
+    return run
+
+
+def _sharp(weighted: bool):
+    """One bit of each of many more coordinates."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for lo, hi in _sliced(texts):
                 of, element, weight = shingles(texts[lo:hi])
-                elements = _elements(of, element, weight, weighted, hi - lo)
                 weight = weight if weighted else np.ones(len(element))
                 words = []
-                for at in range(0, hi - lo if sharp else 0, 64):
+                for at in range(0, hi - lo, 64):
                     here = (of >= at) & (of < at + 64)
                     n = min(64, hi - lo - at)
                     found = signatures(of[here] - at, element[here], weight[here], n, SHARP_BITS)
                     words.append(np.packbits(((found >> _U(1)) & _U(1)).astype(np.uint8), axis=1).view(np.int64))
-                bits = np.concatenate(words) if sharp else np.zeros((hi - lo, 0), np.int64)
+                bits = np.concatenate(words)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), elements, *[pa.array(bits[:, k]) for k in range(bits.shape[1])]],
-                    names=["node", "elements", *SHARP[:bits.shape[1]]])
+                    [batch.column(0).slice(lo, hi - lo), *[pa.array(bits[:, k]) for k in range(bits.shape[1])]],
+                    names=["node", *SHARP])
 
     return run
 
@@ -266,16 +284,47 @@ def _alike(both: Column, a: Column, b: Column, similarity: float) -> Column:
     return 1000 * both >= share * (a + b - both)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (node, hub) whose exact similarity reaches the threshold, as (a, b).
+def _only(df: DataFrame, key: str, ids: DataFrame, label: str) -> DataFrame:
+    """The rows of ``df`` whose row number ``key`` is in the one column of ``ids``.
+
+    The numbers are kept as one bit each and looked up where rows are read, so neither texts nor signatures are shuffled
+    to be dropped. Only beyond ``ROW_BITMAPS`` of them does it become a join.
+    """
+    ids = ids.toDF(key)
+    bits = stage(ids.groupBy(F.bitmap_bucket_number(key).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("bitmap")), label)
+    if bits.count() > ROW_BITMAPS:
+        return df.join(ids.distinct(), key, "left_semi")
+    return held_in(df, F.bitmap_bucket_number(key), F.bitmap_bit_position(key), bits)
+
+
+def _in_buckets(banded: DataFrame, buckets: DataFrame) -> DataFrame:
+    """The members of the buckets: most of the others go by a filter of hashed buckets before the shuffle."""
+    size = min(FILTER_BITS, 1 << max(15, (BUCKET_BITS * buckets.count()).bit_length()))
+    place = F.pmod(F.xxhash64("band", "key"), F.lit(size)) + 1
+    bits = stage(buckets.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bitmap")), "bucket_bits")
+    return held_in(banded, F.bitmap_bucket_number(place), F.bitmap_bit_position(place), bits).join(buckets, ["band", "key"])
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, weighted: bool, similarity: float) -> DataFrame:
+    """(node, hub, linked, plus, minus) of each pair (node, hub, centred); the last two, what the node has more than
+    the hub and what it lacks, only where the hub is the middle of a bucket of the node, else NULL.
 
-    The node's set travels to the hub, not the hub's to all of its nodes.
+    A node's text meets its hubs' numbers, at most two for each band, before it becomes a set. The set then travels
+    to the hubs, not the hub's to all of its nodes, and both are compared once for all that is asked of them.
     """
-    met = pairs.join(sets.select("node", F.col("elements").alias("_en")), "node").join(
-        sets.select(F.col("node").alias("hub"), F.col("elements").alias("_eh")), "hub")
+    hubs = pairs.groupBy(F.col("node").alias("rid")).agg(F.collect_list(F.struct("hub", "centred")).alias("hubs"))
+    of_nodes = _only(texts, "rid", pairs.select("node"), "asked_nodes").join(hubs, "rid").select("rid", "_text", "hubs").mapInArrow(
+        _sets(weighted), "node long, elements array<long>, hubs array<struct<hub: long, centred: boolean>>")
+    of_hubs = _only(texts, "rid", pairs.select("hub"), "asked_hubs").select("rid", "_text").mapInArrow(
+        _sets(weighted), "node long, elements array<long>").toDF("hub", "_eh")
+    met = of_nodes.select("node", F.col("elements").alias("_en"), F.inline("hubs")).join(of_hubs, "hub")
     both = F.size(F.array_intersect("_en", "_eh"))
-    return met.filter(_alike(both, F.size("_en"), F.size("_eh"), similarity)).select(
-        F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+    return met.select(
+        "node", "hub", _alike(both, F.size("_en"), F.size("_eh"), similarity).alias("linked"),
+        F.when(F.col("centred"), F.array_except("_en", "_eh")).alias("plus"),
+        F.when(F.col("centred"), F.array_except("_eh", "_en")).alias("minus"))
 
 
 def _sizes_allow(a: str, b: str, similarity: float) -> Column:
@@ -339,65 +388,77 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     some = signed.filter("size > 0")
     nodes = stage(some.groupBy("key1", "key2").agg(F.min("rid").alias("node")), "nodes")
     of_node = stage(some.select("rid", "size", "key1", "key2").join(nodes, ["key1", "key2"]).select("rid", "node"), "of_node")
-    reps = stage(some.join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi").select(
-        F.col("rid").alias("node"), "size", "bands", "marks"), "representatives")
+    reps = _only(some, "rid", nodes.select("node"), "node_bits").select(F.col("rid").alias("node"), "size", "bands", "marks")
     banded = reps.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = stage(banded.groupBy("band", "key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).filter(
         "n > 1"), "buckets")
-    shared = stage(_distinct_buckets(stage(banded.join(buckets, ["band", "key"]), "members")), "shared")
-    # The middle of a group meets more of it than its fringe does.
+    shared = stage(_distinct_buckets(stage(_in_buckets(banded, buckets), "members")), "shared")
+    # The middle of a group meets more of it than its fringe does. Of two nodes the same one is the middle in every bucket.
     reach = stage(shared.groupBy("node").agg(F.sum("n").alias("reach")), "reach")
     middle = stage(shared.select("band", "key", "node").join(reach, "node").groupBy("band", "key").agg(
-        F.max_by("node", "reach").alias("middle")), "middles")
-    stars = shared.select("band", "key", "node", "first").join(middle, ["band", "key"]).select(
-        "node", F.explode(F.array("first", "middle")).alias("hub")).filter("node <> hub").distinct()
-    known = reps.select("node", F.struct("node", "size", "marks").alias("s"))
-    likely = stars.join(known.select("node", F.col("s").alias("sn")), "node").join(
-        known.select(F.col("node").alias("hub"), F.col("s").alias("sh")), "hub")
-    first = stage(likely.filter(_may_match("sn", "sh", similarity)).select("node", "hub"), "pairs")
-    # Staged ids are broadcast while their file is small, and the texts are then not shuffled.
-    asked = stage(first.select(F.col("node").alias("rid")).unionByName(first.select(F.col("hub").alias("rid"))).distinct(), "asked")
-    sets = stage(texts.join(asked, "rid", "left_semi").mapInArrow(_sets(weighted, False), "node long, elements array<long>"), "sets")
-    found = stage(components(stage(_verified(first, sets, similarity), "links")), "classes")
-    merged = components(_across(texts, reps, shared, middle, found, weighted, similarity))
+        F.max_by("node", F.struct("reach", "node")).alias("middle")), "middles")
+    stars = shared.select("band", "key", "node", "first").join(middle, ["band", "key"]).select("node", F.explode(F.array(
+        F.struct(F.col("middle").alias("hub"), F.lit(True).alias("centred")),
+        F.struct(F.col("first").alias("hub"), F.lit(False).alias("centred")))).alias("to")).select("node", "to.*")
+    # Two nodes meet once, whichever is the other's hub.
+    pairs = stage(stars.filter("node <> hub").groupBy(F.least("node", "hub"), F.greatest("node", "hub")).agg(
+        F.max(F.struct("centred", "node", "hub")).alias("to")).select("to.*"), "pairs")
+    fringe = pairs.filter("not centred")
+    ends = fringe.select("node").unionByName(fringe.select(F.col("hub").alias("node")))
+    known = _only(reps, "node", ends, "fringe_bits").select("node", F.struct("node", "size", "marks").alias("s"))
+    likely = fringe.join(known.select("node", F.col("s").alias("sn")), "node").join(
+        known.select(F.col("node").alias("hub"), F.col("s").alias("sh")), "hub").filter(_may_match("sn", "sh", similarity))
+    asked = stage(pairs.filter("centred").unionByName(likely.select("centred", "node", "hub")), "asked")
+    compared = stage(_compared(asked, texts, weighted, similarity), "compared")
+    found = stage(components(compared.filter("linked").select(F.col("node").alias("a"), F.col("hub").alias("b"))), "classes")
+    merged = components(_across(texts, reps, shared, middle, compared, found, weighted, similarity))
     return rows.select("rid", "_row").join(_classes(rows.select("rid", "id"), of_node, found, merged), "rid").drop("rid")
 
 
-def _across(texts: DataFrame, reps: DataFrame, shared: DataFrame, middle: DataFrame, found: DataFrame, weighted: bool,
-            similarity: float) -> DataFrame:
+def _across(texts: DataFrame, reps: DataFrame, shared: DataFrame, middle: DataFrame, compared: DataFrame, found: DataFrame,
+            weighted: bool, similarity: float) -> DataFrame:
     """(a, b): classes with a link between members of one bucket, found on all pairs of members of different classes.
 
     Each member is held as its difference to the middle of its bucket: what it has more, and what it lacks. For
     near-copies both are short, and the size of an intersection follows from the differences of two members, so the
     exact comparison is made inside the join. Its work is quadratic in the unlinked members of a bucket, in chunks
-    of at most ``OPEN_ROWS`` of them a task; its rows are true links, reduced to classes before they leave it.
+    of at most ``OPEN_ROWS`` of them a task; its rows are true links, reduced to classes before they leave it. Buckets of
+    one chunk are joined with themselves, so their members are shuffled once for both sides.
     """
     placed = stage(shared.select("band", "key", "node").join(found, "node", "left").withColumn(
         "component", F.coalesce("component", "node")), "placed")
     split = placed.groupBy("band", "key").agg(
         F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count(F.lit(1)).alias("n")).filter("_lo <> _hi")
     unsettled = stage(placed.join(split.select("band", "key", "n"), ["band", "key"]).join(middle, ["band", "key"]), "unsettled")
-    wanted = stage(unsettled.select(F.col("node").alias("rid")).distinct(), "wanted")
-    details = stage(texts.join(wanted, "rid", "left_semi").mapInArrow(
-        _sets(weighted, True), "node long, elements array<long>, " + ", ".join(f"{w} long" for w in SHARP)), "details")
+    wanted = stage(unsettled.select("node").distinct(), "wanted")
+    bits = _only(texts, "rid", wanted, "wanted_texts").select("rid", "_text").mapInArrow(
+        _sharp(weighted), "node long, " + ", ".join(f"{w} long" for w in SHARP))
+    known = _only(reps, "node", wanted, "wanted_nodes").select("node", "size", "bands")
+    marks = bits.join(known, "node").select("node", F.struct("node", "size", "bands", *SHARP).alias("s"))
     # Few middles for each member, however many buckets it is in.
-    differences = unsettled.select("node", "middle").distinct().join(
-        details.select("node", F.col("elements").alias("own")), "node").join(
-        details.select(F.col("node").alias("middle"), F.col("elements").alias("hub")), "middle").select(
-        "node", "middle", F.array_except("own", "hub").alias("plus"), F.array_except("hub", "own").alias("minus"), F.size("hub").alias("base"))
-    known = reps.select("node", "size", "bands").join(wanted.withColumnRenamed("rid", "node"), "node", "left_semi")
-    marks = details.drop("elements").join(known, "node").select(
-        "node", F.struct("node", "size", "bands", *SHARP).alias("s"))
-    open_ = stage(unsettled.join(differences, ["node", "middle"]).join(marks, "node").select(
-        "band", "key", "component", "s", "plus", "minus", "base", F.ceil(F.col("n") / F.lit(OPEN_ROWS)).cast("int").alias("chunks")), "open")
-    x = open_.withColumn("chunk", F.pmod(F.xxhash64("s.node"), F.col("chunks")).cast("int")).alias("x")
-    y = open_.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).alias("y")
-    both = F.col("x.base") - F.size(F.array_union("x.minus", "y.minus")) + F.size(F.array_intersect("x.plus", "y.plus"))
-    met = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.chunk") == F.col("y.chunk"))
-                 & (F.col("x.component") < F.col("y.component")) & _sharply_alike("x.s", "y.s", similarity)
-                 & _first_shared("x.s.bands", "y.s.bands", F.col("x.band"))
-                 & _alike(both, F.col("x.s.size"), F.col("y.s.size"), similarity))
-    return stage(met.select(F.col("x.component").alias("a"), F.col("y.component").alias("b")).distinct(), "across")
+    none = F.array().cast("array<long>")
+    differences = compared.filter("plus is not null").select("node", F.col("hub").alias("middle"), "plus", "minus").unionByName(
+        unsettled.filter("node = middle").select("node", "middle").distinct().select("node", "middle", none.alias("plus"), none.alias("minus")))
+    # Middles are compared beside the join's key, so that all three are dealt out by node, once.
+    placed_in = unsettled.withColumnRenamed("middle", "own_middle")
+    open_ = stage(differences.join(marks, "node").join(placed_in, "node").filter(F.col("middle") - F.col("own_middle") == 0).select(
+        "band", "key", "component", "s", "plus", "minus", F.ceil(F.col("n") / F.lit(OPEN_ROWS)).cast("int").alias("chunks")), "open")
+    whole, parts = open_.filter("chunks = 1").drop("chunks"), open_.filter("chunks > 1")
+    x = parts.withColumn("chunk", F.pmod(F.xxhash64("s.node"), F.col("chunks")).cast("int"))
+    y = parts.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    met = _linked(whole, whole, ["band", "key"], similarity).unionByName(_linked(x, y, ["band", "key", "chunk"], similarity))
+    return stage(met.distinct(), "across")
+
+
+def _linked(x: DataFrame, y: DataFrame, on: list[str], similarity: float) -> DataFrame:
+    """(a, b): components of members that meet and reach the threshold; x has the smaller one."""
+    size = F.col("x.s.size") - F.size("x.plus") + F.size("x.minus")  # of the middle
+    both = size - F.size(F.array_union("x.minus", "y.minus")) + F.size(F.array_intersect("x.plus", "y.plus"))
+    test = (F.col("x.component") < F.col("y.component")) & _sharply_alike("x.s", "y.s", similarity) & _first_shared(
+        "x.s.bands", "y.s.bands", F.col("x.band")) & _alike(both, F.col("x.s.size"), F.col("y.s.size"), similarity)
+    for c in on:
+        test = test & (F.col(f"x.{c}") == F.col(f"y.{c}"))
+    return x.alias("x").join(y.alias("y"), test).select(F.col("x.component").alias("a"), F.col("y.component").alias("b"))
 
 
 def _classes(rows: DataFrame, of_node: DataFrame, found: DataFrame, merged: DataFrame) -> DataFrame:
