@@ -293,7 +293,7 @@ def _only(df: DataFrame, key: str, ids: DataFrame, label: str) -> DataFrame:
     ids = ids.toDF(key)
     bits = stage(ids.groupBy(F.bitmap_bucket_number(key).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("bitmap")), label)
-    if bits.count() > ROW_BITMAPS:
+    if not bits.offset(ROW_BITMAPS).isEmpty():
         return df.join(ids.distinct(), key, "left_semi")
     return held_in(df, F.bitmap_bucket_number(key), F.bitmap_bit_position(key), bits)
 
@@ -410,7 +410,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         known.select(F.col("node").alias("hub"), F.col("s").alias("sh")), "hub").filter(_may_match("sn", "sh", similarity))
     asked = stage(pairs.filter("centred").unionByName(likely.select("centred", "node", "hub")), "asked")
     compared = stage(_compared(asked, texts, weighted, similarity), "compared")
-    found = stage(components(compared.filter("linked").select(F.col("node").alias("a"), F.col("hub").alias("b"))), "classes")
+    found = components(compared.filter("linked").select(F.col("node").alias("a"), F.col("hub").alias("b")))
     merged = components(_across(texts, reps, shared, middle, compared, found, weighted, similarity))
     return rows.select("rid", "_row").join(_classes(rows.select("rid", "id"), of_node, found, merged), "rid").drop("rid")
 
@@ -466,11 +466,10 @@ def _classes(rows: DataFrame, of_node: DataFrame, found: DataFrame, merged: Data
     own = rows.join(of_node, "rid", "left").join(found, "node", "left").select(
         "rid", "id", F.coalesce("component", "node", "rid").alias("node"))
     classed = stage(own.join(merged, "node", "left").select("rid", "id", F.coalesce("component", "node").alias("class")), "classed")
-    best = stage(classed.groupBy("class").agg(
-        F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "best")
-    owner = stage(classed.join(best, "class").filter(F.col("id").eqNullSafe(F.col("class_id"))).groupBy("class").agg(
-        F.min("rid").alias("owner")), "owners")
-    facts = stage(best.join(owner, "class"), "facts")
+    # The smallest id, NULLs last, and of the rows that have it the first one.
+    facts = stage(classed.groupBy("class").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "rid")).alias("_first"), F.count(F.lit(1)).alias("class_size")).select(
+        "class", F.col("_first.id").alias("class_id"), "class_size", F.col("_first.rid").alias("owner")), "facts")
     return classed.join(facts, "class").select(
         "rid", "class_id", "class_size", (F.col("rid") == F.col("owner")).alias("kept"))
 

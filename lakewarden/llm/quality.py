@@ -130,10 +130,12 @@ class VoteModel:
     on_bad: tuple[tuple[float, ...], ...]
 
     def posterior(self, rules: tuple[str, ...] = RULES) -> Column:
-        odds = F.lit(math.log(self.good / (1 - self.good)))
-        for rule, good, bad in zip(rules, self.on_good, self.on_bad):
-            against, none, for_ = (math.log(g / b) for g, b in zip(good, bad))
-            odds = odds + F.when(F.col(rule) < 0, against).when(F.col(rule) > 0, for_).otherwise(none)
+        """The numbers are one array, which lies beside the compiled code, so that all models share that code."""
+        ratios = [math.log(g / b) for good, bad in zip(self.on_good, self.on_bad) for g, b in zip(good, bad)]
+        share = math.log(self.good / (1 - self.good))
+        known = F.lit([share + x if i < len(OUTCOMES) else x for i, x in enumerate(ratios)])
+        said = [F.get(known, F.coalesce(F.signum(rule), F.lit(0)).cast("int") + (len(OUTCOMES) * i + 1)) for i, rule in enumerate(rules)]
+        odds = sum(said[1:], said[0])
         return 1 / (1 + F.exp(-odds))
 
 
@@ -142,24 +144,28 @@ def fit_votes(voted: DataFrame, rules: tuple[str, ...] = RULES, rounds: int = 40
     """Expectation-maximisation on the counts of vote patterns, of which there are at most 3^rules.
 
     ``pseudo`` votes as at the start keep every chance above zero, and a rule's false alarms stay below
-    ``MOST_FALSE``, so good and bad cannot change places. Each round is one aggregate over the patterns.
+    ``MOST_FALSE``, so good and bad cannot change places. Each round is one aggregate over the patterns, by rule and
+    outcome; its code is the same in all rounds and compiled once.
     """
     patterns = stage(voted.groupBy(*rules).agg(F.count(F.lit(1)).alias("_n")).coalesce(1), "votes")
     model = VoteModel(GOOD_SHARE, (ON_GOOD,) * len(rules), (ON_BAD,) * len(rules))
     n, q = F.col("_n").cast("double"), F.col("_q")
+    # Of each pattern what every rule says, and once more all patterns under one name.
+    cast = [F.struct(F.lit("all").alias("rule"), F.lit(0).alias("vote")), *(
+        F.struct(F.lit(str(i)).alias("rule"), F.col(r).alias("vote")) for i, r in enumerate(rules))]
     for _ in range(rounds):
-        sums = [F.sum(n).alias("all"), F.sum(n * q).alias("good")]
-        for i, r in enumerate(rules):
-            for v in OUTCOMES:
-                mine = F.col(r) == v
-                sums += [F.sum(F.when(mine, n * q).otherwise(0.0)).alias(f"g{i}_{v}"),
-                         F.sum(F.when(mine, n * (1 - q)).otherwise(0.0)).alias(f"b{i}_{v}")]
-        got = patterns.withColumn("_q", model.posterior(rules)).agg(*sums).first()
-        if not got["all"]:
+        # In one partition, so that a round is one task and needs no shuffle.
+        scored = patterns.coalesce(1).withColumn("_q", model.posterior(rules))
+        found = scored.select(n.alias("n"), (n * q).alias("good"), (n * (1 - q)).alias("bad"), F.inline(F.array(*cast)))
+        sums = {(r["rule"], r["vote"]): r for r in found.groupBy("rule", "vote").agg(
+            F.sum("n").alias("all"), F.sum("good").alias("good"), F.sum("bad").alias("bad")).collect()}
+        if not sums:
             return model
+        got = sums["all", 0]
 
         def chances(side: str, i: int, start: tuple[float, ...], whole: float) -> tuple[float, ...]:
-            return tuple((got[f"{side}{i}_{v}"] + pseudo * s) / (whole + pseudo) for v, s in zip(OUTCOMES, start))
+            there = [sums.get((str(i), v)) for v in OUTCOMES]
+            return tuple(((x[side] if x else 0.0) + pseudo * s) / (whole + pseudo) for x, s in zip(there, start))
 
         def trusted(c: tuple[float, ...]) -> tuple[float, ...]:
             against = min(c[0], MOST_FALSE)
@@ -168,8 +174,8 @@ def fit_votes(voted: DataFrame, rules: tuple[str, ...] = RULES, rounds: int = 40
 
         new = VoteModel(
             min(max(got["good"] / got["all"], 0.01), 0.99),
-            tuple(trusted(chances("g", i, ON_GOOD, got["good"])) for i in range(len(rules))),
-            tuple(chances("b", i, ON_BAD, got["all"] - got["good"]) for i in range(len(rules))))
+            tuple(trusted(chances("good", i, ON_GOOD, got["good"])) for i in range(len(rules))),
+            tuple(chances("bad", i, ON_BAD, got["all"] - got["good"]) for i in range(len(rules))))
         moved = max(abs(a - b) for x, y in zip((*new.on_good, *new.on_bad), (*model.on_good, *model.on_bad)) for a, b in zip(x, y))
         moved = max(moved, abs(new.good - model.good))
         model = new
